@@ -60,12 +60,17 @@ class Ctx:
         return A.activity_list(self.crm, self.key, self.params)
 
 
-def _q(fn: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Ctx(spark, sf_dir))
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    return run
+_CONTEXTS: dict[tuple[int, str], Ctx] = {}
+
+
+def context(spark: SparkSession, sf_dir: str) -> Ctx:
+    """One set of (lazy) stand-in plans per session and folder: the plans
+    are immutable, so every query of a session can start from them."""
+    k = (id(spark), sf_dir)
+    c = _CONTEXTS.get(k)
+    if c is None or c.spark is not spark:
+        c = _CONTEXTS[k] = Ctx(spark, sf_dir)
+    return c
 
 
 # ---------------------------------------------------------------------------
@@ -194,7 +199,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for name, fn in QUERIES.items():
         def run(spark, sf_dir, _fn=fn):
-            return _fn(Ctx(spark, sf_dir))
+            return _fn(context(spark, sf_dir))
         run.__name__ = name
         out[name] = run
     return out

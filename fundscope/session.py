@@ -12,11 +12,14 @@ from .sources.sinks import checkpoint_dir
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  scratch: str | None = None) -> SparkSession:
+                  scratch: str | None = None, conf: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]")
                .appName("fundscope")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # no Python call-site capture per column function: it costs
+               # several driver round trips for every expression built
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -24,6 +27,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", "8g")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     # tests only: a scratch checkpoint folder when the session names none

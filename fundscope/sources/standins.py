@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fiscal import fiscal_year, in_fy
+from ..functions.fiscal import in_fy
 from ..params import Params
 from .tables import read_table
 
@@ -71,17 +71,6 @@ RATING_FY = 1998
 GOAL_FYS = (1998, 1997)
 
 
-def _case(col, mapping: dict, default=None):
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
-    return expr.otherwise(F.lit(default))
-
-
-def _money(c):
-    return c.cast(MONEY)
-
-
 @dataclass
 class Crm:
     """The CRM tables one pipeline run reads."""
@@ -101,11 +90,20 @@ class Crm:
     goals_import: DataFrame
 
 
+def _sql_case(col: str, mapping: dict, default: str | None = None) -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {whens} ELSE {repr(default) if default is not None else 'NULL'} END"
+
+
 def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
+    """Build the stand-in CRM tables (lazy).  Projections are written as SQL
+    expressions: one driver call per projection instead of one per column
+    function, which keeps plan building cheap."""
     params = params or Params(current_fy=1998)
     t = {n: read_table(spark, sf_dir, n)
          for n in ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")}
     nation, region = t["nation"], t["region"]
+    fy_shift = 13 - params.fy_start_month
 
     # nation (25 rows) and region (5 rows) are fixed-size code lists
     geo = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
@@ -113,170 +111,140 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
 
     c = t["customer"]
     account = (c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")
-               .select(F.col("c_custkey").alias("id"),
-                       F.col("c_name").alias("name"),
-                       F.col("n_name").alias("district"),
-                       F.col("r_name").alias("region"),
-                       F.when(F.col("c_custkey") % 10 == 0, F.lit("Inactive"))
-                        .otherwise(F.lit("Active")).alias("status"),
-                       F.col("c_mktsegment").alias("account_type"),
-                       _money(_money(F.col("c_acctbal")) * F.lit(1100)).alias("capacity")))
+               .selectExpr("c_custkey AS id", "c_name AS name", "n_name AS district",
+                           "r_name AS region",
+                           "CASE WHEN c_custkey % 10 = 0 THEN 'Inactive' ELSE 'Active' END AS status",
+                           "c_mktsegment AS account_type",
+                           "CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 1100 AS DECIMAL(18,2)) AS capacity"))
 
     s = t["supplier"]
-    first = F.split_part(F.col("s_name"), F.lit("#"), F.lit(1))
-    last = F.split_part(F.col("s_name"), F.lit("#"), F.lit(2))
-    user = s.select(F.col("s_suppkey").alias("id"),
-                    F.when(F.col("s_suppkey") % 20 == 19, F.lit(None).cast("string"))
-                     .otherwise(F.concat(first, F.lit(" "), last)).alias("name"),
-                    first.alias("first_name"),
-                    last.alias("last_name"))
-
-    level = F.element_at(F.array(*[F.lit(x) for x in LEVELS]),
-                         (F.col("s_suppkey") % len(LEVELS) + 1).cast("int"))
-    officer = (s.where(F.col("s_suppkey") % 10 != 7)
+    user = s.selectExpr(
+        "s_suppkey AS id",
+        "CASE WHEN s_suppkey % 20 = 19 THEN CAST(NULL AS STRING) "
+        "ELSE concat(split_part(s_name, '#', 1), ' ', split_part(s_name, '#', 2)) END AS name",
+        "split_part(s_name, '#', 1) AS first_name",
+        "split_part(s_name, '#', 2) AS last_name")
+
+    levels = ", ".join(f"'{x}'" for x in LEVELS)
+    officer = (s.where("s_suppkey % 10 != 7")
                .join(F.broadcast(nation), s.s_nationkey == nation.n_nationkey, "left")
-               .select(F.col("s_suppkey").alias("user_id"),
-                       F.col("n_regionkey").alias("team_id"),
-                       level.alias("level")))
-    team = region.select(F.col("r_regionkey").alias("id"),
-                         _case(F.col("r_name"), TEAM_BY_REGION).alias("name"))
+               .selectExpr("s_suppkey AS user_id", "n_regionkey AS team_id",
+                           f"element_at(array({levels}), CAST(s_suppkey % {len(LEVELS)} + 1 AS INT)) AS level"))
+    team = region.selectExpr("r_regionkey AS id", f"{_sql_case('r_name', TEAM_BY_REGION)} AS name")
 
     li = t["lineitem"]
+    members = li.selectExpr(
+        "l_orderkey AS opportunity_id", "l_suppkey AS user_id",
+        f"CASE WHEN l_linenumber = 1 THEN '{params.lead_role}' "
+        f"WHEN l_linenumber = 2 THEN '{params.co_role}' ELSE 'Team Member' END AS role").distinct()
     # one row per order: the lead (smallest line-1 supplier) and the owner
-    heads = (li.groupBy("l_orderkey")
-             .agg(F.min(F.when(F.col("l_linenumber") == 1, F.col("l_suppkey"))).alias("lead"),
-                  F.min("l_suppkey").alias("owner")))
-    o = t["orders"]
-    close = F.to_date(F.col("o_orderdate"))
-    opportunity = (o.join(heads, o.o_orderkey == heads.l_orderkey, "left")
-                   .select(F.col("o_orderkey").alias("id"),
-                           F.col("owner").alias("owner_id"),
-                           F.col("o_custkey").alias("account_id"),
-                           F.col("lead").alias("lead_solicitor_id"),
-                           F.date_sub(close, 60).alias("ask_date"),
-                           F.when(F.col("o_orderkey") % 4 == 0, F.lit(None).cast(MONEY))
-                            .otherwise(_money(_money(F.col("o_totalprice")) * F.lit(2))).alias("ask_amount"),
-                           _money(F.col("o_totalprice")).alias("amount"),
-                           close.alias("close_date"),
-                           F.col("o_orderpriority").alias("name"),
-                           F.col("o_orderstatus").alias("division"),
-                           _case(F.col("o_orderstatus"), STAGE_BY_STATUS).alias("stage"),
-                           F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("comment"),
-                           fiscal_year(close, params.fy_start_month).alias("fiscal_year"),
-                           F.quarter(F.add_months(close, 13 - params.fy_start_month)).alias("fiscal_quarter")))
-
-    role = (F.when(F.col("l_linenumber") == 1, F.lit(params.lead_role))
-            .when(F.col("l_linenumber") == 2, F.lit(params.co_role))
-            .otherwise(F.lit("Team Member")))
-    members = li.select(F.col("l_orderkey").alias("opportunity_id"),
-                        F.col("l_suppkey").alias("user_id"),
-                        role.alias("role")).distinct()
-    opportunity_team = (members.join(user.select(F.col("id").alias("user_id"), "name"), "user_id", "left")
+    # (smallest supplier), from the de-duplicated member rows, so lineitem
+    # is scanned once for both
+    heads = members.groupBy("opportunity_id").agg(
+        F.expr(f"min(CASE WHEN role = '{params.lead_role}' THEN user_id END)").alias("lead"),
+        F.min("user_id").alias("owner"))
+    opportunity_team = (members.join(user.selectExpr("id AS user_id", "name"), "user_id", "left")
                         .select("opportunity_id", "user_id", "name", "role"))
 
+    o = t["orders"]
+    close = "to_date(o_orderdate)"
+    opportunity = (o.join(heads, o.o_orderkey == heads.opportunity_id, "left")
+                   .selectExpr(
+                       "o_orderkey AS id", "owner AS owner_id", "o_custkey AS account_id",
+                       "lead AS lead_solicitor_id",
+                       f"date_sub({close}, 60) AS ask_date",
+                       "CASE WHEN o_orderkey % 4 = 0 THEN CAST(NULL AS DECIMAL(18,2)) "
+                       "ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 2 AS DECIMAL(18,2)) END AS ask_amount",
+                       "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
+                       f"{close} AS close_date",
+                       "o_orderpriority AS name", "o_orderstatus AS division",
+                       f"{_sql_case('o_orderstatus', STAGE_BY_STATUS)} AS stage",
+                       "concat('order ', CAST(o_orderkey AS STRING)) AS comment",
+                       f"year(add_months({close}, {fy_shift})) AS fiscal_year",
+                       f"quarter(add_months({close}, {fy_shift})) AS fiscal_quarter"))
+
     e = t["events"]
-    orders_acct = o.select(F.col("o_orderkey"), F.col("o_custkey"))
-    eid, uid = F.col("event_id"), F.col("user_id")
+    orders_acct = o.select("o_orderkey", "o_custkey")
     activity = (e.join(orders_acct, e.event_id == orders_acct.o_orderkey, "left")
-                .select(eid.alias("id"),
-                        uid.alias("owner_id"),
-                        F.when(eid % 13 == 0, uid + 3).otherwise(uid).alias("contactor_1"),
-                        F.when(eid % 3 == 0, uid + 1).alias("contactor_2"),
-                        F.when(eid % 7 == 0, uid + 2).alias("contactor_3"),
-                        _case(F.col("event_type"), ACTIVITY_TYPE_BY_EVENT, "Email").alias("type"),
-                        F.add_months(F.to_date(F.col("ts")), ACTIVITY_MONTH_SHIFT).alias("activity_date"),
-                        F.when(F.col("value") >= 400, F.lit("true")).otherwise(F.lit("false")).alias("substantive"),
-                        F.when(eid % 50 == 0, F.lit(None).cast("string"))
-                         .when(eid % 50 == 1, F.lit("In Progress"))
-                         .otherwise(F.lit("Completed")).alias("status"),
-                        F.col("props").alias("description"),
-                        F.col("o_custkey").alias("account_id"),
-                        F.when(F.col("value") >= 250, F.lit("Substantive Action"))
-                         .otherwise(F.lit("Follow-up")).alias("subject"),
-                        F.when(eid % 2 == 0, eid).alias("who_id"),
-                        F.when(F.col("event_type").isin("view", "click"), F.lit("V"))
-                         .otherwise(F.lit("T")).alias("record_type_id"),
-                        (uid + 1).alias("created_by"),
-                        F.col("ts").alias("created_date"),
-                        (uid + 2).alias("modified_by"),
-                        F.col("ts").alias("modified_date"),
-                        F.col("ts").alias("system_modstamp")))
-
-    activity_contact = li.select(F.col("l_orderkey").alias("activity_id"),
-                                 F.col("l_partkey").alias("contact_id")).distinct()
-
-    contact = o.select(F.col("o_orderkey").alias("id"),
-                       F.col("o_custkey").alias("account_id"),
-                       F.concat(F.lit("Contact "), F.col("o_orderkey").cast("string")).alias("name"),
-                       F.when(F.col("o_orderkey") % 5 == 0, F.lit(None).cast("string"))
-                        .otherwise(F.concat(F.col("o_orderpriority"), F.lit("  "))).alias("label"),
-                       F.when(F.col("o_orderpriority").startswith("1"), F.lit("Yes"))
-                        .otherwise(F.lit("No")).alias("is_primary"),
-                       F.col("o_orderstatus").alias("contact_type"))
+                .selectExpr(
+                    "event_id AS id", "user_id AS owner_id",
+                    "CASE WHEN event_id % 13 = 0 THEN user_id + 3 ELSE user_id END AS contactor_1",
+                    "CASE WHEN event_id % 3 = 0 THEN user_id + 1 END AS contactor_2",
+                    "CASE WHEN event_id % 7 = 0 THEN user_id + 2 END AS contactor_3",
+                    f"{_sql_case('event_type', ACTIVITY_TYPE_BY_EVENT, 'Email')} AS type",
+                    f"add_months(to_date(ts), {ACTIVITY_MONTH_SHIFT}) AS activity_date",
+                    "CASE WHEN value >= 400 THEN 'true' ELSE 'false' END AS substantive",
+                    "CASE WHEN event_id % 50 = 0 THEN CAST(NULL AS STRING) "
+                    "WHEN event_id % 50 = 1 THEN 'In Progress' ELSE 'Completed' END AS status",
+                    "props AS description", "o_custkey AS account_id",
+                    "CASE WHEN value >= 250 THEN 'Substantive Action' ELSE 'Follow-up' END AS subject",
+                    "CASE WHEN event_id % 2 = 0 THEN event_id END AS who_id",
+                    "CASE WHEN event_type IN ('view', 'click') THEN 'V' ELSE 'T' END AS record_type_id",
+                    "user_id + 1 AS created_by", "ts AS created_date",
+                    "user_id + 2 AS modified_by", "ts AS modified_date", "ts AS system_modstamp"))
+
+    activity_contact = li.selectExpr("l_orderkey AS activity_id", "l_partkey AS contact_id").distinct()
+
+    contact = o.selectExpr(
+        "o_orderkey AS id", "o_custkey AS account_id",
+        "concat('Contact ', CAST(o_orderkey AS STRING)) AS name",
+        "CASE WHEN o_orderkey % 5 = 0 THEN CAST(NULL AS STRING) ELSE concat(o_orderpriority, '  ') END AS label",
+        "CASE WHEN startswith(o_orderpriority, '1') THEN 'Yes' ELSE 'No' END AS is_primary",
+        "o_orderstatus AS contact_type")
 
     rating = (o.where(in_fy(F.col("o_orderdate"), RATING_FY, params))
-              .select(F.col("o_custkey").alias("account_id"),
-                      F.col("o_orderstatus").alias("record_type_id"),
-                      _case(F.col("o_orderpriority"), SEGMENT_BY_PRIORITY).alias("segment")))
+              .selectExpr("o_custkey AS account_id", "o_orderstatus AS record_type_id",
+                          f"{_sql_case('o_orderpriority', SEGMENT_BY_PRIORITY)} AS segment"))
 
-    spark_rt = spark.createDataFrame(list(RECORD_TYPES), "id string, name string")
+    rt_rows = ", ".join(f"('{i}', '{n}')" for i, n in RECORD_TYPES)
+    record_type = spark.sql(f"SELECT * FROM VALUES {rt_rows} AS t(id, name)")
 
-    task = activity.select("id", "account_id", "activity_date", "created_by", "created_date",
-                           "modified_by", "modified_date", "owner_id",
-                           F.lit("T").alias("record_type_id"),
-                           F.col("type"),
-                           F.lit("Task").alias("subtype"),
-                           "system_modstamp",
-                           F.col("account_id").alias("what_id"),
-                           "who_id")
+    task = activity.selectExpr("id", "account_id", "activity_date", "created_by", "created_date",
+                               "modified_by", "modified_date", "owner_id", "'T' AS record_type_id",
+                               "type", "'Task' AS subtype", "system_modstamp", "account_id AS what_id",
+                               "who_id")
 
     goals_import = _goals_import(s)
 
     return Crm(account=account, user=user, officer=officer, team=team,
                opportunity=opportunity, opportunity_team=opportunity_team,
                activity=activity, activity_contact=activity_contact, contact=contact,
-               rating=rating, record_type=spark_rt, task=task, goals_import=goals_import)
+               rating=rating, record_type=record_type, task=task, goals_import=goals_import)
 
 
 def _goals_import(s: DataFrame) -> DataFrame:
     """The goals spreadsheet as imported: every cell is text."""
-    key = F.col("s_suppkey")
-    nat = F.col("s_nationkey")
-    bal = _money(F.col("s_acctbal"))
 
-    def txt(c):
-        return c.cast("string")
+    def single(number: str) -> str:
+        return (f"CASE s_suppkey % 4 WHEN 0 THEN CAST({number} AS STRING) WHEN 1 THEN '0' "
+                "WHEN 2 THEN '' ELSE CAST(NULL AS STRING) END")
 
-    def single(number):
-        return (F.when(key % 4 == 0, txt(number))
-                .when(key % 4 == 1, F.lit("0"))
-                .when(key % 4 == 2, F.lit(""))
-                .otherwise(F.lit(None).cast("string")))
+    def money(x: str) -> str:
+        return f"CAST(CAST({x} AS DECIMAL(18,2)) AS STRING)"
 
     frames = []
     for fy in GOAL_FYS:
-        lvl4 = _money(bal * F.lit(200) + F.lit(2_000_000 - 500_000 * (GOAL_FYS[0] - fy)))
-        frames.append(s.select(
-            F.concat(F.split_part(F.col("s_name"), F.lit("#"), F.lit(2)), F.lit(", "),
-                     F.split_part(F.col("s_name"), F.lit("#"), F.lit(1))).alias("last_first"),
-            txt(_money(lvl4 - F.lit(1_000_000))).alias("dollar_goal_lvl3"),
-            txt(lvl4).alias("dollar_goal_lvl4"),
-            txt(_money(lvl4 + F.lit(1_000_000))).alias("dollar_goal_lvl5"),
-            single(_money(lvl4 + F.lit(500_000))).alias("dollar_goal_single"),
-            txt(nat + 10).alias("visit_goal_lvl3"),
-            txt(nat + 20).alias("visit_goal_lvl4"),
-            txt(nat + 30).alias("visit_goal_lvl5"),
-            single(nat + 25).alias("visit_goal_single"),
-            txt(nat + 5).alias("ask_goal_lvl3"),
-            txt(nat + 10).alias("ask_goal_lvl4"),
-            txt(nat + 15).alias("ask_goal_lvl5"),
-            single(nat + 12).alias("ask_goal_single"),
-            F.lit(f"{fy - 1}-07-01").alias("goal_date"),
-            F.lit(str(fy)).alias("goal_fy"),
-            F.when(key % 9 == 0, F.lit("tbd")).otherwise(txt(nat)).alias("discovery_visit_goal"),
-            txt(_money(lvl4 - F.lit(100_000))).alias("dollar_goal__lvl4_fy17"),
-            txt(_money(lvl4 - F.lit(200_000))).alias("dollar_goal__lvl4_fy16"),
-            txt(_money(lvl4 - F.lit(300_000))).alias("dollar_goal__lvl4_fy15"),
+        l4 = f"CAST(CAST(s_acctbal AS DECIMAL(18,2)) * 200 + {2_000_000 - 500_000 * (GOAL_FYS[0] - fy)} AS DECIMAL(18,2))"
+        frames.append(s.selectExpr(
+            "concat(split_part(s_name, '#', 2), ', ', split_part(s_name, '#', 1)) AS last_first",
+            f"{money(l4 + ' - 1000000')} AS dollar_goal_lvl3",
+            f"CAST({l4} AS STRING) AS dollar_goal_lvl4",
+            f"{money(l4 + ' + 1000000')} AS dollar_goal_lvl5",
+            f"{single('CAST(' + l4 + ' + 500000 AS DECIMAL(18,2))')} AS dollar_goal_single",
+            "CAST(s_nationkey + 10 AS STRING) AS visit_goal_lvl3",
+            "CAST(s_nationkey + 20 AS STRING) AS visit_goal_lvl4",
+            "CAST(s_nationkey + 30 AS STRING) AS visit_goal_lvl5",
+            f"{single('s_nationkey + 25')} AS visit_goal_single",
+            "CAST(s_nationkey + 5 AS STRING) AS ask_goal_lvl3",
+            "CAST(s_nationkey + 10 AS STRING) AS ask_goal_lvl4",
+            "CAST(s_nationkey + 15 AS STRING) AS ask_goal_lvl5",
+            f"{single('s_nationkey + 12')} AS ask_goal_single",
+            f"'{fy - 1}-07-01' AS goal_date",
+            f"'{fy}' AS goal_fy",
+            "CASE WHEN s_suppkey % 9 = 0 THEN 'tbd' ELSE CAST(s_nationkey AS STRING) END AS discovery_visit_goal",
+            f"{money(l4 + ' - 100000')} AS dollar_goal__lvl4_fy17",
+            f"{money(l4 + ' - 200000')} AS dollar_goal__lvl4_fy16",
+            f"{money(l4 + ' - 300000')} AS dollar_goal__lvl4_fy15",
         ))
     out = frames[0]
     for f in frames[1:]:
