@@ -200,7 +200,7 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
     record_type = spark.sql(f"SELECT * FROM VALUES {rt_rows} AS t(id, name)")
 
     task = activity.selectExpr("id", "account_id", "activity_date", "created_by", "created_date",
-                               "modified_by", "modified_date", "owner_id", "'T' AS record_type_id",
+                               "modified_by", "modified_date", "owner_id", "record_type_id",
                                "type", "'Task' AS subtype", "system_modstamp", "account_id AS what_id",
                                "who_id")
 
