@@ -54,3 +54,29 @@ def role_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Select and rename from an ordered mapping (source -> output)."""
     return df.select(*[F.col(src).alias(dst) for src, dst in mapping.items()])
+
+
+def bridge_left_join(left: DataFrame, bridge: DataFrame, left_key: str,
+                     bridge_key: str) -> DataFrame:
+    """``left LEFT JOIN bridge ON left_key = bridge_key`` that survives a hot
+    key on the bridge side (one activity with a third of all contact links,
+    one opportunity with a third of all team rows).
+
+    AQE can split a skewed partition of an outer join only on the preserved
+    (left) side, so a hot bridge key would land in one task.  The join is
+    therefore written as
+
+    * an inner join -- AQE splits skewed partitions on either side, and
+    * the left rows without any bridge row (anti join against the distinct
+      bridge keys, which partial aggregation shrinks to one row per key per
+      task), padded with typed NULLs.
+
+    Both halves shuffle ``left`` the same way, so the exchange is reused and
+    the left input is read once.  Column names of the two inputs must not
+    overlap.
+    """
+    matched = left.join(bridge, left[left_key] == bridge[bridge_key], "inner")
+    keys = bridge.select(F.col(bridge_key).alias("__bridge_key")).distinct()
+    unmatched = left.join(keys, left[left_key] == keys["__bridge_key"], "left_anti")
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in bridge.schema.fields]
+    return matched.unionByName(unmatched.select(*[F.col(c) for c in left.columns], *pad))

@@ -10,7 +10,7 @@ from .. import params as P
 from ..functions.fiscal import fiscal_year, fy_amount_columns, fy_column_name, in_report_range
 from ..functions.names import kept_owner, sort_name
 from ..functions.rules import threshold_ladder, visit_qualifies
-from ..operators.relational import align_union, unpivot_non_null
+from ..operators.relational import align_union, bridge_left_join, unpivot_non_null
 from ..params import Params
 from ..sources.standins import Crm
 
@@ -51,7 +51,7 @@ def contacts_visits(crm: Crm, params: Params) -> DataFrame:
     act = _owner_filtered(crm, params, visit_types_only=True)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_id_rc"))
-    joined = act.join(links, act.id == links.activity_id_rc, "left")
+    joined = bridge_left_join(act, links, "id", "activity_id_rc")
     base = joined.select(
         F.col("owner_id").alias("do_id"),
         F.col("activity_date").alias("actcompdat"),
@@ -76,7 +76,7 @@ def visit_contacts(crm: Crm, params: Params) -> DataFrame:
     act = crm.activity.where(F.col("type").isin(list(params.visit_types)))
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_id_rc"))
-    base = (act.join(links, act.id == links.activity_id_rc, "left")
+    base = (bridge_left_join(act, links, "id", "activity_id_rc")
             .select(F.col("type").alias("ActivityType"),
                     F.col("description").alias("Activity_Description"),
                     F.col("activity_date").alias("ActivityDate"),
@@ -97,7 +97,7 @@ def activities(crm: Crm, params: Params) -> DataFrame:
     act = _owner_filtered(crm, params, visit_types_only=False)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_rc"))
-    base = (act.join(links, act.id == links.activity_id_rc, "left")
+    base = (bridge_left_join(act, links, "id", "activity_id_rc")
             .select(F.col("owner_id").alias("OwnerID"),
                     F.col("owner_name").alias("OwnerName"),
                     F.col("type").alias("ActivityType"),
@@ -127,7 +127,7 @@ def opportunities(crm: Crm, params: Params) -> DataFrame:
     team = crm.opportunity_team.select(F.col("opportunity_id"), F.col("user_id").alias("optm_userID"),
                                        F.col("name").alias("optm_name"),
                                        F.col("role").alias("solicitor_level"))
-    j = opp.join(team, opp.id == team.opportunity_id, "left")
+    j = bridge_left_join(opp, team, "id", "opportunity_id")
     return j.select(
         F.col("owner_id").alias("OwnerID"),
         "ask_date",

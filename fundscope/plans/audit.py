@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import kept_owner
-from ..operators.relational import role_join
+from ..operators.relational import bridge_left_join, role_join
 from ..params import Params
 from ..sources.standins import Crm
 
@@ -18,8 +18,8 @@ def proposals(crm: Crm) -> DataFrame:
     team = crm.opportunity_team.select(F.col("opportunity_id"), F.col("name").alias("solicitor"),
                                        F.col("role").alias("solicitor_level"))
     acc = crm.account.select(F.col("id").alias("__acc"), F.col("name").alias("AccountName"))
-    j = (opp.join(team, opp.id == team.opportunity_id, "left")
-         .join(acc, opp.account_id == acc.__acc, "left"))
+    j = (bridge_left_join(opp, team, "id", "opportunity_id")
+         .join(acc, F.col("account_id") == acc.__acc, "left"))
     return j.select(F.col("owner_id").alias("do_id"),
                     F.col("lead_solicitor_id").alias("Lead_Solicitor_ID"),
                     F.col("ask_date"), F.col("ask_amount").alias("ask_amt"),
@@ -36,7 +36,7 @@ def proposal_wide(crm: Crm) -> DataFrame:
     opp = crm.opportunity
     team = crm.opportunity_team.select(F.col("opportunity_id"), F.col("name").alias("DO_name"),
                                        F.col("role").alias("TeamMemberRole"))
-    j = opp.join(team, opp.id == team.opportunity_id, "left")
+    j = bridge_left_join(opp, team, "id", "opportunity_id")
     return j.select(F.col("id").alias("OpportunityID"), F.col("stage").alias("StageName"),
                     F.col("owner_id").alias("OwnerID"),
                     F.col("lead_solicitor_id").alias("Lead_Solicitor_ID"),
@@ -123,7 +123,7 @@ def activity_contacts_audit(crm: Crm, params: Params) -> DataFrame:
                   bounded=True)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_id_rc"))
-    j = a.join(links, a.id == links.activity_id_rc, "left")
+    j = bridge_left_join(a, links, "id", "activity_id_rc")
     return j.select(F.col("owner_id").alias("OwnerID"), "OwnerName",
                     F.col("type").alias("ActivityType"),
                     F.col("description").alias("Activity_Description"),
