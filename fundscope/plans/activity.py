@@ -228,3 +228,22 @@ def activity_list(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
     schema = activity_list_schema(params, id_type)
     return align_union([visits(crm, key, params), asks(crm, key, params),
                         dollars(crm, key, params)], schema)
+
+
+def write_activity_list(activity_list_df: DataFrame, path: str) -> None:
+    """Store the activity list once, partitioned by fiscal year.  Readers of
+    one FY (every scorecard roll-up) then read that partition only
+    (``PartitionFilters`` on ``comb_fy``) instead of re-deriving the list.
+    Rows whose FY is unknown land in the NULL partition."""
+    from ..sources.sinks import materialise
+    materialise(activity_list_df, path, partition_by=["comb_fy"])
+
+
+def read_activity_list(spark, path: str, params: Params, fy: int | None = None) -> DataFrame:
+    """The stored activity list, optionally cut to one fiscal year by
+    partition pruning (the FY filters of the roll-ups stay as they are)."""
+    df = spark.read.parquet(path)
+    if fy is not None:
+        df = df.where(F.col("comb_fy") == fy)
+    id_type = df.schema["AccountID"].dataType
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in activity_list_schema(params, id_type).fields])

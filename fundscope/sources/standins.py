@@ -163,25 +163,7 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
                        f"year(add_months({close}, {fy_shift})) AS fiscal_year",
                        f"quarter(add_months({close}, {fy_shift})) AS fiscal_quarter"))
 
-    e = t["events"]
-    orders_acct = o.select("o_orderkey", "o_custkey")
-    activity = (e.join(orders_acct, e.event_id == orders_acct.o_orderkey, "left")
-                .selectExpr(
-                    "event_id AS id", "user_id AS owner_id",
-                    "CASE WHEN event_id % 13 = 0 THEN user_id + 3 ELSE user_id END AS contactor_1",
-                    "CASE WHEN event_id % 3 = 0 THEN user_id + 1 END AS contactor_2",
-                    "CASE WHEN event_id % 7 = 0 THEN user_id + 2 END AS contactor_3",
-                    f"{_sql_case('event_type', ACTIVITY_TYPE_BY_EVENT, 'Email')} AS type",
-                    f"add_months(to_date(ts), {ACTIVITY_MONTH_SHIFT}) AS activity_date",
-                    "CASE WHEN value >= 400 THEN 'true' ELSE 'false' END AS substantive",
-                    "CASE WHEN event_id % 50 = 0 THEN CAST(NULL AS STRING) "
-                    "WHEN event_id % 50 = 1 THEN 'In Progress' ELSE 'Completed' END AS status",
-                    "props AS description", "o_custkey AS account_id",
-                    "CASE WHEN value >= 250 THEN 'Substantive Action' ELSE 'Follow-up' END AS subject",
-                    "CASE WHEN event_id % 2 = 0 THEN event_id END AS who_id",
-                    "CASE WHEN event_type IN ('view', 'click') THEN 'V' ELSE 'T' END AS record_type_id",
-                    "user_id + 1 AS created_by", "ts AS created_date",
-                    "user_id + 2 AS modified_by", "ts AS modified_date", "ts AS system_modstamp"))
+    activity = activity_from_events(t["events"], o)
 
     activity_contact = li.selectExpr("l_orderkey AS activity_id", "l_partkey AS contact_id").distinct()
 
@@ -212,6 +194,29 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
                rating=rating, record_type=record_type, task=task, goals_import=goals_import)
 
 
+def activity_from_events(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """The activity table from events (batch or streaming): the related
+    account is the customer of the order sharing the event id."""
+    orders_acct = orders.select("o_orderkey", "o_custkey")
+    return (events.join(orders_acct, events.event_id == orders_acct.o_orderkey, "left")
+            .selectExpr(
+                "event_id AS id", "user_id AS owner_id",
+                "CASE WHEN event_id % 13 = 0 THEN user_id + 3 ELSE user_id END AS contactor_1",
+                "CASE WHEN event_id % 3 = 0 THEN user_id + 1 END AS contactor_2",
+                "CASE WHEN event_id % 7 = 0 THEN user_id + 2 END AS contactor_3",
+                f"{_sql_case('event_type', ACTIVITY_TYPE_BY_EVENT, 'Email')} AS type",
+                f"add_months(to_date(ts), {ACTIVITY_MONTH_SHIFT}) AS activity_date",
+                "CASE WHEN value >= 400 THEN 'true' ELSE 'false' END AS substantive",
+                "CASE WHEN event_id % 50 = 0 THEN CAST(NULL AS STRING) "
+                "WHEN event_id % 50 = 1 THEN 'In Progress' ELSE 'Completed' END AS status",
+                "props AS description", "o_custkey AS account_id",
+                "CASE WHEN value >= 250 THEN 'Substantive Action' ELSE 'Follow-up' END AS subject",
+                "CASE WHEN event_id % 2 = 0 THEN event_id END AS who_id",
+                "CASE WHEN event_type IN ('view', 'click') THEN 'V' ELSE 'T' END AS record_type_id",
+                "user_id + 1 AS created_by", "ts AS created_date",
+                "user_id + 2 AS modified_by", "ts AS modified_date", "ts AS system_modstamp"))
+
+
 def _goals_import(s: DataFrame) -> DataFrame:
     """The goals spreadsheet as imported: every cell is text."""
 
