@@ -28,16 +28,21 @@ def sort_name(first, last) -> Column:
     return F.concat(F.upper(_col(last)), F.lit("/"), F.upper(_col(first)))
 
 
-def team_flag(team, teams) -> Column:
+def text(c, collation: str | None = None) -> Column:
+    """A string column compared under ``collation`` (None: byte-wise)."""
+    return F.collate(_col(c), collation) if collation else _col(c)
+
+
+def team_flag(team, teams, collation: str | None = None) -> Column:
     """'Y' when ``team`` is one of ``teams``, else NULL (CASE without ELSE)."""
-    return F.when(_col(team).isin(list(teams)), F.lit("Y"))
+    return F.when(text(team, collation).isin(list(teams)), F.lit("Y"))
 
 
-def kept_owner(name, excluded) -> Column:
+def kept_owner(name, excluded, collation: str | None = None) -> Column:
     """``name <> x`` for every excluded x: a NULL name never passes."""
     cond = _col(name).isNotNull()
     if excluded:
-        cond = cond & ~_col(name).isin(list(excluded))
+        cond = cond & ~text(name, collation).isin(list(excluded))
     return cond
 
 

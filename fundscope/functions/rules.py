@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..params import Params
+from .names import text
 
 
 def _col(c) -> Column:
@@ -18,15 +19,16 @@ def visit_qualifies(activity_type, team, contactor_name, subject, substantive,
     wider visit rule and the type is a visit or assist, or the contactor is
     one of the named people and the activity is a visit, assist, a prospect
     activity with the substantive subject, or flagged substantive."""
-    t = _col(activity_type)
+    coll = params.collation
+    t = text(activity_type, coll)
     cond = t.isin(list(params.plain_visit_types))
-    cond = cond | ((_col(team) == F.lit(params.visit_team)) & t.isin(list(params.visit_types)))
+    cond = cond | ((text(team, coll) == F.lit(params.visit_team)) & t.isin(list(params.visit_types)))
     if params.visit_people:
         wide = (t.isin(list(params.visit_types))
                 | ((t == F.lit(params.prospect_activity_type))
-                   & (_col(subject) == F.lit(params.substantive_subject)))
-                | (_col(substantive) == F.lit(params.substantive_flag)))
-        cond = cond | (_col(contactor_name).isin(list(params.visit_people)) & wide)
+                   & (text(subject, coll) == F.lit(params.substantive_subject)))
+                | (text(substantive, coll) == F.lit(params.substantive_flag)))
+        cond = cond | (text(contactor_name, coll).isin(list(params.visit_people)) & wide)
     # NULLs in any test make the OR unknown -> the row is not kept
     return F.coalesce(cond, F.lit(False))
 
@@ -35,7 +37,9 @@ def threshold_ladder(name, level, team, amount, params: Params) -> Column:
     """'Y' / 'N' by the first rule that matches, in this order: named person,
     level without minimum, team without minimum, team with minimum, level
     with minimum.  A NULL amount never passes a minimum."""
-    name, level, team, amount = map(_col, (name, level, team, amount))
+    coll = params.collation
+    name, level, team = (text(c, coll) for c in (name, level, team))
+    amount = _col(amount)
     steps: list[Column] = []
     if params.always_count_people:
         steps.append(name.isin(list(params.always_count_people)))

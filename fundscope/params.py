@@ -48,6 +48,9 @@ SEGMENT_CODES = {
 # capacity amount lower bounds -> tier code 1..6 (below the last or NULL = 0)
 CAPACITY_CUTOFFS = (10_000_000, 5_000_000, 1_000_000, 100_000, 25_000, 1_000)
 
+# account status whose capacity is reported
+ACTIVE_STATUS = "Active"
+
 # rating record types that count, and the label of each capacity source
 RATING_RECORD_TYPES = ("GGA", "Gu Capacity")
 SOURCE_VENDOR = "GG+A"
@@ -138,7 +141,12 @@ class Params:
     segment_codes: dict = field(default_factory=lambda: dict(SEGMENT_CODES))
     capacity_cutoffs: tuple = CAPACITY_CUTOFFS
     rating_record_types: tuple = RATING_RECORD_TYPES
+    active_status: str = ACTIVE_STATUS
     top_n: int = TOP_GIFTS_N
+    # string comparisons of the rules: None = byte-wise (as DuckDB and Spark
+    # default); "UTF8_LCASE_RTRIM" ignores case and trailing blanks, the
+    # usual behaviour of the database the rules were written for
+    collation: str | None = None
 
     # people and records named by the organisation (data, not code)
     excluded_owners: tuple = ()           # owners whose activities are ignored

@@ -43,7 +43,7 @@ def _owner_filtered(crm: Crm, params: Params, visit_types_only: bool) -> DataFra
     act = crm.activity
     if visit_types_only:
         act = act.where(F.col("type").isin(list(params.visit_types)))
-    return act.join(owner, "owner_id", "inner").where(kept_owner("owner_name", params.excluded_owners))
+    return act.join(owner, "owner_id", "inner").where(kept_owner("owner_name", params.excluded_owners, params.collation))
 
 
 def contacts_visits(crm: Crm, params: Params) -> DataFrame:

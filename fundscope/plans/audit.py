@@ -95,7 +95,7 @@ def activity_audit(crm: Crm, params: Params) -> DataFrame:
     """P10: visit-type activities with audit names; excluded or unnamed
     owners dropped."""
     a = crm.activity.where(F.col("type").isin(list(params.visit_types)))
-    a = _audit_names(a, crm).where(kept_owner("OwnerName", params.excluded_owners))
+    a = _audit_names(a, crm).where(kept_owner("OwnerName", params.excluded_owners, params.collation))
     return a.select(F.col("owner_id").alias("OwnerID"), "OwnerName",
                     F.col("type").alias("ActivityType"), F.col("status").alias("ActivityStatus"),
                     F.col("description").alias("Activity_Description"),
@@ -118,7 +118,7 @@ def activity_contacts_audit(crm: Crm, params: Params) -> DataFrame:
     contact."""
     a = crm.activity.where(F.col("type").isin(list(params.visit_types)))
     a = role_join(a, crm.user, "owner_id", "id", {"name": "OwnerName"})
-    a = a.where(kept_owner("OwnerName", params.excluded_owners))
+    a = a.where(kept_owner("OwnerName", params.excluded_owners, params.collation))
     a = role_join(a, crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"},
                   bounded=True)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),

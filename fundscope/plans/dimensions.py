@@ -35,7 +35,7 @@ def name_key(crm: Crm, params: Params) -> DataFrame:
                     F.col("do_team"),
                     F.col("level").alias("do_level"),
                     last_first_comma("first_name", "last_name").alias("last_first_comma"),
-                    team_flag("do_team", params.count_all_teams).alias("count_all_flag")))
+                    team_flag("do_team", params.count_all_teams, params.collation).alias("count_all_flag")))
     if not params.override_officers:
         return main
     id_type = main.schema["do_id"].dataType
@@ -65,7 +65,7 @@ def capacity_tiers(crm: Crm, params: Params) -> DataFrame:
                    .agg(F.max(F.when(counted, segment_code("segment", params.segment_codes)))
                          .alias("vendor_code"),
                         F.max(counted).alias("any_counted")))
-    acc = (crm.account.where(F.col("status") == "Active")
+    acc = (crm.account.where(F.col("status") == params.active_status)
            .select(F.col("id").alias("account_id"),
                    numeric_tier("capacity", params.capacity_cutoffs).alias("research_code")))
     joined = (acc.join(per_account, "account_id", "left")

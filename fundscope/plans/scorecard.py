@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.fiscal import in_fy
+from ..functions.names import team_flag
 from ..operators.credit import credited_dollars, effective_goal, goal_level, role_dollars
 from ..params import Params
 from .dimensions import goals_for_fy
@@ -70,7 +71,7 @@ def dollars_rollup(activity_list: DataFrame, key: DataFrame, goal_rows: DataFram
             "dollar_goal_single", "do_team", "do_level", "do_id"]
     d = role_dollars(j, keys, "solicitor_level", "gift_amt", params.lead_role, params.co_role,
                      "lead_dollars", "co_dollars")
-    flag = F.when(F.col("do_team").isin(list(params.count_all_teams)), F.lit("Y"))
+    flag = team_flag("do_team", params.count_all_teams, params.collation)
     d = d.withColumn("count_all_flag", flag)
     # one row per distinct (officer, sums, flag, goals): the team and level
     # only served the flag

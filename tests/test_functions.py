@@ -104,3 +104,12 @@ def test_visit_qualifies(spark):
     df = spark.createDataFrame(rows, "t string, team string, c string, s string, f string")
     got = [r.q for r in df.select(visit_qualifies("t", "team", "c", "s", "f", p).alias("q")).collect()]
     assert got == [True, False, True, True, True, False]
+
+
+def test_collation_option(spark):
+    p = Params(collation="UTF8_LCASE_RTRIM")
+    df = spark.createDataFrame([("visit ", "gulc"), ("Visit Assist", "GULC  ")], "t string, team string")
+    byte = [r.q for r in df.select(visit_qualifies("t", "team", "t", "t", "t", Params()).alias("q")).collect()]
+    ci = [r.q for r in df.select(visit_qualifies("t", "team", "t", "t", "t", p).alias("q")).collect()]
+    assert byte == [False, False] and ci == [True, True]
+    assert [r.f for r in df.select(team_flag("team", ["GULC"], p.collation).alias("f")).collect()] == ["Y", "Y"]
