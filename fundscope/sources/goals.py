@@ -57,3 +57,14 @@ def rejected_cells(raw: DataFrame, schema=GOALS_SCHEMA) -> DataFrame:
         f"'{out}', `{out}__blank`, `{out}__rejected`" for out, _, typ in schema if typ != "string")
     n = sum(1 for _, _, typ in schema if typ != "string")
     return wide.selectExpr(f"stack({n}, {stack}) as (column_name, blank_cells, rejected_cells)")
+
+
+def correct_names(raw: DataFrame, corrections: DataFrame, column: str = "last_first") -> DataFrame:
+    """Apply a correction table (``old_name``, ``new_name``) to the name
+    column of the imported goals before matching them to officers: the
+    manual renames of the spreadsheet kept as data, not code.  The table is
+    joined, not broadcast by hint; the planner sizes it."""
+    fix = corrections.select(F.col("old_name").alias("__old"), F.col("new_name").alias("__new"))
+    j = raw.join(fix, raw[column] == fix["__old"], "left")
+    return j.select(*[F.coalesce(F.col("__new"), F.col(c)).alias(c) if c == column else F.col(c)
+                      for c in raw.columns])

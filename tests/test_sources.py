@@ -57,3 +57,11 @@ def test_checkpoint_dir_and_cut(spark, scratch):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     cut = cut_lineage(df)
     assert cut.count() == 10
+
+
+def test_correct_names(spark):
+    from fundscope.sources.goals import correct_names
+    raw = spark.createDataFrame([("Smith, Jo", "1"), ("Lee, Ann", "2")], "last_first string, x string")
+    fix = spark.createDataFrame([("Smith, Jo", "Brown, Jo")], "old_name string, new_name string")
+    got = sorted(tuple(r) for r in correct_names(raw, fix).collect())
+    assert got == [("Lee, Ann", "2"), ("Brown, Jo", "1")]
