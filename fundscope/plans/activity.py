@@ -193,15 +193,19 @@ def asks(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
         "StageName", "lead_solicitor_ID", "first_last", "last_first", "last_first_comma")
 
 
+def dollar_candidates(crm: Crm, params: Params) -> DataFrame:
+    """Lead and secondary opportunity rows asked or closed in the reporting
+    range: the input of the dollars branch before de-duplication."""
+    o = opportunities(crm, params)
+    in_range = in_report_range("ask_date", params) | in_report_range("gift_date", params)
+    return o.where(F.col("solicitor_level").isin(params.lead_role, params.co_role) & in_range)
+
+
 def dollars(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
     """P5e: lead and secondary rows asked or closed in the reporting range,
     credited to the team member, de-duplicated on every output column (two
     equal gifts with the same name, date and account count once)."""
-    first, last = params.report_bounds
-    o = opportunities(crm, params)
-    in_range = (F.col("ask_date").between(F.lit(first), F.lit(last))
-                | F.col("gift_date").between(F.lit(first), F.lit(last)))
-    o = o.where(F.col("solicitor_level").isin(params.lead_role, params.co_role) & in_range)
+    o = dollar_candidates(crm, params)
     j = (o.join(_accounts(crm), o.AccountID == F.col("__acc"), "left")
          .join(_officers(key), o.optm_userID == F.col("__do"), "left"))
     fy_cols = [fy_column_name(fy) for fy in params.report_fys]

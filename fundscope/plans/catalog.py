@@ -192,6 +192,8 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "qa_account_rows_opps": lambda c: C.account_rows_opportunities(c.crm, SAMPLE_ACCOUNTS),
     "qa_multi_lead": lambda c: C.multi_lead(c.crm, c.params),
     "qa_unmatched_goals": lambda c: C.unmatched_goals(c.goals),
+    "qa_collapsed_dollars": lambda c: C.collapsed_dollars(A.dollar_candidates(c.crm, c.params),
+                                                          _branch(P.SOURCE_DOLLARS)(c)),
 }
 
 

@@ -482,4 +482,15 @@ def finals(p: Params) -> dict[str, tuple[str, list]]:
         FROM opportunity_team WHERE role = {_q(p.lead_role)}
         GROUP BY opportunity_id HAVING count(DISTINCT user_id) > 1""", [])
     out["qa_unmatched_goals"] = ("SELECT last_first, goal_fy FROM goals WHERE do_id IS NULL", [])
+    out["qa_collapsed_dollars"] = ("""SELECT coalesce(a.solicitor_level, b.solicitor_level) AS solicitor_level,
+            a.rows_in, b.rows_out, coalesce(a.rows_in, 0) - coalesce(b.rows_out, 0) AS merged
+        FROM (SELECT solicitor_level, count(*) AS rows_in FROM opps
+              WHERE solicitor_level IN ({lead}, {co})
+                AND ((ask_date >= DATE '{ra}' AND ask_date <= DATE '{rb}')
+                  OR (gift_date >= DATE '{ra}' AND gift_date <= DATE '{rb}'))
+              GROUP BY solicitor_level) a
+        FULL JOIN (SELECT solicitor_level, count(*) AS rows_out FROM activity_list
+                   WHERE source = 'all_asks' GROUP BY solicitor_level) b
+          ON a.solicitor_level = b.solicitor_level""".format(
+        lead=_q(p.lead_role), co=_q(p.co_role), ra=ra, rb=rb), [])
     return out
