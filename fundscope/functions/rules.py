@@ -33,6 +33,23 @@ def visit_qualifies(activity_type, team, contactor_name, subject, substantive,
     return F.coalesce(cond, F.lit(False))
 
 
+def visit_candidate(activity_type, subject, substantive, params: Params) -> Column:
+    """A necessary condition of :func:`visit_qualifies` that reads only the
+    activity's own columns.  Applied before the activities are multiplied by
+    contactors and contact links (and before the joins that bring the team
+    and contactor name), it drops rows that can never qualify; Catalyst
+    cannot infer it because the full rule also reads joined columns."""
+    coll = params.collation
+    t = text(activity_type, coll)
+    cond = t.isin(list(params.plain_visit_types) + list(params.visit_types))
+    if params.visit_people:
+        cond = (cond
+                | ((t == F.lit(params.prospect_activity_type))
+                   & (text(subject, coll) == F.lit(params.substantive_subject)))
+                | (text(substantive, coll) == F.lit(params.substantive_flag)))
+    return F.coalesce(cond, F.lit(False))
+
+
 def threshold_ladder(name, level, team, amount, params: Params) -> Column:
     """'Y' / 'N' by the first rule that matches, in this order: named person,
     level without minimum, team without minimum, team with minimum, level

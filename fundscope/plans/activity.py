@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from .. import params as P
 from ..functions.fiscal import fiscal_year, fy_amount_columns, fy_column_name, in_report_range
 from ..functions.names import kept_owner, sort_name
-from ..functions.rules import threshold_ladder, visit_qualifies
+from ..functions.rules import threshold_ladder, visit_candidate, visit_qualifies
 from ..operators.relational import align_union, bridge_left_join, unpivot_non_null
 from ..params import Params
 from ..sources.standins import Crm
@@ -157,8 +159,13 @@ def _officers(key: DataFrame) -> DataFrame:
 
 
 def visits(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
-    """Activity rows that qualify as visits in the reporting range."""
-    a = activities(crm, params).where(in_report_range("ActivityDate", params))
+    """Activity rows that qualify as visits in the reporting range.
+
+    The date window and the necessary part of the visit rule are applied to
+    the activities themselves, before the contactor x link expansion."""
+    early = crm.activity.where(in_report_range("activity_date", params)
+                               & visit_candidate("type", "subject", "substantive", params))
+    a = activities(replace(crm, activity=early), params)
     j = (a.join(_accounts(crm), a.AccountID == F.col("__acc"), "left")
          .join(_officers(key), a.OwnerID == F.col("__do"), "left"))
     q = visit_qualifies("ActivityType", "do_team", "contactor_name", "Subject__c",
