@@ -84,7 +84,7 @@ def base_ctes(p: Params) -> list[tuple[str, str]]:
                    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"""),
         ("account", """SELECT c.c_custkey AS id, c.c_name AS name, g.n_name AS district,
                    g.r_name AS region,
-                   CASE WHEN c.c_custkey % 10 = 0 THEN 'Inactive' ELSE 'Active' END AS status,
+                   CASE WHEN c.c_acctbal < 0 THEN 'Inactive' ELSE 'Active' END AS status,
                    c.c_mktsegment AS account_type,
                    CAST(CAST(c.c_acctbal AS DECIMAL(18,2)) * 1100 AS DECIMAL(18,2)) AS capacity
                    FROM customer c LEFT JOIN geo g ON c.c_nationkey = g.n_nationkey"""),
@@ -96,7 +96,7 @@ def base_ctes(p: Params) -> list[tuple[str, str]]:
         ("officer", f"""SELECT s.s_suppkey AS user_id, n.n_regionkey AS team_id,
                    CASE s.s_suppkey % 6 {levels} END AS level
                    FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
-                   WHERE s.s_suppkey % 10 <> 7"""),
+                   WHERE s.s_acctbal >= 0"""),
         ("team", f"SELECT r_regionkey AS id, {_case('r_name', S.TEAM_BY_REGION)} AS name FROM region"),
         ("heads", """SELECT l_orderkey, min(CASE WHEN l_linenumber = 1 THEN l_suppkey END) AS lead,
                    min(l_suppkey) AS owner FROM lineitem GROUP BY l_orderkey"""),

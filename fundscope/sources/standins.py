@@ -10,7 +10,7 @@ CRM table            derived from
 ===================  =========================================================
 account              customer + nation + region
 user                 supplier (first name / last name split at ``#``)
-officer, team        supplier + nation, region (one team per region)
+officer, team        supplier (balance >= 0) + nation, region (one team per region)
 opportunity          orders + the line-1 supplier as lead
 opportunity_team     distinct (order, supplier, role by line number)
 activity             events (+ the order sharing the id, for the account)
@@ -113,7 +113,7 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
     account = (c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")
                .selectExpr("c_custkey AS id", "c_name AS name", "n_name AS district",
                            "r_name AS region",
-                           "CASE WHEN c_custkey % 10 = 0 THEN 'Inactive' ELSE 'Active' END AS status",
+                           "CASE WHEN c_acctbal < 0 THEN 'Inactive' ELSE 'Active' END AS status",
                            "c_mktsegment AS account_type",
                            "CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 1100 AS DECIMAL(18,2)) AS capacity"))
 
@@ -126,7 +126,8 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
         "split_part(s_name, '#', 2) AS last_name")
 
     levels = ", ".join(f"'{x}'" for x in LEVELS)
-    officer = (s.where("s_suppkey % 10 != 7")
+    # staff with a negative balance stand for users who are not officers
+    officer = (s.where("s_acctbal >= 0")
                .join(F.broadcast(nation), s.s_nationkey == nation.n_nationkey, "left")
                .selectExpr("s_suppkey AS user_id", "n_regionkey AS team_id",
                            f"element_at(array({levels}), CAST(s_suppkey % {len(LEVELS)} + 1 AS INT)) AS level"))
@@ -264,13 +265,15 @@ def standin_params(sf_dir: str | None = None) -> Params:
     moved into January 1998).  People are picked among the first suppliers,
     which exist at every scale; ids of the exclusions are order keys.
     """
-    officer7 = {
-        "do_id": 7,
-        "first_last": "Supplier 000000007",
-        "last_first": "000000007 Supplier",
+    # a manual name-key row for a user missing from the officer table (at
+    # sf0.01 supplier 20 has a negative balance, so it is no officer there)
+    manual_officer = {
+        "do_id": 20,
+        "first_last": "Supplier 000000020",
+        "last_first": "000000020 Supplier",
         "do_team": "Planned Giving",
         "do_level": "DOD",
-        "last_first_comma": "000000007, Supplier",
+        "last_first_comma": "000000020, Supplier",
         "count_all_flag": "Y",
     }
     return Params(
@@ -280,5 +283,5 @@ def standin_params(sf_dir: str | None = None) -> Params:
         always_count_people=("Supplier 000000008",),
         excluded_opportunity_ids=(1161, 1834),
         multiple_lead_overrides=((736, "498622.84"),),
-        override_officers=(officer7,),
+        override_officers=(manual_officer,),
     )
