@@ -64,4 +64,4 @@ def test_correct_names(spark):
     raw = spark.createDataFrame([("Smith, Jo", "1"), ("Lee, Ann", "2")], "last_first string, x string")
     fix = spark.createDataFrame([("Smith, Jo", "Brown, Jo")], "old_name string, new_name string")
     got = sorted(tuple(r) for r in correct_names(raw, fix).collect())
-    assert got == [("Lee, Ann", "2"), ("Brown, Jo", "1")]
+    assert got == [("Brown, Jo", "1"), ("Lee, Ann", "2")]
