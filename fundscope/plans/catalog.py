@@ -45,7 +45,12 @@ class Ctx:
 
     @cached_property
     def crm(self) -> standins.Crm:
-        return standins.load(self.spark, self.sf_dir, self.params)
+        crm = standins.load(self.spark, self.sf_dir, self.params)
+        folder = self.spark.conf.get(standins.STORE_CONF, None)
+        if folder:
+            slug = self.sf_dir.rstrip("/").replace("/", "_").strip("_")
+            crm = standins.store(self.spark, crm, f"{folder.rstrip('/')}/{slug}")
+        return crm
 
     @cached_property
     def key(self) -> DataFrame:

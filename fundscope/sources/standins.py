@@ -285,3 +285,24 @@ def standin_params(sf_dir: str | None = None) -> Params:
         multiple_lead_overrides=((736, "498622.84"),),
         override_officers=(manual_officer,),
     )
+
+
+STORE_CONF = "fundscope.standins.store"
+ROWS_PER_FILE = 100_000
+
+
+def store(spark: SparkSession, crm: Crm, folder: str) -> Crm:
+    """Write every stand-in table once as Parquet under ``folder`` and read
+    it back.  This is what a deployment has anyway (the CRM copy is a set of
+    stored tables): later queries read stored tables, with column pruning,
+    pushed filters and file-size statistics for the planner, instead of
+    re-deriving them from the test tables.  ``folder`` must be shared by
+    the cluster (a subfolder of ``spark.checkpoint.dir``); files are capped
+    at ``ROWS_PER_FILE`` rows so a table is never one unsplittable file."""
+    out = {}
+    for name in Crm.__dataclass_fields__:
+        path = f"{folder.rstrip('/')}/{name}"
+        (getattr(crm, name).write.mode("overwrite")
+         .option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path))
+        out[name] = spark.read.parquet(path)
+    return Crm(**out)
