@@ -7,6 +7,7 @@ through the stand-ins and returns a lazy DataFrame.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -48,8 +49,11 @@ class Ctx:
         crm = standins.load(self.spark, self.sf_dir, self.params)
         folder = self.spark.conf.get(standins.STORE_CONF, None)
         if folder:
+            # a folder of its own per context: another context storing the
+            # same tables never overwrites files this one reads
             slug = self.sf_dir.rstrip("/").replace("/", "_").strip("_")
-            crm = standins.store(self.spark, crm, f"{folder.rstrip('/')}/{slug}")
+            crm = standins.store(self.spark, crm,
+                                 f"{folder.rstrip('/')}/{slug}-{uuid.uuid4().hex[:12]}")
         return crm
 
     @cached_property

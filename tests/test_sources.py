@@ -71,6 +71,7 @@ def test_stored_standins_same_results(spark, scratch):
     from fundscope.plans.catalog import Ctx, QUERIES
     from fundscope.sources import standins
     lazy = Ctx(spark, SF_SMALL)
+    lazy.crm  # derived per query (no store configured yet)
     spark.conf.set(standins.STORE_CONF, os.path.join(scratch, "standins"))
     try:
         stored = Ctx(spark, SF_SMALL)
