@@ -51,6 +51,17 @@ def role_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return fact.join(d, fact[fact_key] == d["__k"], how).drop("__k")
 
 
+def star_flatten(fact: DataFrame, dims) -> DataFrame:
+    """A fact with several dimensions: ``dims`` is a list of
+    ``(dimension, fact_key, dim_key, {dim column: output name}, bounded)``,
+    joined left in order (the same dimension may appear under several keys,
+    e.g. creator / modifier / owner)."""
+    out = fact
+    for dim, fact_key, dim_key, columns, bounded in dims:
+        out = role_join(out, dim, fact_key, dim_key, columns, "left", bounded)
+    return out
+
+
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Select and rename from an ordered mapping (source -> output)."""
     return df.select(*[F.col(src).alias(dst) for src, dst in mapping.items()])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import kept_owner
-from ..operators.relational import bridge_left_join, role_join
+from ..operators.relational import bridge_left_join, role_join, star_flatten
 from ..params import Params
 from ..sources.standins import Crm
 
@@ -67,11 +67,20 @@ def prospects(crm: Crm) -> DataFrame:
 def _audit_names(df: DataFrame, crm: Crm) -> DataFrame:
     """Creator, modifier and owner names (one user table, three roles) and
     the record type name (a fixed code list, broadcast)."""
-    df = role_join(df, crm.user, "created_by", "id", {"name": "CreatedByName"})
-    df = role_join(df, crm.user, "modified_by", "id", {"name": "LastModifiedByName"})
-    df = role_join(df, crm.user, "owner_id", "id", {"name": "OwnerName"})
-    return role_join(df, crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"},
-                     bounded=True)
+    return star_flatten(df, [
+        (crm.user, "created_by", "id", {"name": "CreatedByName"}, False),
+        (crm.user, "modified_by", "id", {"name": "LastModifiedByName"}, False),
+        (crm.user, "owner_id", "id", {"name": "OwnerName"}, False),
+        (crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"}, True),
+    ])
+
+
+def audit_names(crm: Crm) -> DataFrame:
+    """Every activity with its creator, modifier and owner names and its
+    record type (the role-played user joins, no filter)."""
+    a = _audit_names(crm.activity, crm)
+    return a.select(F.col("id").alias("activity_id"), "CreatedByName", "LastModifiedByName",
+                    "OwnerName", "RecordTypeName")
 
 
 def tasks(crm: Crm) -> DataFrame:

@@ -120,6 +120,37 @@ def _branch(source: str):
     return f
 
 
+def _name_forms(c: Ctx) -> DataFrame:
+    from ..functions.names import first_last, last_first, last_first_comma, sort_name
+    u = c.crm.user
+    return u.select(F.col("id").alias("user_id"), "name",
+                    first_last("first_name", "last_name").alias("first_last"),
+                    last_first("first_name", "last_name").alias("last_first"),
+                    last_first_comma("first_name", "last_name").alias("last_first_comma"),
+                    sort_name("first_name", "last_name").alias("sort_name"))
+
+
+def _team_flag(c: Ctx) -> DataFrame:
+    from ..functions.names import team_flag
+    team = F.broadcast(c.crm.team.select(F.col("id").alias("team_id"), F.col("name").alias("do_team")))
+    o = c.crm.officer.join(team, "team_id", "left")
+    return o.select("user_id", "do_team", "level",
+                    team_flag("do_team", c.params.count_all_teams, c.params.collation).alias("count_all_flag"))
+
+
+def _segment_code(c: Ctx) -> DataFrame:
+    from ..functions.tiers import segment_code
+    return c.crm.rating.select("account_id", "record_type_id", "segment",
+                               segment_code("segment", c.params.segment_codes).alias("segment_code"))
+
+
+def _numeric_tier(c: Ctx) -> DataFrame:
+    from ..functions.tiers import numeric_tier, tier_label
+    code = numeric_tier("capacity", c.params.capacity_cutoffs)
+    return c.crm.account.select(F.col("id").alias("account_id"), "capacity",
+                                code.alias("capacity_code"), tier_label(code).alias("capacity_label"))
+
+
 def _goal_level(c: Ctx) -> DataFrame:
     d = SC.dollars_rollup(c.activity_list, c.key, c.goals, c.params)
     return d.select("do_id", "goal_dollars", "goal_achieved")
@@ -140,12 +171,17 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "contact_links_unpivot": lambda c: A.activities(c.crm, c.params),
     # step 4-5: dimensions
     "name_key": lambda c: c.key,
+    "name_forms": _name_forms,
+    "team_flag": _team_flag,
+    "segment_code": _segment_code,
+    "numeric_tier": _numeric_tier,
     "capacity_tier": lambda c: D.capacity_tiers(c.crm, c.params),
     # step 6: flattened views
     "proposals": lambda c: AU.proposals(c.crm),
     "proposal_wide": lambda c: AU.proposal_wide(c.crm),
     "prospects": lambda c: AU.prospects(c.crm),
     "task_audit": lambda c: AU.tasks(c.crm),
+    "audit_names": lambda c: AU.audit_names(c.crm),
     "activity_audit": lambda c: AU.activity_audit(c.crm, c.params),
     "activity_contacts_audit": lambda c: AU.activity_contacts_audit(c.crm, c.params),
     # step 7: goals

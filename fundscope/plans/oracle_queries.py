@@ -283,6 +283,26 @@ def finals(p: Params) -> dict[str, tuple[str, list]]:
                       AND acc.status = 'Active') c
               GROUP BY c.Id) x""", [])
 
+    out["name_forms"] = ("""SELECT id AS user_id, name, first_name || ' ' || last_name AS first_last,
+            last_name || ' ' || first_name AS last_first, last_name || ', ' || first_name AS last_first_comma,
+            upper(last_name) || '/' || upper(first_name) AS sort_name FROM crm_user""", [])
+    out["team_flag"] = (f"""SELECT o.user_id, t.name AS do_team, o.level,
+            CASE WHEN t.name IN {_in(p.count_all_teams)} THEN 'Y' END AS count_all_flag
+        FROM officer o LEFT JOIN team t ON o.team_id = t.id""", [])
+    out["segment_code"] = (f"""SELECT pr.account_id, pr.record_type_id, pr.segment,
+            CASE {gga} ELSE 0 END AS segment_code FROM rating pr""", [])
+    out["numeric_tier"] = (f"""SELECT acc.id AS account_id, acc.capacity,
+            CASE {' '.join(gu)} ELSE 0 END AS capacity_code,
+            {_tier_case('(CASE ' + ' '.join(gu) + ' ELSE 0 END)')} AS capacity_label
+        FROM account acc""", [])
+    out["audit_names"] = ("""SELECT act.id AS activity_id, cbi.name AS CreatedByName,
+            lmi.name AS LastModifiedByName, ow.name AS OwnerName, rt.name AS RecordTypeName
+        FROM activity act
+        LEFT JOIN crm_user cbi ON cbi.id = act.created_by
+        LEFT JOIN crm_user lmi ON lmi.id = act.modified_by
+        LEFT JOIN crm_user ow ON ow.id = act.owner_id
+        LEFT JOIN record_type rt ON rt.id = act.record_type_id""", [])
+
     # step 6
     out["proposals"] = ("""SELECT opp.owner_id AS do_id, opp.lead_solicitor_id AS Lead_Solicitor_ID,
             opp.ask_date, opp.ask_amount AS ask_amt, opp.amount AS gift_amt, opp.close_date AS gift_date,
