@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.names import is_blank
 
+MONEY = T.DecimalType(18, 2)
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -59,11 +62,6 @@ def owner_label(total_leads, account, amount, lead_id, lead_name,
     name."""
     expr = F.when(_col(total_leads) > 1, F.lit(P.MULTIPLE_LEADS))
     for acct, amt in overrides:
-        expr = expr.when((_col(account) == F.lit(acct)) & (_col(amount) == F.lit(amt).cast(_amount_type())),
+        expr = expr.when((_col(account) == F.lit(acct)) & (_col(amount) == F.lit(amt).cast(MONEY)),
                          F.lit(P.MULTIPLE_LEADS))
     return expr.when(is_blank(lead_id), F.lit(P.NO_LEAD)).otherwise(_col(lead_name))
-
-
-def _amount_type():
-    from pyspark.sql import types as T
-    return T.DecimalType(18, 2)
