@@ -25,7 +25,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.driver.memory", "8g")
+               .config("spark.driver.memory", "16g")
+               # the driver keeps plans of past queries for the UI listeners;
+               # a long benchmark session does not need hundreds of them
+               .config("spark.sql.ui.retainedExecutions", "20")
+               .config("spark.ui.retainedJobs", "100")
+               .config("spark.ui.retainedStages", "200")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (conf or {}).items():
         builder = builder.config(k, v)
