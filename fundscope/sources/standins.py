@@ -298,11 +298,19 @@ def store(spark: SparkSession, crm: Crm, folder: str) -> Crm:
     pushed filters and file-size statistics for the planner, instead of
     re-deriving them from the test tables.  ``folder`` must be shared by
     the cluster (a subfolder of ``spark.checkpoint.dir``); files are capped
-    at ``ROWS_PER_FILE`` rows so a table is never one unsplittable file."""
-    out = {}
-    for name in Crm.__dataclass_fields__:
+    at ``ROWS_PER_FILE`` rows so a table is never one unsplittable file.
+    The tables are independent jobs and are written concurrently (Spark
+    schedules jobs from several driver threads side by side)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = list(Crm.__dataclass_fields__)
+
+    def write(name: str) -> str:
         path = f"{folder.rstrip('/')}/{name}"
         (getattr(crm, name).write.mode("overwrite")
          .option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path))
-        out[name] = spark.read.parquet(path)
-    return Crm(**out)
+        return path
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        paths = dict(zip(names, pool.map(write, names)))
+    return Crm(**{n: spark.read.parquet(paths[n]) for n in names})
