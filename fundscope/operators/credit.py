@@ -20,11 +20,13 @@ def _col(c) -> Column:
 def role_dollars(df: DataFrame, keys: Sequence[str], role: str = "solicitor_level",
                  amount: str = "gift_amt", lead_role: str = P.LEAD_ROLE,
                  co_role: str = P.CO_ROLE, lead_name: str = "lead_dollars",
-                 co_name: str = "co_dollars", positive_only: bool = True) -> DataFrame:
+                 co_name: str = "co_dollars", positive_only: bool = True,
+                 total_name: str | None = None) -> DataFrame:
     """Lead and co-solicitor sums per key, in one pass (conditional sums;
     partial aggregation runs before the shuffle, so a hot key only sends one
     partial row per task).  Money is summed as decimal: exact and
-    order-independent.  ``positive_only`` keeps groups whose total is > 0."""
+    order-independent.  ``positive_only`` keeps groups whose total is > 0;
+    ``total_name`` also returns the total of all rows."""
     amt = _col(amount).cast(MONEY)
     r = _col(role)
     out = df.groupBy(*keys).agg(
@@ -33,6 +35,20 @@ def role_dollars(df: DataFrame, keys: Sequence[str], role: str = "solicitor_leve
         F.sum(amt).alias("__total"))
     if positive_only:
         out = out.where(F.col("__total") > 0)
+    return out.withColumnRenamed("__total", total_name) if total_name else out.drop("__total")
+
+
+def regroup_dollars(df: DataFrame, keys: Sequence[str], lead_name: str = "lead_dollars",
+                    co_name: str = "co_dollars", total_name: str = "total_dollars",
+                    positive_only: bool = True) -> DataFrame:
+    """Sum pre-aggregated lead / co / total sums again over coarser or joined
+    keys.  Sums distribute over joins, so aggregating per solicitor first and
+    regrouping after the officer join gives the per-row result."""
+    out = df.groupBy(*keys).agg(F.sum(lead_name).cast(MONEY).alias(lead_name),
+                                F.sum(co_name).cast(MONEY).alias(co_name),
+                                F.sum(total_name).alias("__total"))
+    if positive_only:
+        out = out.where(F.col("__total") > 0)
     return out.drop("__total")
 
 

@@ -102,16 +102,17 @@ def _date_window(c: Ctx) -> DataFrame:
 
 def _role_dollars(c: Ctx) -> DataFrame:
     from ..functions.fiscal import in_fy
-    from ..operators.credit import role_dollars
+    from ..operators.credit import regroup_dollars, role_dollars
     p = c.params
     rows = c.activity_list.where((F.col("source") == P.SOURCE_DOLLARS)
                                  & in_fy("gift_date", p.current_fy, p)
                                  & F.col("StageName").isin(list(p.accepted_stages)))
+    per_solicitor = role_dollars(rows, ["solicitor"], "solicitor_level", "gift_amt", p.lead_role,
+                                 p.co_role, positive_only=False, total_name="total_dollars")
     nk = c.key.where(F.col("do_id").isNotNull()).select(
         "do_id", F.col("first_last").alias("solicitor"), "do_team", "do_level")
-    j = rows.select("solicitor", "solicitor_level", "gift_amt").join(nk, "solicitor", "inner")
-    return role_dollars(j, ["do_id", "solicitor", "do_team", "do_level"], "solicitor_level",
-                        "gift_amt", p.lead_role, p.co_role)
+    j = per_solicitor.join(nk, "solicitor", "inner")
+    return regroup_dollars(j, ["do_id", "solicitor", "do_team", "do_level"])
 
 
 def _branch(source: str):

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from .. import params as P
 from ..functions.fiscal import in_fy
 from ..functions.names import team_flag
-from ..operators.credit import credited_dollars, effective_goal, goal_level, role_dollars
+from ..operators.credit import (credited_dollars, effective_goal, goal_level, regroup_dollars,
+                               role_dollars)
 from ..params import Params
 from .dimensions import goals_for_fy
 
@@ -52,25 +53,29 @@ def dollars_rollup(activity_list: DataFrame, key: DataFrame, goal_rows: DataFram
     """Lead and co-solicitor dollars accepted in one FY per officer,
     the dollars that count toward the goal, and the goal level reached.
 
-    The activity list is reduced to (solicitor, role, amount) rows before
-    anything else; role sums are partial-aggregated per task, so the shuffle
-    carries one row per solicitor per task.  Officer and goal rows are
-    officer-sized and joined after the reduction."""
+    The dollars rows are reduced to one row per solicitor (lead, co and
+    total sums, partial-aggregated per task) before they meet the officer
+    and goal rows; the sums are regrouped per officer x goal row after the
+    join.  Sums distribute over the join, so this equals summing the joined
+    rows (a solicitor matching two officer rows counts for each, as in the
+    row-wise form), while only solicitor-sized data reaches the join."""
     fy = fy or params.current_fy
     g = goals_for_fy(goal_rows, fy).select(
         F.col("do_id").alias("__gdo"), "dollar_goal_lvl3", "dollar_goal_lvl4",
         "dollar_goal_lvl5", "dollar_goal_single")
     rows = activity_list.where((F.col("source") == P.SOURCE_DOLLARS) & in_fy("gift_date", fy, params)
                                & F.col("StageName").isin(list(params.accepted_stages)))
+    # aggregate first: one row per solicitor leaves the activity list
+    per_solicitor = role_dollars(rows, ["solicitor"], "solicitor_level", "gift_amt", params.lead_role,
+                                 params.co_role, "lead_dollars", "co_dollars", positive_only=False,
+                                 total_name="total_dollars")
     nk = key.select("do_id", F.col("first_last").alias("solicitor"), "do_team", "do_level")
     # officer rows matched by name; goals hang on the officer id
-    j = (rows.select("solicitor", "solicitor_level", "gift_amt")
-         .join(nk, "solicitor", "inner")
+    j = (per_solicitor.join(nk, "solicitor", "inner")
          .join(g, F.col("do_id") == F.col("__gdo"), "left"))
     keys = ["solicitor", "dollar_goal_lvl3", "dollar_goal_lvl4", "dollar_goal_lvl5",
             "dollar_goal_single", "do_team", "do_level", "do_id"]
-    d = role_dollars(j, keys, "solicitor_level", "gift_amt", params.lead_role, params.co_role,
-                     "lead_dollars", "co_dollars")
+    d = regroup_dollars(j, keys, "lead_dollars", "co_dollars", "total_dollars")
     flag = team_flag("do_team", params.count_all_teams, params.collation)
     d = d.withColumn("count_all_flag", flag)
     # one row per distinct (officer, sums, flag, goals): the team and level

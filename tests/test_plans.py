@@ -166,3 +166,23 @@ def test_visits_drop_unnamed_and_excluded_owner(spark):
     # activity 1: one contactor x two link rows x (who_id, link) = 4 rows (the who_id repeats
     # on every link row, as in the double unpivot); owners 2 (excluded) and 3 (no name) drop
     assert len(rows) == 4 and {r.visitor for r in rows} == {"Ann Lee"}
+
+
+def test_dollars_rollup_duplicate_officer_row_counts_twice(spark):
+    # a manual name-key row identical to an existing officer: the row-wise
+    # form sums every activity row once per matching officer row, and so
+    # must the aggregate-first form
+    d = dt.date(2018, 1, 5)
+    dup = {"do_id": 1, "first_last": "Ann Lee", "last_first": "Lee Ann", "do_team": "GULC",
+           "do_level": "DOD", "last_first_comma": "Lee, Ann", "count_all_flag": "Y"}
+    p = P.with_(override_officers=(dup,))
+    w = _officer_world(spark, [_goal("Lee, Ann", 2018)])
+    w.update(account=[_acc(1)],
+             opportunity=[_opp(1, 1, "5.00", d), _opp(2, 1, "7.00", d)],
+             opportunity_team=[(1, 1, "Ann Lee", "Lead Solicitor"), (2, 1, "Ann Lee", "Secondary Solicitor")])
+    c = crm(spark, **w)
+    key = D.name_key(c, p)
+    al = A.activity_list(c, key, p)
+    out = SC.dollars_rollup(al, key, D.goals(c, key), p).collect()
+    assert len(out) == 1
+    assert out[0].lead_dollars == Decimal("10.00") and out[0].co_dollars == Decimal("14.00")
