@@ -36,6 +36,13 @@ def activity_list_schema(params: Params, id_type: T.DataType = T.LongType()) ->
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+_ACTIVITY_COLUMNS = {
+    "id", "owner_id", "contactor_1", "contactor_2", "contactor_3", "type", "activity_date",
+    "substantive", "status", "description", "account_id", "subject", "who_id", "record_type_id",
+    "created_by", "created_date", "modified_by", "modified_date", "system_modstamp",
+    "owner_name", "owner_first", "owner_last", "activity_id_rc", "contact_rc"}
+
+
 def _owner_filtered(crm: Crm, params: Params, visit_types_only: bool) -> DataFrame:
     """Activities with the owner's name, owners without a name or excluded
     dropped (the filter turns the owner join into an inner join)."""
@@ -91,15 +98,24 @@ def visit_contacts(crm: Crm, params: Params) -> DataFrame:
                             "contactor_number", "contactor")
 
 
-def activities(crm: Crm, params: Params) -> DataFrame:
+def activities(crm: Crm, params: Params, before_expansion=None) -> DataFrame:
     """Activities x contactors x contact links, with the contactor's
     name.  Each activity repeats once per contactor and once per contact
     link (the WhoId and each related contact): this growth is what the
-    visit counts count.  An activity with no link at all drops out."""
+    visit counts count.  An activity with no link at all drops out.
+
+    ``before_expansion`` (DataFrame -> DataFrame) adds activity-level
+    columns (joins on the activity's own keys) right after the link join and
+    before the two unpivots multiply the rows, so those joins shuffle
+    activity x link rows, not activity x contactor x (who, link) rows.
+    """
     act = _owner_filtered(crm, params, visit_types_only=False)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_rc"))
-    base = (bridge_left_join(act, links, "id", "activity_id_rc")
+    linked = bridge_left_join(act, links, "id", "activity_id_rc")
+    if before_expansion is not None:
+        linked = before_expansion(linked)
+    base = (linked
             .select(F.col("owner_id").alias("OwnerID"),
                     F.col("owner_name").alias("OwnerName"),
                     F.col("type").alias("ActivityType"),
@@ -111,7 +127,8 @@ def activities(crm: Crm, params: Params) -> DataFrame:
                     "activity_id_rc",
                     F.col("subject").alias("Subject__c"),
                     F.col("who_id").alias("WhoId__c"),
-                    "contact_rc", "contactor_1", "contactor_2", "contactor_3"))
+                    "contact_rc", "contactor_1", "contactor_2", "contactor_3",
+                    *[c for c in linked.columns if c not in _ACTIVITY_COLUMNS]))
     keep = [c for c in base.columns if c not in
             ("contactor_1", "contactor_2", "contactor_3", "WhoId__c", "contact_rc")]
     by_contactor = unpivot_non_null(base, keep + ["WhoId__c", "contact_rc"],
@@ -162,12 +179,18 @@ def visits(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
     """Activity rows that qualify as visits in the reporting range.
 
     The date window and the necessary part of the visit rule are applied to
-    the activities themselves, before the contactor x link expansion."""
+    the activities themselves, and the account and officer joins run before
+    the contactor / contact unpivots multiply the rows."""
     early = crm.activity.where(in_report_range("activity_date", params)
                                & visit_candidate("type", "subject", "substantive", params))
-    a = activities(replace(crm, activity=early), params)
-    j = (a.join(_accounts(crm), a.AccountID == F.col("__acc"), "left")
-         .join(_officers(key), a.OwnerID == F.col("__do"), "left"))
+
+    def account_and_officer(act: DataFrame) -> DataFrame:
+        # joins on the activity's own keys, done before the unpivots
+        return (act.join(_accounts(crm), act.account_id == F.col("__acc"), "left")
+                .join(_officers(key), act.owner_id == F.col("__do"), "left")
+                .drop("__acc", "__do", "count_all_flag"))
+
+    j = activities(replace(crm, activity=early), params, account_and_officer)
     q = visit_qualifies("ActivityType", "do_team", "contactor_name", "Subject__c",
                         "Substantive_Activity", params)
     return j.where(q).select(
