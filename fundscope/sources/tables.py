@@ -28,6 +28,6 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFra
 def literal_rows(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:
     """A small literal relation (``SELECT 'a' AS x, ...`` without FROM)."""
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.StructType.fromDDL(schema)
     names = [f.name for f in schema.fields]
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)

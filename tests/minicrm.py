@@ -1,6 +1,6 @@
 """Tiny hand-made CRM tables for edge-case tests."""
 
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from fundscope.sources.standins import Crm
 
@@ -38,7 +38,7 @@ SCHEMAS = {
 
 
 def frame(spark, table, rows):
-    schema = _parse_datatype_string(SCHEMAS[table])
+    schema = StructType.fromDDL(SCHEMAS[table])
     names = schema.names
     tuples = [tuple(r.get(n) for n in names) if isinstance(r, dict) else r for r in rows]
     return spark.createDataFrame(tuples, schema)

@@ -83,3 +83,9 @@ def test_stored_standins_same_results(spark, scratch):
             assert a.exceptAll(b.select(a.columns)).count() == 0, name
     finally:
         spark.conf.unset(standins.STORE_CONF)
+
+
+def test_literal_rows(spark):
+    from fundscope.sources import literal_rows
+    df = literal_rows(spark, [{"a": 1, "b": "x"}, {"b": "y"}], "a long, b string")
+    assert [tuple(r) for r in df.collect()] == [(1, "x"), (None, "y")]
