@@ -91,3 +91,15 @@ def bridge_left_join(left: DataFrame, bridge: DataFrame, left_key: str,
     unmatched = left.join(keys, left[left_key] == keys["__bridge_key"], "left_anti")
     pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in bridge.schema.fields]
     return matched.unionByName(unmatched.select(*[F.col(c) for c in left.columns], *pad))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """A broadcast hint behind a measured size check: the frame's rows are
+    counted once (a small job for a dimension) and the hint is added only
+    when the count is within ``max_rows``; above it the frame is returned as
+    is and the planner keeps a shuffled join.  For dimensions that are small
+    in practice but not bounded by definition (officers, their goals), where
+    the planner's static estimate is useless (joins and unions multiply
+    estimated sizes)."""
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n

@@ -20,6 +20,7 @@ from .. import params as P
 from ..functions.fiscal import fiscal_year, in_report_range
 from ..params import Params
 from ..sources import standins
+from ..operators.relational import broadcast_if_small
 from ..sources.goals import rejected_cells
 from . import activity as A
 from . import audit as AU
@@ -30,6 +31,9 @@ from . import scorecard as SC
 from . import top_gifts as TG
 
 MONEY = T.DecimalType(18, 2)
+# officer-sized frames are broadcast when measured at or under this many
+# rows (a few MB); larger ones keep shuffled joins
+OFFICER_ROWS = 100_000
 AS_OF = _dt.date(2000, 1, 1)          # fixed "today" of the future-ask checks
 NAME_FRAGMENT = "00000001"            # name search of the checks
 SAMPLE_ACCOUNTS = (736, 262)          # accounts browsed by the account checks
@@ -58,11 +62,13 @@ class Ctx:
 
     @cached_property
     def key(self) -> DataFrame:
-        return D.name_key(self.crm, self.params)
+        key, _ = broadcast_if_small(D.name_key(self.crm, self.params), OFFICER_ROWS)
+        return key
 
     @cached_property
     def goals(self) -> DataFrame:
-        return D.goals(self.crm, self.key)
+        goals, _ = broadcast_if_small(D.goals(self.crm, self.key), OFFICER_ROWS)
+        return goals
 
     @cached_property
     def activity_list(self) -> DataFrame:
