@@ -113,3 +113,21 @@ def test_collation_option(spark):
     ci = [r.q for r in df.select(visit_qualifies("t", "team", "t", "t", "t", p).alias("q")).collect()]
     assert byte == [False, False] and ci == [True, True]
     assert [r.f for r in df.select(team_flag("team", ["GULC"], p.collation).alias("f")).collect()] == ["Y", "Y"]
+
+
+def test_fy_amount_columns(spark):
+    from fundscope.functions import fy_amount_columns
+    p = Params(current_fy=2018)
+    rows = [(Decimal("10.00"), dt.date(2018, 6, 30), "Accepted", "Lead Solicitor"),
+            (Decimal("20.00"), dt.date(2017, 7, 1), "Accepted - Stewardship", "Lead Solicitor"),
+            (Decimal("30.00"), dt.date(2014, 7, 1), "Accepted", "Lead Solicitor"),
+            (Decimal("40.00"), dt.date(2018, 7, 1), "Accepted", "Lead Solicitor"),
+            (Decimal("50.00"), dt.date(2018, 1, 1), "Cultivation", "Lead Solicitor"),
+            (Decimal("60.00"), dt.date(2018, 1, 1), "Accepted", "Secondary Solicitor")]
+    df = spark.createDataFrame(rows, "amt decimal(18,2), d date, stage string, role string")
+    out = df.select(*fy_amount_columns("amt", "d", "stage", "role", p)).collect()
+    assert out[0].fy_18_gift_amount == Decimal("10.00") and out[0].fy_17_gift_amount is None
+    assert out[1].fy_18_gift_amount == Decimal("20.00")          # 1 July 2017 opens FY2018
+    assert out[2].fy_15_gift_amount == Decimal("30.00")
+    assert all(v is None for v in out[3])                        # FY2019: outside the four years
+    assert all(v is None for v in out[4]) and all(v is None for v in out[5])
