@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontam, langid, mixing, simhash
+from fundscope.llm import decontam, langid, mixing, packing, simhash
 from fundscope.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": op1_decontamination,
         "op2_language_id": op2_language_id,
         "op5_simhash": op5_simhash,
+        "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
     }
 
