@@ -32,6 +32,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -39,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
+        "pipeline": pipeline,
     }
 
 
