@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontam, langid, merkle, mixing, packing, simhash
+from fundscope.llm import decontam, langid, merkle, mixing, packing, simhash, toxicity
 from fundscope.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": op2_language_id,
         "op3_fingerprints": op3_fingerprints,
         "op5_simhash": op5_simhash,
+        "op7_toxicity": op7_toxicity,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
         "pipeline": pipeline,
