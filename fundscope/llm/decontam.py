@@ -39,7 +39,8 @@ BLOCK_CHARS = 8_000_000
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: The same words in a text whose capitals are still there.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 FOUND = T.StructType([
     T.StructField("n_words", T.LongType()),
