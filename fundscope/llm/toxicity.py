@@ -1,6 +1,6 @@
 """Toxicity (7): a counterfactual-regularised classifier.
 
-A text's features are the words it contains and their first 4 and 5 letters.
+A text's features are the words it contains and their first 4 to 8 letters.
 Learning, from labelled rows only:
 
 1. Of the labelled texts with equal minimum word hash and label (copies, and
@@ -40,11 +40,11 @@ from pyspark.sql import functions as F
 from fundscope.llm.common import binary_list, id_crc, stored
 from fundscope.llm.decontam import words
 
-FEATURES = 4096
+FEATURES = 8192
 MIN_TEXTS = 2
 #: Teaching texts of each label that the weights are fitted on.
 FIT_ROWS = 8000
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7, 8)
 L1 = 2e-4
 L2 = 1e-4
 COUNTERFACTUAL = 1.0
@@ -66,18 +66,23 @@ IDENTITY_TERMS = (
 )
 
 
-def feature_set(text_words: set[bytes]) -> set[bytes]:
+def feature_set(text_words: set[str]) -> set[str]:
+    """The words, and as ``abcd*`` their beginnings."""
     out = set(text_words)
     for n in PREFIXES:
-        out.update(b"%d:%b" % (n, w.decode()[:n].encode()) for w in text_words if len(w) > n)
+        out.update([w[:n] + "*" for w in text_words if len(w) > n])
     return out
 
 
+def word_set(text: bytes | None) -> set[str]:
+    return set(b" ".join(words(text)).decode().split(" ")) - {""}
+
+
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [set(words(t)) for t in binary_list(batch.column(1))]
+        sets = [word_set(t) for t in binary_list(batch.column(1))]
         keys = [min(map(xxhash.xxh64_intdigest, s), default=0) - (1 << 63) for s in sets]
-        text = pa.array([b" ".join(s) for s in sets], pa.binary()).cast(pa.string())
+        text = pa.array([" ".join(s) for s in sets], pa.string())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), text], names=["doc_id", "key", "words"])
 
 
@@ -97,30 +102,30 @@ def teaching_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def given(counts: dict) -> pa.RecordBatch:
         names = list(counts[0].keys() | counts[1].keys())
-        columns = [pa.array(names, pa.binary()), *(pa.array([counts[t][x] for x in names], pa.int64()) for t in (1, 0))]
+        columns = [pa.array(names, pa.string()), *(pa.array([counts[t][x] for x in names], pa.int64()) for t in (1, 0))]
         return pa.RecordBatch.from_arrays(columns, names=["feature", "n1", "n0"])
 
     counts = {0: Counter(), 1: Counter()}
     for batch in batches:
-        for toxic, text in zip(batch.column(0).to_pylist(), binary_list(batch.column(1))):
-            counts[toxic].update(feature_set(set(text.split())))
+        for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts[toxic].update(feature_set(set(text.split(" ")) - {""}))
             if len(counts[0]) + len(counts[1]) > HELD_FEATURES:
                 yield given(counts)
                 counts = {0: Counter(), 1: Counter()}
     yield given(counts)
 
 
-def _identity_groups() -> list[list[bytes]]:
-    return [[t.encode() for t in line.split()] for line in IDENTITY_TERMS]
+def _identity_groups() -> list[list[str]]:
+    return [line.split() for line in IDENTITY_TERMS]
 
 
 @dataclass
 class Model:
-    weights: dict[bytes, float]
+    weights: dict[str, float]
     base: float
 
     def score(self, text: bytes | None) -> float:
-        have = feature_set(set(words(text)))
+        have = feature_set(word_set(text))
         known = self.weights
         x = self.base + math.fsum(known[f] for f in have if f in known)
         return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
@@ -192,7 +197,7 @@ def learn(docs: DataFrame, labels: DataFrame, counterfactual: float = COUNTERFAC
     totals = found.get(0, 0), found.get(1, 0)
     if not all(totals):
         return Model({}, math.log((totals[1] + 0.5) / (totals[0] + 0.5)))
-    counts = taught.select("toxic", "words").mapInArrow(_count_batches, "feature binary, n1 long, n0 long")
+    counts = taught.select("toxic", "words").mapInArrow(_count_batches, "feature string, n1 long, n0 long")
     counts = counts.groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     n0, n1 = (F.lit(float(x)) for x in totals)
     a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
@@ -200,7 +205,7 @@ def learn(docs: DataFrame, labels: DataFrame, counterfactual: float = COUNTERFAC
     part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     ratio = part(a, mean * n1) + part(b, mean * n0) + part(n1 - a, (1 - mean) * n1) + part(n0 - b, (1 - mean) * n0)
     telling = counts.where((a * n0 > b * n1) & (a + b >= MIN_TEXTS)).withColumn("ratio", ratio)
-    top = [bytes(r["feature"]) for r in telling.orderBy(F.desc("ratio"), "feature").limit(FEATURES).collect()]
+    top = [r["feature"] for r in telling.orderBy(F.desc("ratio"), "feature").limit(FEATURES).collect()]
     lines = _identity_groups()
     terms = [f for line in lines for t in line for f in sorted(feature_set({t}))]
     names = list(dict.fromkeys([*top, *terms]))
@@ -211,7 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, counterfactual: float = COUNTERFAC
     @F.arrow_udf("array<int>")
     def numbers(texts: pa.Array) -> pa.Array:
         known = held.value
-        rows = [sorted(known[f] for f in feature_set(set(t.split())) if f in known) for t in binary_list(texts)]
+        rows = [sorted(known[f] for f in feature_set(set(t.split(" "))) if f in known) for t in texts.to_pylist()]
         return pa.array(rows, pa.list_(pa.int32()))
 
     chosen = [
