@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontam, langid, merkle, mixing, packing, simhash, toxicity
+from fundscope.llm import decontam, langid, merkle, mixing, packing, simhash, tokenfiles, toxicity
 from fundscope.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.report(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": op1_decontamination,
         "op2_language_id": op2_language_id,
         "op3_fingerprints": op3_fingerprints,
+        "op4_token_counts": op4_token_counts,
         "op5_simhash": op5_simhash,
         "op7_toxicity": op7_toxicity,
         "op9_packing": op9_packing,
