@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontam, langid, merkle, mixing, packing, simhash, tokenfiles, toxicity
+from fundscope.llm import decontam, langid, linededup, merkle, mixing, packing, simhash, tokenfiles, toxicity
 from fundscope.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": op4_token_counts,
         "op5_simhash": op5_simhash,
         "op7_toxicity": op7_toxicity,
+        "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
         "pipeline": pipeline,
@@ -67,4 +72,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": decontam.ORACLE_SQL,
+        "op8_line_dedup": linededup.ORACLE_SQL,
     }
