@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontam, langid, linededup, merkle, mixing, packing, simhash, tokenfiles, toxicity
+from fundscope.llm import decontam, langid, linededup, lm, merkle, mixing, packing, simhash, tokenfiles, toxicity
 from fundscope.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.report(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_fingerprints": op3_fingerprints,
         "op4_token_counts": op4_token_counts,
         "op5_simhash": op5_simhash,
+        "op6_lm_score": op6_lm_score,
         "op7_toxicity": op7_toxicity,
         "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
