@@ -41,6 +41,11 @@ SMOOTHING = 0.5
 #: Share of its letters from which a label counts as using a script.
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
+#: Distinct words of a label that a counting task holds, and words whose features are made together.
+HELD_WORDS = 100_000
+STEP_WORDS = 1 << 14
+#: Characters labelled together.
+STEP_CHARS = 6_000_000
 
 #: First code point of each script block and the script's number
 #: (Unicode ranges of letters; 0 is any other).
@@ -100,21 +105,28 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
+
+    def add(label: str, seen: Counter) -> None:
+        own = totals.setdefault(label, np.zeros(SLOTS + N_SCRIPTS))
+        words = list(seen)
+        times = np.fromiter(seen.values(), np.float64, len(seen))
+        for at in range(0, len(words), STEP_WORDS):
+            part, n = words[at : at + STEP_WORDS], times[at : at + STEP_WORDS]
+            slots, first, scripts = features(part)
+            sizes = np.diff(np.r_[first, len(slots)])
+            own[:SLOTS] += np.bincount(slots, np.repeat(n, sizes), SLOTS)
+            letters = n * np.fromiter(map(len, part), np.float64, len(part))
+            own[SLOTS:] += np.bincount(scripts, letters, N_SCRIPTS)
+
+    counts: dict[str, Counter] = {}
     for batch in batches:
-        counts: dict[str, Counter] = {}
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts.setdefault(label, Counter()).update(_WORD.findall(text.lower()))
-        for label, seen in counts.items():
-            own = totals.setdefault(label, np.zeros(SLOTS + N_SCRIPTS))
-            words = list(seen)
-            times = np.fromiter(seen.values(), np.float64, len(seen))
-            for at in range(0, len(words), 1 << 16):
-                part, n = words[at : at + (1 << 16)], times[at : at + (1 << 16)]
-                slots, first, scripts = features(part)
-                sizes = np.diff(np.r_[first, len(slots)])
-                own[:SLOTS] += np.bincount(slots, np.repeat(n, sizes), SLOTS)
-                letters = n * np.fromiter(map(len, part), np.float64, len(part))
-                own[SLOTS:] += np.bincount(scripts, letters, N_SCRIPTS)
+        for label, text in zip(batch.column(0), batch.column(1)):
+            seen = counts.setdefault(label.as_py(), Counter())
+            seen.update(_WORD.findall(text.as_py().lower()))
+            if len(seen) >= HELD_WORDS:
+                add(label.as_py(), counts.pop(label.as_py()))
+    for label, seen in counts.items():
+        add(label, seen)
     for label, own in totals.items():
         slots = np.flatnonzero(own)
         columns = [pa.array([label] * len(slots)), pa.array(slots), pa.array(own[slots])]
@@ -159,7 +171,7 @@ def viterbi(scores: np.ndarray, steps: np.ndarray, lengths: np.ndarray, penalty:
     longest = int(sizes[0]) if len(sizes) else 0
     active = len(sizes) - np.searchsorted(sizes[::-1], np.arange(longest), side="right")
     changed = np.zeros((len(steps), scores.shape[1]), bool)
-    source = np.zeros(len(steps), np.int32)
+    source = np.zeros(len(steps), np.int16)
     best = scores[steps[starts[: active[0]]]] if longest else None
     ends = np.zeros(len(sizes), np.int32)
     for t in range(1, longest + 1):
@@ -175,7 +187,7 @@ def viterbi(scores: np.ndarray, steps: np.ndarray, lengths: np.ndarray, penalty:
         switch = move > best
         changed[at], source[at] = switch, top
         best = np.where(switch, move, best) + scores[steps[at]]
-    labels = np.zeros(len(steps), np.int32)
+    labels = np.zeros(len(steps), np.int16)
     now = np.zeros(len(sizes), np.int32)
     for t in range(longest - 1, -1, -1):
         n = active[t]
@@ -190,27 +202,27 @@ def viterbi(scores: np.ndarray, steps: np.ndarray, lengths: np.ndarray, penalty:
 def word_scores(model: Model, words: list[str]) -> np.ndarray:
     """[word, label]: weighted mean log-likelihood; labels that do not use the script are out."""
     out = np.empty((len(words), len(model.labels)), np.float32)
-    for at in range(0, len(words), 1 << 16):
-        slots, first, scripts = features(words[at : at + (1 << 16)])
+    for at in range(0, len(words), STEP_WORDS):
+        slots, first, scripts = features(words[at : at + STEP_WORDS])
         sizes = np.diff(np.r_[first, len(slots)])
         means = np.add.reduceat(model.scores[slots], first, axis=0) / sizes[:, None]
-        out[at : at + (1 << 16)] = np.where(model.uses[scripts], WEIGHT * means, -1e4)
+        out[at : at + STEP_WORDS] = np.where(model.uses[scripts], WEIGHT * means, -1e4)
     return out
 
 
 def label_texts(model: Model, texts: list[str | None], with_spans: bool = True) -> list[tuple]:
     """(label, share of letters, spans) of every text."""
     index: dict[str, int] = {}
-    steps: list[int] = []
+    steps: list[np.ndarray] = [np.zeros(0, np.int32)]
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         found = _WORD.findall(text.lower()) if text and model.labels else []
         counts[i] = len(found)
-        steps.extend([index.setdefault(w, len(index)) for w in found])
+        steps.append(np.array([index.setdefault(w, len(index)) for w in found], np.int32))
     if not index:
         return [(UNKNOWN, 0.0, [])] * len(texts)
     vocabulary = list(index)
-    at = np.array(steps, np.int64)
+    at = np.concatenate(steps)
     labels = viterbi(word_scores(model, vocabulary), at, counts)
     letters = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary))[at]
     n = len(model.labels)
@@ -240,13 +252,26 @@ def label_texts(model: Model, texts: list[str | None], with_spans: bool = True)
     return out
 
 
+def _portions(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Texts of about STEP_CHARS characters together, which bounds what is labelled at a time."""
+    some, held = [], 0
+    for text in texts:
+        some.append(text)
+        held += len(text or "")
+        if held >= STEP_CHARS:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
 def labeller(spark, model: Model, with_spans: bool = True):
     """A column function text -> (lang, score, spans)."""
     held = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(LABELLED)
     def labelled(texts: pa.Array) -> pa.Array:
-        rows = label_texts(held.value, texts.to_pylist(), with_spans)
+        rows = [row for some in _portions(texts.to_pylist()) for row in label_texts(held.value, some, with_spans)]
         kinds = [pa.string(), pa.float64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))]
         spans = [[{"start": a, "end": b, "lang": c} for a, b, c in r[2]] for r in rows]
         columns = [[r[0] for r in rows], [r[1] for r in rows], spans]

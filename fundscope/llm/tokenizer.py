@@ -16,7 +16,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: The pattern that the vocabulary's own tokenizer splits text with (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Chunks of text whose ids a worker remembers.
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 150_000
 #: Longer chunks are encoded but not remembered.
 CACHED_CHARS = 64
 
