@@ -3,8 +3,8 @@
 A text's features are the words it contains and their first 4 to 8 letters.
 Learning, from labelled rows only:
 
-1. Of the labelled texts with equal minimum word hash and label (copies, and
-   most near copies) one teaches, so that a copied text has one vote.
+1. Of the labelled texts with equal label and equal four smallest word hashes
+   (copies, and most near copies) one teaches, so that a copied text has one vote.
 2. Document counts of all features by label, over all teaching texts, are
    added up in the tasks and then by a shuffle; the ``FEATURES`` most telling
    ones (log-likelihood ratio, more frequent in toxic texts) are kept, and the
@@ -78,16 +78,23 @@ def word_set(text: bytes | None) -> set[str]:
     return set(b" ".join(words(text)).decode().split(" ")) - {""}
 
 
+def _copy_key(text_words: set[str]) -> int:
+    """A signed 64-bit name of the four smallest word hashes."""
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in text_words], np.uint64)
+    least = np.sort(np.partition(hashes, 3)[:4] if len(hashes) > 4 else hashes)
+    return xxhash.xxh64_intdigest(least.tobytes()) - (1 << 63)
+
+
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [word_set(t) for t in binary_list(batch.column(1))]
-        keys = [min(map(xxhash.xxh64_intdigest, s), default=0) - (1 << 63) for s in sets]
+        keys = [_copy_key(s) for s in sets]
         text = pa.array([" ".join(s) for s in sets], pa.string())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), text], names=["doc_id", "key", "words"])
 
 
 def teaching_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, key, words): one text per label and minimum word hash."""
+    """(toxic, key, words): one text per label and copy key."""
     rows = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _word_batches, "doc_id long, key long, words string"), "toxicity-words")
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
@@ -182,6 +189,8 @@ def fit(
             gradient += np.bincount(feature, 2 * (own * change)[pair] * sign, n_features)
         w_next = np.maximum(0, ahead - (gradient + L1) / scale)
         base_next = ahead_base - wrong.sum() / base_scale
+        if (ahead - w_next) @ (w_next - w) + (ahead_base - base_next) * (base_next - base) > 0:
+            t = 1.0  # the momentum points uphill
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
         ahead = w_next + (t - 1) / t_next * (w_next - w)
         ahead_base = base_next + (t - 1) / t_next * (base_next - base)
