@@ -34,72 +34,62 @@ def align_union(frames: Sequence[DataFrame], schema: T.StructType) -> DataFrame:
 
 
 def role_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-              columns: dict[str, str], how: str = "left", bounded: bool = False) -> DataFrame:
+              columns: dict[str, str], how: str = "left") -> DataFrame:
     """Join one dimension on one key and bring ``columns`` (dim column ->
     output name).  Used several times on the same dimension for role-played
-    keys (creator, modifier, owner).
-
-    ``bounded=True`` broadcasts the dimension: only for tables whose size is
-    fixed by definition (record types, teams).  Other dimensions are left to
-    the planner: AQE turns the join into a broadcast at run time when the
-    measured side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    and keeps the sort-merge join otherwise.
-    """
+    keys (creator, modifier, owner).  No hint: the planner broadcasts a
+    stored dimension under its threshold, and AQE one that turns out so."""
     d = dim.select(F.col(dim_key).alias("__k"), *[F.col(c).alias(a) for c, a in columns.items()])
-    if bounded:
-        d = F.broadcast(d)
     return fact.join(d, fact[fact_key] == d["__k"], how).drop("__k")
 
 
 def star_flatten(fact: DataFrame, dims) -> DataFrame:
     """A fact with several dimensions: ``dims`` is a list of
-    ``(dimension, fact_key, dim_key, {dim column: output name}, bounded)``,
+    ``(dimension, fact_key, dim_key, {dim column: output name})``,
     joined left in order (the same dimension may appear under several keys,
     e.g. creator / modifier / owner)."""
     out = fact
-    for dim, fact_key, dim_key, columns, bounded in dims:
-        out = role_join(out, dim, fact_key, dim_key, columns, "left", bounded)
+    for dim, fact_key, dim_key, columns in dims:
+        out = role_join(out, dim, fact_key, dim_key, columns)
     return out
 
 
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Select and rename from an ordered mapping (source -> output)."""
-    return df.select(*[F.col(src).alias(dst) for src, dst in mapping.items()])
-
-
-def bridge_left_join(left: DataFrame, bridge: DataFrame, left_key: str,
-                     bridge_key: str) -> DataFrame:
-    """``left LEFT JOIN bridge ON left_key = bridge_key`` that survives a hot
-    key on the bridge side (one activity with a third of all contact links,
-    one opportunity with a third of all team rows).
-
-    AQE can split a skewed partition of an outer join only on the preserved
-    (left) side, so a hot bridge key would land in one task.  The join is
-    therefore written as
-
-    * an inner join -- AQE splits skewed partitions on either side, and
-    * the left rows without any bridge row (anti join against the distinct
-      bridge keys, which partial aggregation shrinks to one row per key per
-      task), padded with typed NULLs.
-
-    Both halves shuffle ``left`` the same way, so the exchange is reused and
-    the left input is read once.  Column names of the two inputs must not
-    overlap.
-    """
-    matched = left.join(bridge, left[left_key] == bridge[bridge_key], "inner")
-    keys = bridge.select(F.col(bridge_key).alias("__bridge_key")).distinct()
-    unmatched = left.join(keys, left[left_key] == keys["__bridge_key"], "left_anti")
-    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in bridge.schema.fields]
-    return matched.unionByName(unmatched.select(*[F.col(c) for c in left.columns], *pad))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
-    """A broadcast hint behind a measured size check: the frame's rows are
-    counted once (a small job for a dimension) and the hint is added only
-    when the count is within ``max_rows``; above it the frame is returned as
-    is and the planner keeps a shuffled join.  For dimensions that are small
-    in practice but not bounded by definition (officers, their goals), where
-    the planner's static estimate is useless (joins and unions multiply
-    estimated sizes)."""
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+# the keys with most bridge rows that are split (any other key holds at most
+# this share of all bridge rows), and the bridge rows of a part
+HOT_KEYS = 1000
+PART_ROWS = 1_000_000
+
+
+def bridge_left_join(left: DataFrame, bridge: DataFrame, left_key: str, bridge_key: str,
+                     hot_keys: int = HOT_KEYS, part_rows: int = PART_ROWS) -> DataFrame:
+    """``left LEFT JOIN bridge ON left_key = bridge_key`` that reads ``left``
+    once and survives a hot key on the bridge side (one activity with a
+    third of all contact links, one opportunity with a third of all team
+    rows).
+
+    AQE splits a skewed partition of an outer join only on the preserved
+    (left) side, so hot bridge keys are split here: the keys with more than
+    ``part_rows`` bridge rows, at most ``hot_keys`` of them (a broadcast of
+    that many rows), get several parts; their bridge rows are dealt to the
+    parts by hash and their left rows are repeated once per part.  A
+    repeated left row that meets no bridge row in its part is dropped: its
+    key has bridge rows in another.  Column names of the two inputs must not
+    overlap."""
+    counts = bridge.groupBy(F.col(bridge_key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+    hot = (counts.where(F.col("__hot").isNotNull() & (F.col("__n") > part_rows))
+           .orderBy(F.col("__n").desc(), "__hot").limit(hot_keys)
+           .select("__hot", F.ceil(F.col("__n") / F.lit(part_rows)).cast("int").alias("__parts")))
+
+    def with_parts(df: DataFrame, key: str) -> DataFrame:
+        j = df.join(F.broadcast(hot), df[key] == hot["__hot"], "left")
+        return j.drop("__hot").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+
+    dealt = F.pmod(F.xxhash64(*bridge.columns, F.spark_partition_id()), F.col("__parts")).cast("int")
+    right = with_parts(bridge, bridge_key).select(*bridge.columns, dealt.alias("__bridge_part"),
+                                                  F.lit(True).alias("__met"))
+    spread = with_parts(left, left_key).withColumn(
+        "__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    j = spread.join(right, (spread[left_key] == right[bridge_key])
+                    & (spread["__part"] == right["__bridge_part"]), "left")
+    j = j.where((F.col("__parts") == 1) | F.col("__met"))
+    return j.select(*left.columns, *bridge.columns)

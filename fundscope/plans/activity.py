@@ -36,13 +36,6 @@ def activity_list_schema(params: Params, id_type: T.DataType = T.LongType()) ->
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-_ACTIVITY_COLUMNS = {
-    "id", "owner_id", "contactor_1", "contactor_2", "contactor_3", "type", "activity_date",
-    "substantive", "status", "description", "account_id", "subject", "who_id", "record_type_id",
-    "created_by", "created_date", "modified_by", "modified_date", "system_modstamp",
-    "owner_name", "owner_first", "owner_last", "activity_id_rc", "contact_rc"}
-
-
 def _owner_filtered(crm: Crm, params: Params, visit_types_only: bool) -> DataFrame:
     """Activities with the owner's name, owners without a name or excluded
     dropped (the filter turns the owner join into an inner join)."""
@@ -98,46 +91,51 @@ def visit_contacts(crm: Crm, params: Params) -> DataFrame:
                             "contactor_number", "contactor")
 
 
-def activities(crm: Crm, params: Params, before_expansion=None) -> DataFrame:
+def _by_contactor(act: DataFrame, crm: Crm) -> DataFrame:
+    """One row per activity and contactor, with the contactor's name."""
+    keep = [c for c in act.columns if c not in ("contactor_1", "contactor_2", "contactor_3")]
+    rows = unpivot_non_null(act, keep, ["contactor_1", "contactor_2", "contactor_3"],
+                            "contactor_number", "contactor")
+    names = crm.user.select(F.col("id").alias("__cid"), F.col("name").alias("contactor_name"))
+    return rows.join(names, F.col("contactor") == F.col("__cid"), "left").drop("__cid")
+
+
+def _activity_columns(act: DataFrame, *more: str) -> DataFrame:
+    return act.select(F.col("id").alias("__id"),
+                      F.col("owner_id").alias("OwnerID"),
+                      F.col("owner_name").alias("OwnerName"),
+                      F.col("type").alias("ActivityType"),
+                      F.col("description").alias("Activity_Description"),
+                      F.col("activity_date").alias("ActivityDate"),
+                      F.col("account_id").alias("AccountID"),
+                      F.col("status").alias("ActivityStatus"),
+                      F.col("substantive").alias("Substantive_Activity"),
+                      F.col("subject").alias("Subject__c"),
+                      F.col("who_id").alias("WhoId__c"),
+                      "contactor_1", "contactor_2", "contactor_3", *more)
+
+
+def activities(crm: Crm, params: Params) -> DataFrame:
     """Activities x contactors x contact links, with the contactor's
     name.  Each activity repeats once per contactor and once per contact
     link (the WhoId and each related contact): this growth is what the
     visit counts count.  An activity with no link at all drops out.
 
-    ``before_expansion`` (DataFrame -> DataFrame) adds activity-level
-    columns (joins on the activity's own keys) right after the link join and
-    before the two unpivots multiply the rows, so those joins shuffle
-    activity x link rows, not activity x contactor x (who, link) rows.
-    """
-    act = _owner_filtered(crm, params, visit_types_only=False)
+    Owner and contactor names are joined before the links multiply the
+    rows; nothing is joined after them."""
+    act = _by_contactor(_activity_columns(_owner_filtered(crm, params, visit_types_only=False)), crm)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_rc"))
-    linked = bridge_left_join(act, links, "id", "activity_id_rc")
-    if before_expansion is not None:
-        linked = before_expansion(linked)
-    base = (linked
-            .select(F.col("owner_id").alias("OwnerID"),
-                    F.col("owner_name").alias("OwnerName"),
-                    F.col("type").alias("ActivityType"),
-                    F.col("description").alias("Activity_Description"),
-                    F.col("activity_date").alias("ActivityDate"),
-                    F.col("account_id").alias("AccountID"),
-                    F.col("status").alias("ActivityStatus"),
-                    F.col("substantive").alias("Substantive_Activity"),
-                    "activity_id_rc",
-                    F.col("subject").alias("Subject__c"),
-                    F.col("who_id").alias("WhoId__c"),
-                    "contact_rc", "contactor_1", "contactor_2", "contactor_3",
-                    *[c for c in linked.columns if c not in _ACTIVITY_COLUMNS]))
-    keep = [c for c in base.columns if c not in
-            ("contactor_1", "contactor_2", "contactor_3", "WhoId__c", "contact_rc")]
-    by_contactor = unpivot_non_null(base, keep + ["WhoId__c", "contact_rc"],
-                                    ["contactor_1", "contactor_2", "contactor_3"],
-                                    "contactor_number", "contactor")
-    by_contact = unpivot_non_null(by_contactor, keep + ["contactor_number", "contactor"],
-                                  ["WhoId__c", "contact_rc"], "related_contact", "contact")
-    cont = crm.user.select(F.col("id").alias("contactor"), F.col("name").alias("contactor_name"))
-    return by_contact.join(cont, "contactor", "left")
+    linked = bridge_left_join(act, links, "__id", "activity_id_rc").drop("__id")
+    keep = [c for c in linked.columns if c not in ("WhoId__c", "contact_rc")]
+    return unpivot_non_null(linked, keep, ["WhoId__c", "contact_rc"], "related_contact", "contact")
+
+
+def link_counts(crm: Crm) -> DataFrame:
+    """Per activity: its contact links, and those that name a contact."""
+    return (crm.activity_contact.where(F.col("activity_id").isNotNull())
+            .groupBy(F.col("activity_id").alias("__linked"))
+            .agg(F.count(F.lit(1)).alias("__links"), F.count("contact_id").alias("__named")))
 
 
 def opportunities(crm: Crm, params: Params) -> DataFrame:
@@ -175,25 +173,25 @@ def _officers(key: DataFrame) -> DataFrame:
                       "last_first_comma", "do_team", "do_level", "count_all_flag")
 
 
-def visits(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
-    """Activity rows that qualify as visits in the reporting range.
-
-    The date window and the necessary part of the visit rule are applied to
-    the activities themselves, and the account and officer joins run before
-    the contactor / contact unpivots multiply the rows."""
+def counted_visits(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
+    """Visits as one row per activity and contactor, with ``n_rows``: how
+    often the row stands on the list (once for the WhoId per link, or once
+    without links, and once per related contact).  Links are counted per
+    activity and never multiply rows."""
     early = crm.activity.where(in_report_range("activity_date", params)
                                & visit_candidate("type", "subject", "substantive", params))
-
-    def account_and_officer(act: DataFrame) -> DataFrame:
-        # joins on the activity's own keys, done before the unpivots
-        return (act.join(_accounts(crm), act.account_id == F.col("__acc"), "left")
-                .join(_officers(key), act.owner_id == F.col("__do"), "left")
-                .drop("__acc", "__do", "count_all_flag"))
-
-    j = activities(replace(crm, activity=early), params, account_and_officer)
+    act = (_owner_filtered(replace(crm, activity=early), params, visit_types_only=False)
+           .join(_accounts(crm), F.col("account_id") == F.col("__acc"), "left")
+           .join(_officers(key), F.col("owner_id") == F.col("__do"), "left")
+           .join(link_counts(crm), F.col("id") == F.col("__linked"), "left"))
+    who = F.when(F.col("who_id").isNull(), 0).otherwise(F.greatest(F.coalesce("__links", F.lit(0)), F.lit(1)))
+    act = act.withColumn("n_rows", who + F.coalesce("__named", F.lit(0))).where("n_rows > 0")
+    rows = _by_contactor(_activity_columns(
+        act, "hh_name", "market", "do_id", "first_last", "last_first", "last_first_comma",
+        "do_team", "n_rows"), crm)
     q = visit_qualifies("ActivityType", "do_team", "contactor_name", "Subject__c",
                         "Substantive_Activity", params)
-    return j.where(q).select(
+    return rows.where(q).select(
         "AccountID", "hh_name", "market", "do_id",
         fiscal_year("ActivityDate", params.fy_start_month).alias("comb_fy"),
         F.col("ActivityDate").alias("visit_date"),
@@ -201,7 +199,16 @@ def visits(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
         F.col("contactor_name").alias("visitor"),
         F.lit(P.SOURCE_VISITS).alias("source"),
         "ActivityStatus", "first_last", "last_first", "last_first_comma",
-        "contactor", "contactor_name", "Subject__c")
+        "contactor", "contactor_name", "Subject__c", "n_rows",
+        F.col("__id").alias("activity_id"))
+
+
+def visits(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
+    """Activity rows that qualify as visits in the reporting range: the
+    counted visits, each repeated by its count after every join."""
+    v = counted_visits(crm, key, params)
+    rows = v.withColumn("__nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows"))))
+    return rows.drop("__nth", "n_rows", "activity_id")
 
 
 def asks(crm: Crm, key: DataFrame, params: Params) -> DataFrame:

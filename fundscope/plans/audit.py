@@ -44,34 +44,46 @@ def proposal_wide(crm: Crm) -> DataFrame:
                     F.col("name").alias("Opportunity_name"), F.col("ask_date").alias("Ask_Date"),
                     F.col("ask_amount").alias("Ask_Amount"), F.col("close_date").alias("Close_Date"),
                     F.col("amount").alias("Amount"), F.col("division").alias("Division"),
+                    F.col("campaign_fund").alias("CampaignFund"),
                     F.col("comment").alias("Comment"), F.col("fiscal_year").alias("Fiscal_Yr"),
                     F.col("fiscal_quarter").alias("Fiscal_Qtr"), "DO_name", "TeamMemberRole")
 
 
 def prospects(crm: Crm) -> DataFrame:
-    """Each contact with its account's columns."""
-    c, a = crm.contact, crm.account
-    acc = a.select(F.col("id").alias("__acc"), F.col("name").alias("Account_Name"),
-                   F.col("status").alias("Account_Status"),
-                   F.col("account_type").alias("Account_Type"),
-                   F.col("district").alias("District"), F.col("region").alias("Region"),
-                   F.col("capacity").alias("GU_Capacity"))
-    j = c.join(acc, c.account_id == acc.__acc, "left")
-    return j.select(F.col("__acc").alias("Account_Id"), "Account_Name", F.col("id").alias("Contact_Id"),
-                    F.col("name").alias("Contact_Name"), "Account_Status", "Account_Type",
-                    "District", "Region", "GU_Capacity",
-                    F.col("contact_type").alias("Category"),
-                    F.col("label").alias("GUSY"), F.col("is_primary").alias("Is_Primary"))
+    """Each contact with its account's columns and totals."""
+    acc = crm.account.select(
+        F.col("id").alias("Account_Id"), F.col("name").alias("Account_Name"),
+        F.col("external_id").alias("Gambit_Id"), F.col("status").alias("Account_Status"),
+        F.col("account_type").alias("Account_Type"), F.col("district").alias("District"),
+        F.col("region").alias("Region"), F.col("billing_city").alias("Billing_City"),
+        F.col("billing_country").alias("Billing_Country"), F.col("billing_state").alias("Billing_State"),
+        F.col("billing_postal_code").alias("Billing_Postal_Code"), F.col("capacity").alias("GU_Capacity"))
+    totals = crm.account_totals.select(
+        F.col("account_id").alias("__of"), F.col("total_gifts").alias("Total_Gifts"),
+        F.col("total_gifts_count").alias("Total_Gifts_Count"),
+        F.col("number_of_contacts").alias("Number_of_Contacts"),
+        F.col("relationship_manager").alias("Relationship_Manager"))
+    con = crm.contact.select(
+        F.col("account_id").alias("__acc"), F.col("id").alias("Contact_Id"), F.col("name").alias("Contact_Name"),
+        F.col("age").alias("Age"), F.col("degree").alias("Degree"), F.col("degree_year").alias("Degree_Year"),
+        F.col("school").alias("School"), F.col("contact_type").alias("Category"),
+        F.col("birthdate").alias("Birthdate"), F.col("email").alias("Contact_Email"),
+        F.col("label").alias("GUSY"), F.col("pasy").alias("PASY"), F.col("gender").alias("Gender"),
+        F.col("affiliations").alias("Affilication"),
+        F.col("primary_affiliation").alias("Primary_Affiliation"), F.col("religion").alias("Religion"))
+    # the account's columns meet its totals once, before the contacts
+    wide = acc.join(totals, F.col("Account_Id") == F.col("__of"), "left").drop("__of")
+    return con.join(wide, F.col("__acc") == F.col("Account_Id"), "left").drop("__acc")
 
 
 def _audit_names(df: DataFrame, crm: Crm) -> DataFrame:
     """Creator, modifier and owner names (one user table, three roles) and
-    the record type name (a fixed code list, broadcast)."""
+    the record type name."""
     return star_flatten(df, [
-        (crm.user, "created_by", "id", {"name": "CreatedByName"}, False),
-        (crm.user, "modified_by", "id", {"name": "LastModifiedByName"}, False),
-        (crm.user, "owner_id", "id", {"name": "OwnerName"}, False),
-        (crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"}, True),
+        (crm.user, "created_by", "id", {"name": "CreatedByName"}),
+        (crm.user, "modified_by", "id", {"name": "LastModifiedByName"}),
+        (crm.user, "owner_id", "id", {"name": "OwnerName"}),
+        (crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"}),
     ])
 
 
@@ -93,6 +105,7 @@ def tasks(crm: Crm) -> DataFrame:
                     F.col("modified_by").alias("LastModifiedById"), "LastModifiedByName",
                     F.col("modified_date").alias("LastModifiedDate"),
                     F.col("owner_id").alias("OwnerId"), "OwnerName",
+                    F.col("gambit_key").alias("Gambit_Key"), F.col("external_id").alias("External_Id"),
                     F.col("record_type_id").alias("RecordTypeId"),
                     F.col("RecordTypeName").alias("recordType"),
                     F.col("type").alias("Type"), F.col("subtype").alias("TaskSubtype"),
@@ -118,6 +131,7 @@ def activity_audit(crm: Crm, params: Params) -> DataFrame:
                     F.col("created_date").alias("CreatedDate"),
                     F.col("modified_by").alias("LastModifiedByID"), "LastModifiedByName",
                     F.col("modified_date").alias("LastModifiedDate"),
+                    F.col("gambit_key").alias("Gambit_Key"), F.col("external_id").alias("External_ID"),
                     F.col("contactor_1").alias("Contactor"), F.col("contactor_2").alias("Contactor2"),
                     F.col("contactor_3").alias("Contactor3"))
 
@@ -128,8 +142,7 @@ def activity_contacts_audit(crm: Crm, params: Params) -> DataFrame:
     a = crm.activity.where(F.col("type").isin(list(params.visit_types)))
     a = role_join(a, crm.user, "owner_id", "id", {"name": "OwnerName"})
     a = a.where(kept_owner("OwnerName", params.excluded_owners, params.collation))
-    a = role_join(a, crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"},
-                  bounded=True)
+    a = role_join(a, crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"})
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_id_rc"))
     j = bridge_left_join(a, links, "id", "activity_id_rc")

@@ -7,7 +7,6 @@ through the stand-ins and returns a lazy DataFrame.
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -20,7 +19,6 @@ from .. import params as P
 from ..functions.fiscal import fiscal_year, in_report_range
 from ..params import Params
 from ..sources import standins
-from ..operators.relational import broadcast_if_small
 from ..sources.goals import rejected_cells
 from . import activity as A
 from . import audit as AU
@@ -31,16 +29,15 @@ from . import scorecard as SC
 from . import top_gifts as TG
 
 MONEY = T.DecimalType(18, 2)
-# officer-sized frames are broadcast when measured at or under this many
-# rows (a few MB); larger ones keep shuffled joins
-OFFICER_ROWS = 100_000
-AS_OF = _dt.date(2000, 1, 1)          # fixed "today" of the future-ask checks
+AS_OF = _dt.date(1997, 6, 1)          # fixed "today" of the future-ask checks, inside the range
 NAME_FRAGMENT = "00000001"            # name search of the checks
 SAMPLE_ACCOUNTS = (736, 262)          # accounts browsed by the account checks
 
 
 @dataclass
 class Ctx:
+    """The lazy stand-in plans of one call."""
+
     spark: SparkSession
     sf_dir: str
 
@@ -50,42 +47,28 @@ class Ctx:
 
     @cached_property
     def crm(self) -> standins.Crm:
-        crm = standins.load(self.spark, self.sf_dir, self.params)
-        folder = self.spark.conf.get(standins.STORE_CONF, None)
-        if folder:
-            # a folder of its own per context: another context storing the
-            # same tables never overwrites files this one reads
-            slug = self.sf_dir.rstrip("/").replace("/", "_").strip("_")
-            crm = standins.store(self.spark, crm,
-                                 f"{folder.rstrip('/')}/{slug}-{uuid.uuid4().hex[:12]}")
-        return crm
+        return standins.load(self.spark, self.sf_dir, self.params)
 
     @cached_property
     def key(self) -> DataFrame:
-        key, _ = broadcast_if_small(D.name_key(self.crm, self.params), OFFICER_ROWS)
-        return key
+        return D.name_key(self.crm, self.params)
 
     @cached_property
     def goals(self) -> DataFrame:
-        goals, _ = broadcast_if_small(D.goals(self.crm, self.key), OFFICER_ROWS)
-        return goals
+        return D.goals(self.crm, self.key)
 
     @cached_property
     def activity_list(self) -> DataFrame:
         return A.activity_list(self.crm, self.key, self.params)
 
-
-_CONTEXTS: dict[tuple[int, str], Ctx] = {}
+    @cached_property
+    def counted_visits(self) -> DataFrame:
+        return A.counted_visits(self.crm, self.key, self.params)
 
 
 def context(spark: SparkSession, sf_dir: str) -> Ctx:
-    """One set of (lazy) stand-in plans per session and folder: the plans
-    are immutable, so every query of a session can start from them."""
-    k = (id(spark), sf_dir)
-    c = _CONTEXTS.get(k)
-    if c is None or c.spark is not spark:
-        c = _CONTEXTS[k] = Ctx(spark, sf_dir)
-    return c
+    """A context per call: file listings and plans are never older than it."""
+    return Ctx(spark, sf_dir)
 
 
 # ---------------------------------------------------------------------------
@@ -100,10 +83,14 @@ def _fiscal_year(c: Ctx) -> DataFrame:
 
 
 def _date_window(c: Ctx) -> DataFrame:
-    o = A.opportunities(c.crm, c.params)
-    o = o.where(in_report_range("ask_date", c.params) | in_report_range("gift_date", c.params))
-    return (o.groupBy(fiscal_year("gift_date").alias("comb_fy"), "StageName")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("gift_amt").cast(MONEY).alias("gift_amt")))
+    """Sums over opportunity x team rows, weighted by the team's row count
+    instead of joining its rows."""
+    team = (c.crm.opportunity_team.where(F.col("opportunity_id").isNotNull())
+            .groupBy("opportunity_id").agg(F.count(F.lit(1)).alias("n_team")))
+    o = c.crm.opportunity.where(in_report_range("ask_date", c.params) | in_report_range("close_date", c.params))
+    o = o.join(team, o["id"] == team["opportunity_id"], "left").withColumn("n", F.coalesce("n_team", F.lit(1)))
+    return (o.groupBy(fiscal_year("close_date").alias("comb_fy"), F.col("stage").alias("StageName"))
+            .agg(F.sum("n").alias("n"), F.sum(F.col("amount") * F.col("n")).cast(MONEY).alias("gift_amt")))
 
 
 def _role_dollars(c: Ctx) -> DataFrame:
@@ -139,7 +126,7 @@ def _name_forms(c: Ctx) -> DataFrame:
 
 def _team_flag(c: Ctx) -> DataFrame:
     from ..functions.names import team_flag
-    team = F.broadcast(c.crm.team.select(F.col("id").alias("team_id"), F.col("name").alias("do_team")))
+    team = c.crm.team.select(F.col("id").alias("team_id"), F.col("name").alias("do_team"))
     o = c.crm.officer.join(team, "team_id", "left")
     return o.select("user_id", "do_team", "level",
                     team_flag("do_team", c.params.count_all_teams, c.params.collation).alias("count_all_flag"))
@@ -202,11 +189,14 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "dollars_dedup": _branch(P.SOURCE_DOLLARS),
     "activity_list": lambda c: c.activity_list,
     # step 10: scorecard
-    "visits_rollup": lambda c: SC.visits_rollup(c.activity_list, c.key, c.params),
+    "visits_rollup": lambda c: SC.visits_rollup(c.counted_visits, c.key, c.params),
+    "visits_by_id": lambda c: SC.visits_rollup(c.counted_visits, c.key, c.params, match="id"),
+    "visits_distinct": lambda c: SC.visits_rollup(c.counted_visits, c.key, c.params, count="activities"),
     "asks_rollup": lambda c: SC.asks_rollup(c.activity_list, c.key, c.params),
-    "scorecard": lambda c: SC.scorecard(c.activity_list, c.key, c.goals, c.params),
+    "scorecard": lambda c: SC.scorecard(c.activity_list, c.key, c.goals, c.params,
+                                        visit_rows=c.counted_visits),
     "scorecard_all_officers": lambda c: SC.scorecard(c.activity_list, c.key, c.goals, c.params,
-                                                     drive="all"),
+                                                     drive="all", visit_rows=c.counted_visits),
     # step 11: top gifts
     "top_gifts": lambda c: TG.top_gifts(c.crm, c.params),
     "top_gifts_labelled": lambda c: TG.top_gifts_labelled(c.crm, c.params),
@@ -217,6 +207,11 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "household_label": lambda c: D.household(c.crm),
     # step 13: checks
     "qa_distinct_values": lambda c: C.distinct_values(c.crm.opportunity_team, "role"),
+    "qa_distinct_substantive": lambda c: C.distinct_values(AU.activity_audit(c.crm, c.params), "Substantive_Activity"),
+    "qa_distinct_types": lambda c: C.distinct_values(AU.activity_audit(c.crm, c.params), "ActivityType"),
+    "qa_distinct_teams": lambda c: C.distinct_values(c.key, "do_team"),
+    "qa_distinct_status": lambda c: C.distinct_values(c.crm.activity, "status"),
+    "qa_distinct_account_status": lambda c: C.distinct_values(c.crm.account, "status"),
     "qa_column_browse": lambda c: C.browse(AU.activity_audit(c.crm, c.params), "ActivityType", "Visit"),
     "qa_name_search": lambda c: C.name_search(c.key, "first_last", NAME_FRAGMENT),
     "qa_status_counts": lambda c: C.status_counts(c.crm, c.params),

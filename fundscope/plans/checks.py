@@ -145,20 +145,20 @@ def _lead_dollars(crm: Crm, params: Params, stages: Sequence[str], fy: int) -> D
 def lead_dollars_for_name(crm: Crm, params: Params, fragment: str, fy: int | None = None) -> DataFrame:
     """QA14: lead dollars of one FY for names matching ``fragment``, over the
     wider stage list."""
-    d = _lead_dollars(crm, params, params.wide_stages, fy or params.current_fy)
+    d = _lead_dollars(crm, params, params.wide_stages, params.current_fy if fy is None else fy)
     return d.where(F.col("Name").contains(fragment))
 
 
 def lead_dollars(crm: Crm, params: Params, fy: int | None = None) -> DataFrame:
     """QA16: lead dollars of one FY per lead name (accepted stages)."""
-    return _lead_dollars(crm, params, params.accepted_stages, fy or params.current_fy)
+    return _lead_dollars(crm, params, params.accepted_stages, params.current_fy if fy is None else fy)
 
 
 def reconcile_dollars(crm: Crm, activity_list: DataFrame, params: Params,
                       fy: int | None = None) -> DataFrame:
     """QA15: lead dollars per name straight from opportunities against the
     activity list's lead rows, side by side, with the difference."""
-    fy = fy or params.current_fy
+    fy = params.current_fy if fy is None else fy
     src = lead_dollars(crm, params, fy)
     al = (activity_list.where(in_fy("gift_date", fy, params)
                               & F.col("StageName").isin(list(params.accepted_stages))
@@ -171,10 +171,13 @@ def reconcile_dollars(crm: Crm, activity_list: DataFrame, params: Params,
 
 
 def accepted_sorted(activity_list: DataFrame, params: Params) -> DataFrame:
-    """QA18: accepted rows of the activity list ordered by ask amount."""
+    """QA18: accepted rows of the activity list ordered by ask amount, then
+    by the other columns: rows without an ask amount are spread over the
+    sort's partitions, and ties have one order."""
     return (activity_list.where(F.col("StageName").isin(list(params.accepted_stages)))
             .select("ask_date", "ask_amt", "gift_date", "gift_amt", "solicitor")
-            .orderBy(F.col("ask_amt").asc_nulls_first()))
+            .orderBy(*[F.col(c).asc_nulls_first() for c in
+                       ("ask_amt", "gift_date", "gift_amt", "solicitor", "ask_date")]))
 
 
 def low_amount_list(activity_list: DataFrame) -> DataFrame:

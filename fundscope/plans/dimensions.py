@@ -22,13 +22,12 @@ def name_key(crm: Crm, params: Params) -> DataFrame:
     count-all flag, plus the manual rows of ``params.override_officers``.
 
     Officers are few per organisation but the user table is not bounded, so
-    the user join is left to AQE; the team table is a fixed code list and is
-    broadcast."""
+    its joins are left to the planner and AQE."""
     off, us = crm.officer, crm.user
     team = crm.team.select(F.col("id").alias("team_id"), F.col("name").alias("do_team"))
     users = us.select(F.col("id").alias("user_id"), "first_name", "last_name")
     main = (off.join(users, "user_id", "left")
-            .join(F.broadcast(team), "team_id", "left")
+            .join(team, "team_id", "left")
             .select(F.col("user_id").alias("do_id"),
                     first_last("first_name", "last_name").alias("first_last"),
                     last_first("first_name", "last_name").alias("last_first"),
@@ -57,8 +56,7 @@ def capacity_tiers(crm: Crm, params: Params) -> DataFrame:
     account whose ratings are all of other types drops out; an account with
     no rating keeps code 0 from the rating side.
     """
-    rt = F.broadcast(crm.record_type.select(F.col("id").alias("record_type_id"),
-                                            F.col("name").alias("rt_name")))
+    rt = crm.record_type.select(F.col("id").alias("record_type_id"), F.col("name").alias("rt_name"))
     counted = F.col("rt_name").isin(list(params.rating_record_types)) | F.col("rt_name").isNull()
     per_account = (crm.rating.join(rt, "record_type_id", "left")
                    .groupBy("account_id")

@@ -1,516 +1,370 @@
 """Final SELECTs of the oracle SQL, one per registered query.
 
 Each entry is ``name -> (final select, extra CTEs)``; the stand-ins and
-shared views come from :func:`fundscope.plans.oracle.base_ctes`.
+shared results come from :func:`fundscope.plans.oracle.base_ctes`.
 """
 
 from __future__ import annotations
 
 from .. import params as P
 from ..params import Params
-from .oracle import _bounds, _fy, _in, _q
+from .oracle import _bounds, _fy, _in, _q, _values
 
-AS_OF = "DATE '2000-01-01'"
+AS_OF = "DATE '1997-06-01'"
 FRAG = "00000001"
 ACCOUNTS = "(736, 262)"
+M = "DECIMAL(18,2)"
+
+GOALS = [f"{kind}_goal_{level}" for kind in ("visit", "ask", "dollar")
+         for level in ("lvl3", "lvl4", "lvl5", "single")]
+AUDIT_COLUMNS = {
+    "OwnerID": "owner_id", "OwnerName": "owner", "ActivityType": "type", "ActivityStatus": "status",
+    "Activity_Description": "description", "Substantive_Activity": "substantive",
+    "ActivityDate": "activity_date", "SystemModstamp": "system_modstamp", "RecordTypeID": "record_type_id",
+    "RecordTypeName": "kind", "Account_ID": "account_id", "Contact_WhoID": "who_id",
+    "CreatedByID": "created_by", "CreatedByName": "creator", "CreatedDate": "created_date",
+    "LastModifiedByID": "modified_by", "LastModifiedByName": "modifier", "LastModifiedDate": "modified_date",
+    "Gambit_Key": "gambit_key", "External_ID": "external_id",
+    "Contactor": "contactor_1", "Contactor2": "contactor_2", "Contactor3": "contactor_3"}
+TASK_COLUMNS = {
+    "Id": "id", "AccountId": "account_id", "ActivityDate": "activity_date", "CreatedById": "created_by",
+    "CreatedByName": "creator", "CreatedDate": "created_date", "LastModifiedById": "modified_by",
+    "LastModifiedByName": "modifier", "LastModifiedDate": "modified_date", "OwnerId": "owner_id",
+    "OwnerName": "owner", "Gambit_Key": "gambit_key", "External_Id": "external_id",
+    "RecordTypeId": "record_type_id", "recordType": "kind", "Type": "type", "TaskSubtype": "subtype",
+    "SystemModstamp": "system_modstamp", "WhatId": "what_id", "WhoId": "who_id"}
+
+
+def _as(columns: dict[str, str]) -> str:
+    return ", ".join(f"{src} AS {out}" for out, src in columns.items())
+
+
+def _named(table: str) -> str:
+    """A table of activities or tasks with the names behind its ids, looked up one by one."""
+    who = lambda col: f"(SELECT any_value(name) FROM crm_user WHERE id = t.{col})"
+    return f"""SELECT t.*, {who('created_by')} AS creator, {who('modified_by')} AS modifier, {who('owner_id')} AS owner,
+        (SELECT any_value(name) FROM record_type WHERE id = t.record_type_id) AS kind FROM {table} t"""
+
+
+def _measures(p: Params) -> list[tuple[str, str]]:
+    """Per display name: the year's visits, asks and dollars in one grouped pass; then per officer row."""
+    a, b = _bounds(p, p.current_fy)
+    this = lambda col: f"{col} BETWEEN {a} AND {b}"
+    dollars = f"source = 'all_asks' AND {this('gift_date')} AND StageName IN {_in(p.accepted_stages)}"
+    levels = ", ".join(f"{{'bound': dollar_goal_lvl{n}, 'label': {_q(P.LEVEL_ACHIEVED[n])}}}" for n in (5, 4, 3))
+
+    def credited(name: str, tested: str) -> tuple[str, str]:
+        return (name, f"""SELECT do_id, solicitor, lead_dollars, co_dollars, goal_dollars, count_all_flag,
+                CASE WHEN dollar_goal_single = 0
+                       THEN list_filter([{levels}], lambda x: coalesce(goal_dollars >= x.bound, false))[1].label
+                     WHEN goal_dollars >= dollar_goal_single THEN {_q(P.GOAL_ACHIEVED)} END AS goal_achieved
+            FROM (SELECT DISTINCT * EXCLUDE (do_team, do_level),
+                    CAST(lead_dollars + if(count_all_flag = 'Y' OR coalesce({tested} >= dollar_goal_lvl4, false),
+                         co_dollars, 0) AS {M}) AS goal_dollars FROM officer_dollars)""")
 
-GOALS = ["visit_goal_lvl3", "visit_goal_lvl4", "visit_goal_lvl5", "visit_goal_single",
-         "ask_goal_lvl3", "ask_goal_lvl4", "ask_goal_lvl5", "ask_goal_single",
-         "dollar_goal_lvl3", "dollar_goal_lvl4", "dollar_goal_lvl5", "dollar_goal_single"]
+    return [
+        ("by_name", f"""SELECT coalesce(visitor, solicitor) AS person,
+                count(*) FILTER (source = 'visits' AND {this('visit_date')} AND contactor IS NOT NULL) AS visits,
+                count(*) FILTER (source = 'qual_asks' AND {this('ask_date')}) AS asks,
+                coalesce(sum(gift_amt) FILTER ({dollars} AND solicitor_level = {_q(p.lead_role)}), 0) AS lead_sum,
+                coalesce(sum(gift_amt) FILTER ({dollars} AND solicitor_level = {_q(p.co_role)}), 0) AS co_sum,
+                sum(gift_amt) FILTER ({dollars}) AS all_sum
+            FROM activity_list GROUP BY person HAVING person IS NOT NULL"""),
+        ("known", "SELECT * FROM name_key WHERE do_id IS NOT NULL"),
+        ("sc_vis", "SELECT person AS visitor, visits, do_id FROM by_name, known WHERE person = first_last AND visits > 0"),
+        ("sc_ask", "SELECT do_id, person AS solicitor, asks FROM by_name, known WHERE person = first_last AND asks > 0"),
+        ("year_goals", f"FROM goals WHERE goal_fy = {p.current_fy}"),
+        # equal officer and goal rows are one row that counts several times
+        ("officer_dollars", f"""SELECT k.do_id, person AS solicitor, k.do_team, k.do_level,
+                CAST(any_value(lead_sum) * count(*) AS {M}) AS lead_dollars,
+                CAST(any_value(co_sum) * count(*) AS {M}) AS co_dollars,
+                any_value(if(k.do_team IN {_in(p.count_all_teams)}, 'Y', NULL)) AS count_all_flag,
+                dollar_goal_single, dollar_goal_lvl3, dollar_goal_lvl4, dollar_goal_lvl5
+            FROM by_name JOIN known k ON person = k.first_last LEFT JOIN year_goals g ON g.do_id = k.do_id
+            WHERE all_sum > 0 GROUP BY k.do_id, person, k.do_team, k.do_level, dollar_goal_single,
+                dollar_goal_lvl3, dollar_goal_lvl4, dollar_goal_lvl5"""),
+        credited("sc_dol", "lead_dollars"),
+        credited("sc_dol_total", "lead_dollars + co_dollars"),
+        ("sc_gol", f"""SELECT do_id, goal_date, {', '.join(GOALS)},
+                coalesce(visit_goal_single, visit_goal_lvl3) AS visit_goal,
+                coalesce(ask_goal_single, ask_goal_lvl3) AS ask_goal,
+                coalesce(dollar_goal_single, dollar_goal_lvl3) AS dollar_goal FROM year_goals"""),
+    ]
 
 
-def _tier_case(col: str) -> str:
-    whens = " ".join(f"WHEN {col} = {k} THEN {_q(v)}" for k, v in P.TIER_LABELS.items())
-    return f"CASE {whens} ELSE {_q(P.NO_TIER_LABEL)} END"
+def _scorecard(everyone: bool) -> str:
+    """Equal rows are one, tested with their dollars added up."""
+    goals = ", ".join(GOALS)
+    ids = " UNION ".join(f"SELECT do_id FROM {t}" for t in (("sc_vis", "sc_ask", "sc_dol") if everyone else ("sc_vis",)))
+    return f"""SELECT do_id, last_first_comma, last_first, do_team, do_level, goal_date, visits, asks, goal_dollars,
+        {goals}, lead_dollars, co_dollars,
+        CAST(CASE WHEN count_all_flag = 'Y' OR times * (lead_dollars + co_dollars) >= dollar_goal_lvl4
+                  THEN lead_dollars + co_dollars ELSE lead_dollars END AS {M}) AS credited_dollars
+    FROM (SELECT do_id, k.last_first_comma, k.last_first, k.do_team, k.do_level, k.count_all_flag, goal_date, visits, asks,
+                 goal_dollars, {goals}, lead_dollars, co_dollars, count(*) AS times
+          FROM ({ids}) LEFT JOIN sc_vis USING (do_id) LEFT JOIN sc_ask USING (do_id) LEFT JOIN sc_dol USING (do_id)
+          LEFT JOIN sc_gol USING (do_id) LEFT JOIN name_key k USING (do_id)
+          WHERE do_id IS NOT NULL GROUP BY ALL)"""
 
 
-def _scorecard_parts(p: Params) -> list[tuple[str, str]]:
+def _gifts(p: Params) -> list[tuple[str, str]]:
     a, b = _bounds(p, p.current_fy)
-    accepted = _in(p.accepted_stages)
-    teams = _in(p.count_all_teams)
-    lv = P.LEVEL_ACHIEVED
+    best = "gift_amt DESC NULLS LAST, gift_date DESC NULLS LAST, AccountID NULLS FIRST"
+    excluded = f"id NOT IN {_in(p.excluded_opportunity_ids)}" if p.excluded_opportunity_ids else "true"
+    several = " OR ".join(["total_sols > 1", *(f"(AccountID = {acct} AND gift_amt = {amt})"
+                                               for acct, amt in p.multiple_lead_overrides)])
+
+    def ranked(name: str, src: str, n: int) -> tuple[str, str]:
+        return (name, f"""SELECT AccountID, acc.name AS hh_name, CAST(o.amount AS {M}) AS gift_amt, close_date AS gift_date,
+                (lead_solicitor_id IS NOT NULL)::BIGINT AS total_sols, o.id AS opportunity_ID
+            FROM (SELECT *, account_id AS AccountID FROM {src}) o JOIN account acc ON acc.id = AccountID
+            QUALIFY row_number() OVER (ORDER BY {best}, hh_name NULLS FIRST, opportunity_ID NULLS FIRST) <= {n}""")
+
+    def labelled(name: str, on: str) -> tuple[str, str]:
+        return (name, f"""FROM (SELECT DISTINCT AccountID, hh_name, gift_amt, gift_date, opportunity_ID,
+                    CASE WHEN {several} THEN {_q(P.MULTIPLE_LEADS)}
+                         WHEN lead_solicitor_id IS NULL THEN {_q(P.NO_LEAD)} ELSE lead.name END AS solicitor
+                FROM tg JOIN year_gifts y ON {on} LEFT JOIN crm_user lead ON lead.id = lead_solicitor_id)
+            QUALIFY row_number() OVER (ORDER BY {best}, opportunity_ID NULLS FIRST, solicitor NULLS FIRST,
+                                       hh_name NULLS FIRST) <= {p.top_n}""")
+
     return [
-        ("sc_vis", f"""SELECT al.visitor, al.visits, dnk.do_id
-            FROM (SELECT visitor, count(*) AS visits FROM activity_list
-                  WHERE source = 'visits' AND visit_date >= {a} AND visit_date <= {b}
-                    AND contactor IS NOT NULL
-                  GROUP BY visitor) al
-            LEFT JOIN (SELECT do_id, first_last FROM name_key) dnk ON al.visitor = dnk.first_last
-            WHERE dnk.do_id IS NOT NULL"""),
-        ("sc_ask", f"""SELECT dnk.do_id, al.solicitor, al.asks
-            FROM (SELECT solicitor, count(*) AS asks FROM activity_list
-                  WHERE source = 'qual_asks' AND ask_date >= {a} AND ask_date <= {b}
-                    AND solicitor IS NOT NULL
-                  GROUP BY solicitor) al
-            LEFT JOIN (SELECT do_id, first_last FROM name_key) dnk ON al.solicitor = dnk.first_last
-            WHERE dnk.do_id IS NOT NULL"""),
-        ("sc_d", f"""SELECT k.do_id, p.solicitor,
-                SUM(CASE WHEN p.solicitor_level = {_q(p.lead_role)} THEN p.gift_amt ELSE 0 END) AS lead_dollars,
-                SUM(CASE WHEN p.solicitor_level = {_q(p.co_role)} THEN p.gift_amt ELSE 0 END) AS co_dollars,
-                CASE WHEN k.do_team IN {teams} THEN 'Y' END AS count_all_flag,
-                g.dollar_goal_lvl3, g.dollar_goal_lvl4, g.dollar_goal_lvl5, g.dollar_goal_single,
-                k.do_team, k.do_level
-            FROM activity_list p
-            LEFT JOIN name_key k ON p.solicitor = k.first_last
-            LEFT JOIN (SELECT * FROM goals WHERE goal_fy = {p.current_fy}) g ON g.do_id = k.do_id
-            WHERE p.gift_date >= {a} AND p.gift_date <= {b} AND p.source = 'all_asks'
-              AND p.StageName IN {accepted} AND k.do_id IS NOT NULL
-            GROUP BY p.solicitor, g.dollar_goal_lvl3, g.dollar_goal_lvl4, g.dollar_goal_lvl5,
-                     g.dollar_goal_single, k.do_team, k.do_level, k.do_id
-            HAVING SUM(p.gift_amt) > 0"""),
-        ("sc_r", """SELECT d.do_id, d.solicitor, d.lead_dollars, d.co_dollars, d.dollar_goal_single,
-                d.dollar_goal_lvl3, d.dollar_goal_lvl4, d.dollar_goal_lvl5, d.count_all_flag,
-                CASE WHEN d.count_all_flag = 'Y' THEN d.lead_dollars + d.co_dollars
-                     WHEN min(d.lead_dollars) >= min(d.dollar_goal_lvl4) THEN d.lead_dollars + d.co_dollars
-                     ELSE d.lead_dollars END AS goal_dollars
-            FROM sc_d d
-            GROUP BY d.do_id, d.solicitor, d.lead_dollars, d.co_dollars, d.count_all_flag,
-                     d.dollar_goal_single, d.dollar_goal_lvl3, d.dollar_goal_lvl4, d.dollar_goal_lvl5"""),
-        ("sc_r_total", """SELECT d.do_id, d.solicitor, d.lead_dollars, d.co_dollars, d.dollar_goal_single,
-                d.dollar_goal_lvl3, d.dollar_goal_lvl4, d.dollar_goal_lvl5, d.count_all_flag,
-                CASE WHEN d.count_all_flag = 'Y' THEN d.lead_dollars + d.co_dollars
-                     WHEN d.lead_dollars + d.co_dollars >= d.dollar_goal_lvl4 THEN d.lead_dollars + d.co_dollars
-                     WHEN d.lead_dollars + d.co_dollars < d.dollar_goal_lvl4 THEN d.lead_dollars
-                     WHEN d.dollar_goal_lvl4 IS NULL THEN d.lead_dollars END AS goal_dollars
-            FROM sc_d d
-            GROUP BY d.do_id, d.solicitor, d.lead_dollars, d.co_dollars, d.count_all_flag,
-                     d.dollar_goal_single, d.dollar_goal_lvl3, d.dollar_goal_lvl4, d.dollar_goal_lvl5"""),
-        ("sc_dol", f"""SELECT r.do_id, r.solicitor,
-                CAST(r.lead_dollars AS DECIMAL(18,2)) AS lead_dollars,
-                CAST(r.co_dollars AS DECIMAL(18,2)) AS co_dollars,
-                CAST(r.goal_dollars AS DECIMAL(18,2)) AS goal_dollars, r.count_all_flag,
-                CASE WHEN r.dollar_goal_single = 0 THEN
-                        (CASE WHEN r.goal_dollars >= r.dollar_goal_lvl5 THEN {_q(lv[5])}
-                              WHEN r.goal_dollars >= r.dollar_goal_lvl4 THEN {_q(lv[4])}
-                              WHEN r.goal_dollars >= r.dollar_goal_lvl3 THEN {_q(lv[3])}
-                              ELSE NULL END)
-                     ELSE (CASE WHEN r.goal_dollars >= r.dollar_goal_single THEN {_q(P.GOAL_ACHIEVED)}
-                                ELSE NULL END) END AS goal_achieved
-            FROM sc_r r"""),
-        ("sc_dol_total", f"""SELECT r.do_id, r.solicitor,
-                CAST(r.lead_dollars AS DECIMAL(18,2)) AS lead_dollars,
-                CAST(r.co_dollars AS DECIMAL(18,2)) AS co_dollars,
-                CAST(r.goal_dollars AS DECIMAL(18,2)) AS goal_dollars, r.count_all_flag,
-                CASE WHEN r.dollar_goal_single = 0 THEN
-                        (CASE WHEN r.goal_dollars >= r.dollar_goal_lvl5 THEN {_q(lv[5])}
-                              WHEN r.goal_dollars >= r.dollar_goal_lvl4 THEN {_q(lv[4])}
-                              WHEN r.goal_dollars >= r.dollar_goal_lvl3 THEN {_q(lv[3])}
-                              ELSE NULL END)
-                     ELSE (CASE WHEN r.goal_dollars >= r.dollar_goal_single THEN {_q(P.GOAL_ACHIEVED)}
-                                ELSE NULL END) END AS goal_achieved
-            FROM sc_r_total r"""),
-        ("sc_gol", f"""SELECT g.do_id, g.goal_date, {', '.join('g.' + c for c in GOALS)},
-                CASE WHEN g.visit_goal_single IS NULL THEN g.visit_goal_lvl3 ELSE g.visit_goal_single END AS visit_goal,
-                CASE WHEN g.ask_goal_single IS NULL THEN g.ask_goal_lvl3 ELSE g.ask_goal_single END AS ask_goal,
-                CASE WHEN g.dollar_goal_single IS NULL THEN g.dollar_goal_lvl3 ELSE g.dollar_goal_single END AS dollar_goal
-            FROM goals g WHERE g.goal_fy = {p.current_fy}"""),
+        ("all_year_gifts", f"FROM opportunity WHERE stage IN {_in(p.accepted_stages)} AND close_date BETWEEN {a} AND {b}"),
+        ("year_gifts", f"FROM all_year_gifts WHERE {excluded}"),
+        ranked("tg", "year_gifts", p.top_n),
+        ranked("tg_old", "all_year_gifts", 30),
+        labelled("bs", "y.account_id = tg.AccountID"),
+        labelled("bs_opp", "y.id = tg.opportunity_ID"),
+        ("account_leads", """SELECT DISTINCT account_id, u.name AS lead_name
+            FROM all_year_gifts LEFT JOIN crm_user u ON u.id = lead_solicitor_id"""),
     ]
 
 
-def _scorecard_final(driver: str) -> str:
-    goal_cols = ", ".join("gol." + c for c in GOALS)
-    return f"""SELECT vis.do_id, k.last_first_comma, k.last_first, k.do_team, k.do_level, gol.goal_date,
-       vis.visits, ask.asks, dol.goal_dollars, {goal_cols},
-       dol.lead_dollars, dol.co_dollars,
-       CAST(CASE WHEN k.count_all_flag = 'Y' THEN dol.lead_dollars + dol.co_dollars
-            WHEN sum(dol.lead_dollars + dol.co_dollars) >= gol.dollar_goal_lvl4 THEN dol.lead_dollars + dol.co_dollars
-            WHEN sum(dol.lead_dollars + dol.co_dollars) < gol.dollar_goal_lvl4 THEN dol.lead_dollars
-            WHEN gol.dollar_goal_lvl4 IS NULL THEN dol.lead_dollars END AS DECIMAL(18,2)) AS credited_dollars
-  FROM {driver} vis
-  LEFT JOIN sc_ask ask ON ask.do_id = vis.do_id
-  LEFT JOIN sc_dol dol ON dol.do_id = vis.do_id
-  LEFT JOIN sc_gol gol ON gol.do_id = vis.do_id
-  LEFT JOIN name_key k ON k.do_id = vis.do_id
-  WHERE vis.do_id IS NOT NULL
-  GROUP BY vis.do_id, k.last_first_comma, k.last_first, k.do_team, k.do_level, gol.goal_date,
-           vis.visits, ask.asks, dol.goal_dollars, {goal_cols},
-           dol.lead_dollars, dol.co_dollars, k.count_all_flag"""
-
-
-def _top_parts(p: Params) -> list[tuple[str, str]]:
-    a, b = _bounds(p, p.current_fy)
-    accepted = _in(p.accepted_stages)
-    excl = f"AND opp.id NOT IN {_in(p.excluded_opportunity_ids)}" if p.excluded_opportunity_ids else ""
-    over = " ".join(f"WHEN opp.account_id = {acct} AND tg.gift_amt = {amt} THEN {_q(P.MULTIPLE_LEADS)}"
-                    for acct, amt in p.multiple_lead_overrides)
-    label = f"""CASE WHEN tg.total_sols > 1 THEN {_q(P.MULTIPLE_LEADS)} {over}
-                 WHEN (CAST(opp.lead_solicitor_id AS VARCHAR) = '' OR opp.lead_solicitor_id IS NULL)
-                      THEN {_q(P.NO_LEAD)}
-                 ELSE u.name END"""
-
-    def base_sol(name: str, on: str) -> tuple[str, str]:
-        return (name, f"""SELECT DISTINCT tg.AccountID, tg.hh_name, tg.gift_amt, tg.gift_date,
-                tg.opportunity_ID, {label} AS solicitor
-            FROM tg LEFT JOIN opportunity opp ON {on}
-            LEFT JOIN crm_user u ON u.id = opp.lead_solicitor_id
-            WHERE opp.stage IN {accepted} AND opp.close_date >= {a} AND opp.close_date <= {b} {excl}""")
-
-    order = ("ORDER BY gift_amt DESC NULLS LAST, gift_date DESC NULLS LAST, AccountID NULLS FIRST, "
-             "opportunity_ID NULLS FIRST, solicitor NULLS FIRST, hh_name NULLS FIRST")
+def _merged(src: str) -> str:
+    return f"""SELECT AccountID, hh_name, CAST(gift_amt * times AS {M}) AS gift_amt, gift_date, solicitor
+        FROM (SELECT AccountID, hh_name, gift_amt, gift_date, solicitor, count(*) AS times FROM {src} GROUP BY ALL)"""
+
+
+def _tiers(p: Params) -> list[tuple[str, str]]:
+    cuts = [(i, float(c)) for i, c in enumerate(sorted(p.capacity_cutoffs, reverse=True), start=1)]
     return [
-        ("tg", f"""SELECT act.id AS AccountID, act.name AS hh_name,
-                CAST(sum(opp.amount) AS DECIMAL(18,2)) AS gift_amt, max(opp.close_date) AS gift_date,
-                count(DISTINCT opp.lead_solicitor_id) AS total_sols, opp.id AS opportunity_ID
-            FROM account act LEFT JOIN opportunity opp ON opp.account_id = act.id
-            WHERE opp.stage IN {accepted} AND opp.close_date >= {a} AND opp.close_date <= {b} {excl}
-            GROUP BY act.id, act.name, opp.id
-            ORDER BY sum(opp.amount) DESC NULLS LAST, max(opp.close_date) DESC NULLS LAST,
-                     act.id NULLS FIRST, act.name NULLS FIRST, opp.id NULLS FIRST
-            LIMIT {p.top_n}"""),
-        base_sol("bs_all", "tg.AccountID = opp.account_id"),
-        base_sol("bs_opp_all", "tg.opportunity_ID = opp.id"),
-        ("bs", f"SELECT * FROM bs_all {order} LIMIT {p.top_n}"),
-        ("bs_opp", f"SELECT * FROM bs_opp_all {order} LIMIT {p.top_n}"),
+        ("segment_of", f"SELECT * FROM {_values(list(p.segment_codes.items()), 's(segment, code)')}"),
+        ("cut", f"SELECT * FROM {_values(cuts, 'c(code, bound)')}"),
+        ("tier", f"SELECT * FROM {_values(list(P.TIER_LABELS.items()), 't(code, label)')}"),
+        ("rated", """SELECT r.*, coalesce(s.code, 0) AS segment_code
+            FROM rating r LEFT JOIN segment_of s ON s.segment = r.segment"""),
+        ("sized", """SELECT *, coalesce((SELECT min(code) FROM cut WHERE capacity >= bound), 0) AS capacity_code
+            FROM account"""),
     ]
 
 
-def _merged(src: str) -> str:
-    return f"""SELECT AccountID, hh_name, CAST(sum(amt) AS DECIMAL(18,2)) AS gift_amt, gift_date, solicitor
-               FROM (SELECT AccountID, hh_name, gift_amt AS amt, gift_amt AS amt_key, gift_date, solicitor
-                     FROM {src}) s
-               GROUP BY AccountID, hh_name, amt_key, gift_date, solicitor"""
+def _lead_sums(p: Params, stages) -> str:
+    a, b = _bounds(p, p.current_fy)
+    return f"""SELECT (SELECT any_value(name) FROM crm_user WHERE id = lead_solicitor_id) AS Name,
+            CAST(sum(amount) AS {M}) AS lead_sol_dollars
+        FROM opportunity WHERE stage IN {_in(stages)} AND close_date BETWEEN {a} AND {b} GROUP BY 1"""
 
 
-def _lead_dollars(p: Params, stages, name_filter: str = "") -> str:
-    a, b = _bounds(p, p.current_fy)
-    return f"""SELECT u.name AS Name, CAST(SUM(o.amount) AS DECIMAL(18,2)) AS lead_sol_dollars
-        FROM opportunity o LEFT JOIN crm_user u ON o.lead_solicitor_id = u.id
-        WHERE o.close_date >= {a} AND o.close_date <= {b} AND o.stage IN {_in(stages)} {name_filter}
-        GROUP BY u.name"""
+def _opportunities(where: str) -> str:
+    return f"""SELECT id AS OpportunityID, account_id AS AccountId, ask_date AS Ask_Date, ask_amount AS Ask_Amount,
+        close_date AS CloseDate, amount AS Amount, stage AS StageName FROM opportunity WHERE {where}"""
 
 
-def _opp_cols(where: str) -> str:
-    return f"""SELECT id AS OpportunityID, account_id AS AccountId, ask_date AS Ask_Date,
-        ask_amount AS Ask_Amount, close_date AS CloseDate, amount AS Amount, stage AS StageName
-        FROM opportunity WHERE {where}"""
+def _rejects() -> str:
+    """Blank and unparsable cells of each typed column."""
+    kinds = {f"{k}_goal_{lv}": "DOUBLE" for k in ("dollar", "visit", "ask") for lv in ("lvl3", "lvl4", "lvl5", "single")}
+    kinds |= {"goal_date": "DATE", "goal_fy": "INTEGER", "discovery_visit_goal": "INTEGER"}
+    kinds |= {f"dollar_goal__lvl4_fy{y}": "DOUBLE" for y in (17, 16, 15)}
+    return " UNION ALL ".join(
+        f"""SELECT {_q(c.replace('__', '_'))} AS column_name, count(*) FILTER (trim({c}) = '') AS blank_cells,
+            count(*) FILTER (trim({c}) <> '' AND TRY_CAST({c} AS {t}) IS NULL) AS rejected_cells FROM goals_import"""
+        for c, t in kinds.items())
 
 
 def finals(p: Params) -> dict[str, tuple[str, list]]:
     a, b = _bounds(p, p.current_fy)
-    ra, rb = p.report_bounds
-    accepted = _in(p.accepted_stages)
-    sc = _scorecard_parts(p)
-    top = _top_parts(p)
-    fy_names = [f"fy_{fy % 100:02d}_gift_amount" for fy in p.report_fys]
-    owner_ok = (f"u.name NOT IN {_in(p.excluded_owners)}" if p.excluded_owners else "u.name IS NOT NULL")
-    visit_types = _in(p.visit_types)
-
-    audit_acts = f"""SELECT act.owner_id AS OwnerID, u.name AS OwnerName, act.type AS ActivityType,
-            act.status AS ActivityStatus, act.description AS Activity_Description,
-            act.substantive AS Substantive_Activity, act.activity_date AS ActivityDate,
-            act.system_modstamp AS SystemModstamp, act.record_type_id AS RecordTypeID,
-            rt.name AS RecordTypeName, act.account_id AS Account_ID, act.who_id AS Contact_WhoID,
-            act.created_by AS CreatedByID, cbi.name AS CreatedByName, act.created_date AS CreatedDate,
-            act.modified_by AS LastModifiedByID, lmi.name AS LastModifiedByName,
-            act.modified_date AS LastModifiedDate, act.contactor_1 AS Contactor,
-            act.contactor_2 AS Contactor2, act.contactor_3 AS Contactor3
-        FROM activity act
-        LEFT JOIN crm_user cbi ON cbi.id = act.created_by
-        LEFT JOIN crm_user lmi ON lmi.id = act.modified_by
-        LEFT JOIN crm_user u ON u.id = act.owner_id
-        LEFT JOIN record_type rt ON rt.id = act.record_type_id
-        WHERE {owner_ok} AND act.type IN {visit_types}"""
-    audit_cte = [("adv_acts", audit_acts)]
-
-    out: dict[str, tuple[str, list]] = {}
-
-    # step 1
-    out["credited_dollars"] = ("SELECT * FROM sc_dol", sc)
-    out["credited_dollars_total"] = ("SELECT * FROM sc_dol_total", sc)
-    out["role_dollars"] = (f"""SELECT k.do_id, p.solicitor, k.do_team, k.do_level,
-            CAST(SUM(CASE WHEN p.solicitor_level = {_q(p.lead_role)} THEN p.gift_amt ELSE 0 END) AS DECIMAL(18,2)) AS lead_dollars,
-            CAST(SUM(CASE WHEN p.solicitor_level = {_q(p.co_role)} THEN p.gift_amt ELSE 0 END) AS DECIMAL(18,2)) AS co_dollars
-        FROM activity_list p JOIN name_key k ON p.solicitor = k.first_last
-        WHERE p.source = 'all_asks' AND p.gift_date BETWEEN {a} AND {b} AND p.StageName IN {accepted}
-          AND k.do_id IS NOT NULL
-        GROUP BY k.do_id, p.solicitor, k.do_team, k.do_level
-        HAVING SUM(p.gift_amt) > 0""", [])
-
-    # step 2
-    out["fiscal_year"] = (f"""SELECT id AS OpportunityID, close_date, ask_date,
-            {_fy('close_date')} AS close_fy, {_fy('ask_date')} AS ask_fy FROM opportunity""", [])
-    out["fy_amount_columns"] = ("SELECT * FROM opps", [])
-    out["date_window"] = (f"""SELECT {_fy('gift_date')} AS comb_fy, StageName, count(*) AS n,
-            CAST(sum(gift_amt) AS DECIMAL(18,2)) AS gift_amt
-        FROM opps
-        WHERE (ask_date BETWEEN DATE '{ra}' AND DATE '{rb}') OR (gift_date BETWEEN DATE '{ra}' AND DATE '{rb}')
-        GROUP BY 1, 2""", [])
-
-    # step 3
-    out["contactors_unpivot"] = ("""SELECT owner_id AS do_id, activity_date AS actcompdat,
-            type AS actcontvalue, type AS actactivity, substantive AS Substantive_Activity,
-            status AS actcategory, description AS actcomm, ownerName AS taskcontactor,
-            upper(ownerLastName) || '/' || upper(ownerFirstName) AS taskcontactorsort,
-            account_id AS Account_ID, id AS activity_id, activity_id_rc, contact_rc AS contact_id_rc,
-            contactor_number, contactor
-        FROM p1_unpvt""", [
-        ("p1_subq", f"""SELECT aa.owner_id, aa.type, aa.activity_date, aa.substantive, aa.status,
-                aa.description, aa.id, rc.activity_id AS activity_id_rc, aa.account_id,
-                u.name AS ownerName, u.last_name AS ownerLastName, u.first_name AS ownerFirstName,
-                rc.contact_id AS contact_rc, aa.contactor_1, aa.contactor_2, aa.contactor_3
-            FROM activity aa LEFT JOIN crm_user u ON u.id = aa.owner_id
-            LEFT JOIN activity_contact rc ON rc.activity_id = aa.id
-            WHERE {owner_ok} AND aa.type IN {visit_types}"""),
-        ("p1_unpvt", """SELECT * FROM (UNPIVOT p1_subq ON contactor_1, contactor_2, contactor_3
-            INTO NAME contactor_number VALUE contactor)""")])
-    out["contact_links_unpivot"] = ("SELECT * FROM activities", [])
-
-    # step 4-5
-    out["name_key"] = ("SELECT * FROM name_key", [])
-    gga = " ".join(
-        f"WHEN pr.segment IN {_in([t for t, c in p.segment_codes.items() if c == code])} THEN {code}"
-        for code in sorted(set(p.segment_codes.values())))
-    cuts = sorted(p.capacity_cutoffs, reverse=True)
-    gu = []
-    for i, bound in enumerate(cuts, start=1):
-        upper = f"acc.capacity < {cuts[i - 2]} AND " if i > 1 else ""
-        gu.append(f"WHEN {upper}acc.capacity >= {bound} THEN {i}")
-    out["capacity_tier"] = (f"""SELECT DISTINCT x.Id AS Account_ID,
-            CASE WHEN x.gu_capacity_range = 0 THEN {_tier_case('x.gga_capacity_range')}
-                 ELSE {_tier_case('x.gu_capacity_range')} END AS comb_capacity_range,
-            CASE WHEN x.gu_capacity_range = 0 AND x.gga_capacity_range = 0 THEN NULL
-                 WHEN x.gu_capacity_range = 0 THEN {_q(P.SOURCE_VENDOR)}
-                 ELSE {_q(P.SOURCE_RESEARCH)} END AS comb_capacity_source
-        FROM (SELECT c.Id, max(c.gga_capacity_range) AS gga_capacity_range,
-                     max(c.gu_capacity_range) AS gu_capacity_range
-              FROM (SELECT acc.id AS Id,
-                           CASE {gga} ELSE 0 END AS gga_capacity_range,
-                           CASE {' '.join(gu)} ELSE 0 END AS gu_capacity_range
-                    FROM account acc
-                    LEFT JOIN rating pr ON acc.id = pr.account_id
-                    LEFT JOIN record_type rt ON rt.id = pr.record_type_id
-                    WHERE (rt.name IN {_in(p.rating_record_types)} OR rt.name IS NULL)
-                      AND acc.status = 'Active') c
-              GROUP BY c.Id) x""", [])
-
-    out["name_forms"] = ("""SELECT id AS user_id, name, first_name || ' ' || last_name AS first_last,
-            last_name || ' ' || first_name AS last_first, last_name || ', ' || first_name AS last_first_comma,
-            upper(last_name) || '/' || upper(first_name) AS sort_name FROM crm_user""", [])
-    out["team_flag"] = (f"""SELECT o.user_id, t.name AS do_team, o.level,
-            CASE WHEN t.name IN {_in(p.count_all_teams)} THEN 'Y' END AS count_all_flag
-        FROM officer o LEFT JOIN team t ON o.team_id = t.id""", [])
-    out["segment_code"] = (f"""SELECT pr.account_id, pr.record_type_id, pr.segment,
-            CASE {gga} ELSE 0 END AS segment_code FROM rating pr""", [])
-    out["numeric_tier"] = (f"""SELECT acc.id AS account_id, acc.capacity,
-            CASE {' '.join(gu)} ELSE 0 END AS capacity_code,
-            {_tier_case('(CASE ' + ' '.join(gu) + ' ELSE 0 END)')} AS capacity_label
-        FROM account acc""", [])
-    out["audit_names"] = ("""SELECT act.id AS activity_id, cbi.name AS CreatedByName,
-            lmi.name AS LastModifiedByName, ow.name AS OwnerName, rt.name AS RecordTypeName
-        FROM activity act
-        LEFT JOIN crm_user cbi ON cbi.id = act.created_by
-        LEFT JOIN crm_user lmi ON lmi.id = act.modified_by
-        LEFT JOIN crm_user ow ON ow.id = act.owner_id
-        LEFT JOIN record_type rt ON rt.id = act.record_type_id""", [])
-
-    # step 6
-    out["proposals"] = ("""SELECT opp.owner_id AS do_id, opp.lead_solicitor_id AS Lead_Solicitor_ID,
-            opp.ask_date, opp.ask_amount AS ask_amt, opp.amount AS gift_amt, opp.close_date AS gift_date,
-            optm.name AS solicitor, optm.role AS solicitor_level, opp.name AS gift_name,
-            opp.division AS gift_unit, opp.id AS OpportunityID, opp.stage AS StageName,
-            opp.comment AS Comment, opp.account_id AS AccountID, acc.name AS AccountName
-        FROM opportunity opp
-        LEFT JOIN opportunity_team optm ON opp.id = optm.opportunity_id
-        LEFT JOIN (SELECT name, id FROM account) acc ON opp.account_id = acc.id""", [])
-    out["proposal_wide"] = ("""SELECT opp.id AS OpportunityID, opp.stage AS StageName,
-            opp.owner_id AS OwnerID, opp.lead_solicitor_id AS Lead_Solicitor_ID,
-            opp.account_id AS AccountID, opp.name AS Opportunity_name, opp.ask_date AS Ask_Date,
-            opp.ask_amount AS Ask_Amount, opp.close_date AS Close_Date, opp.amount AS Amount,
-            opp.division AS Division, opp.comment AS Comment, opp.fiscal_year AS Fiscal_Yr,
-            opp.fiscal_quarter AS Fiscal_Qtr, t.name AS DO_name, t.role AS TeamMemberRole
-        FROM opportunity opp LEFT JOIN opportunity_team t ON opp.id = t.opportunity_id""", [])
-    out["prospects"] = ("""SELECT a.id AS Account_Id, a.name AS Account_Name, c.id AS Contact_Id,
-            c.name AS Contact_Name, a.status AS Account_Status, a.account_type AS Account_Type,
-            a.district AS District, a.region AS Region, a.capacity AS GU_Capacity,
-            c.contact_type AS Category, c.label AS GUSY, c.is_primary AS Is_Primary
-        FROM contact c LEFT JOIN account a ON a.id = c.account_id""", [])
-    out["task_audit"] = ("""SELECT t.id AS Id, t.account_id AS AccountId, t.activity_date AS ActivityDate,
-            t.created_by AS CreatedById, cbi.name AS CreatedByName, t.created_date AS CreatedDate,
-            t.modified_by AS LastModifiedById, lmi.name AS LastModifiedByName,
-            t.modified_date AS LastModifiedDate, t.owner_id AS OwnerId, ow.name AS OwnerName,
-            t.record_type_id AS RecordTypeId, rt.name AS recordType, t.type AS Type,
-            t.subtype AS TaskSubtype, t.system_modstamp AS SystemModstamp, t.what_id AS WhatId,
-            t.who_id AS WhoId
-        FROM task t
-        LEFT JOIN crm_user cbi ON cbi.id = t.created_by
-        LEFT JOIN crm_user lmi ON lmi.id = t.modified_by
-        LEFT JOIN crm_user ow ON ow.id = t.owner_id
-        LEFT JOIN record_type rt ON rt.id = t.record_type_id""", [])
-    out["activity_audit"] = ("SELECT * FROM adv_acts", audit_cte)
-    out["activity_contacts_audit"] = (f"""SELECT adv.owner_id AS OwnerID, u.name AS OwnerName,
-            adv.type AS ActivityType, adv.description AS Activity_Description,
-            adv.activity_date AS ActivityDate, adv.system_modstamp AS SystemModstamp,
-            adv.account_id AS AccountID, adv.record_type_id AS RecordTypeID,
-            rt.name AS RecordTypeName, adv.status AS ActivityStatus,
-            adv.substantive AS Substantive_Activity, rc.activity_id AS activity_id_rc,
-            rc.contact_id AS contact_id_rc
-        FROM activity adv
-        LEFT JOIN crm_user u ON u.id = adv.owner_id
-        LEFT JOIN record_type rt ON rt.id = adv.record_type_id
-        LEFT JOIN activity_contact rc ON rc.activity_id = adv.id
-        WHERE {owner_ok} AND adv.type IN {visit_types}""", [])
-
-    # step 7
-    out["goals_import"] = ("SELECT * FROM goals", [])
-    rej = []
-    for col, src, typ in [(c, c, "DOUBLE") for c in
-                          ["dollar_goal_lvl3", "dollar_goal_lvl4", "dollar_goal_lvl5", "dollar_goal_single",
-                           "visit_goal_lvl3", "visit_goal_lvl4", "visit_goal_lvl5", "visit_goal_single",
-                           "ask_goal_lvl3", "ask_goal_lvl4", "ask_goal_lvl5", "ask_goal_single"]] + \
-            [("goal_date", "goal_date", "DATE"), ("goal_fy", "goal_fy", "INTEGER"),
-             ("discovery_visit_goal", "discovery_visit_goal", "INTEGER")] + \
-            [(f"dollar_goal_lvl4_fy{y}", f"dollar_goal__lvl4_fy{y}", "DOUBLE") for y in (17, 16, 15)]:
-        rej.append(f"""SELECT '{col}' AS column_name,
-            count(CASE WHEN {src} IS NOT NULL AND trim({src}) = '' THEN 1 END) AS blank_cells,
-            count(CASE WHEN {src} IS NOT NULL AND trim({src}) <> '' AND TRY_CAST({src} AS {typ}) IS NULL
-                       THEN 1 END) AS rejected_cells
-            FROM goals_import""")
-    out["goal_rejects"] = (" UNION ALL ".join(rej), [])
-    out["effective_goal"] = ("SELECT * FROM sc_gol", sc)
-    out["goal_level"] = ("SELECT do_id, goal_dollars, goal_achieved FROM sc_dol", sc)
-
-    # step 8-9
-    out["visits_qualified"] = ("SELECT * FROM activity_list WHERE source = 'visits'", [])
-    out["asks_qualified"] = ("SELECT * FROM activity_list WHERE source = 'qual_asks'", [])
-    out["dollars_dedup"] = ("SELECT * FROM activity_list WHERE source = 'all_asks'", [])
-    out["activity_list"] = ("SELECT * FROM activity_list", [])
-
-    # step 10
-    out["visits_rollup"] = ("SELECT * FROM sc_vis", sc)
-    out["asks_rollup"] = ("SELECT * FROM sc_ask", sc)
-    out["scorecard"] = (_scorecard_final("sc_vis"), sc)
-    drive_all = sc + [("sc_ids", """SELECT do_id FROM sc_vis UNION SELECT do_id FROM sc_ask
-                                    UNION SELECT do_id FROM sc_dol"""),
-                      ("sc_vis_all", """SELECT i.do_id, v.visits FROM sc_ids i
-                                        LEFT JOIN sc_vis v ON v.do_id = i.do_id""")]
-    out["scorecard_all_officers"] = (_scorecard_final("sc_vis_all"), drive_all)
-
-    # step 11
-    out["top_gifts"] = ("SELECT * FROM tg", top)
-    out["top_gifts_labelled"] = ("SELECT * FROM bs", top)
-    out["top_gifts_merged"] = (_merged("bs"), top)
-    out["top_gifts_by_opportunity"] = (_merged("bs_opp"), top)
-    out["top_gifts_by_lead_name"] = (f"""SELECT DISTINCT tog.AccountID, tog.hh_name, tog.gift_amt,
-            tog.gift_date,
-            CASE WHEN tog.total_sols > 1 THEN {_q(P.MULTIPLE_LEADS)}
-                 WHEN (sol.propsolnam = '' OR sol.propsolnam IS NULL) THEN {_q(P.NO_LEAD)}
-                 ELSE sol.propsolnam END AS solicitor,
-            tog.opportunity_ID
-        FROM tg30 tog LEFT JOIN sol ON sol.AccountID = tog.AccountID""", [
-        ("tg30", f"""SELECT act.id AS AccountID, act.name AS hh_name,
-                CAST(sum(opp.amount) AS DECIMAL(18,2)) AS gift_amt, max(opp.close_date) AS gift_date,
-                count(DISTINCT opp.lead_solicitor_id) AS total_sols, opp.id AS opportunity_ID
-            FROM account act LEFT JOIN opportunity opp ON opp.account_id = act.id
-            WHERE opp.stage IN {accepted} AND opp.close_date >= {a} AND opp.close_date <= {b}
-            GROUP BY act.id, act.name, opp.id
-            ORDER BY sum(opp.amount) DESC NULLS LAST, max(opp.close_date) DESC NULLS LAST,
-                     act.id NULLS FIRST, act.name NULLS FIRST, opp.id NULLS FIRST
-            LIMIT 30"""),
-        ("sol", f"""SELECT act.id AS AccountID, u.name AS propsolnam
-            FROM account act LEFT JOIN opportunity opp ON opp.account_id = act.id
-            LEFT JOIN crm_user u ON u.id = opp.lead_solicitor_id
-            WHERE opp.stage IN {accepted} AND opp.close_date >= {a} AND opp.close_date <= {b}""")])
-
-    # step 12
-    out["household_label"] = (f"""SELECT acct.id AS AccountID,
-            CASE WHEN c.label IS NULL AND c2.label IS NULL THEN NULL
-                 WHEN c.label IS NULL AND c2.label IS NOT NULL THEN rtrim(c2.label)
-                 WHEN c.label IS NOT NULL AND c2.label IS NULL THEN rtrim(c.label)
-                 ELSE (CASE WHEN c.account_id = c2.account_id
-                            THEN rtrim(c.label) || {_q(P.HOUSEHOLD_SEPARATOR)} || rtrim(c2.label)
-                            WHEN c.account_id <> c2.account_id THEN rtrim(c.label) END) END AS comb_gusy
-        FROM account acct
-        LEFT JOIN cg c ON c.account_id = acct.id AND c.rn = 1
-        LEFT JOIN cg c2 ON c2.account_id = acct.id AND c2.rn = 2
-        WHERE c.label IS NOT NULL""", [
-        ("cg", """SELECT id, account_id, label, is_primary,
-                row_number() OVER (PARTITION BY account_id ORDER BY is_primary DESC, id) AS rn
-            FROM contact""")])
-
-    # step 13: checks
-    out["qa_distinct_values"] = ("SELECT DISTINCT role FROM opportunity_team", [])
-    out["qa_column_browse"] = ("SELECT * FROM adv_acts WHERE ActivityType = 'Visit'", audit_cte)
-    out["qa_name_search"] = (f"SELECT * FROM name_key WHERE first_last LIKE '%{FRAG}%'", [])
-    out["qa_status_counts"] = (f"""SELECT status AS Status, count(*) AS n FROM activity
-        WHERE type IN {visit_types} GROUP BY status""", [])
-    out["qa_null_status"] = ("""SELECT status AS Status, activity_date AS ActivityDate, count(*) AS n
-        FROM activity WHERE status IS NULL GROUP BY status, activity_date""", [])
-    out["qa_counts_by_owner"] = (f"""SELECT OwnerName, ActivityType, count(*) AS n FROM adv_acts
-        WHERE OwnerName LIKE '%{FRAG}%' GROUP BY OwnerName, ActivityType""", audit_cte)
-    people = _in(p.visit_people) if p.visit_people else "(NULL)"
-    out["qa_types_of_people"] = (f"""SELECT DISTINCT ActivityType FROM adv_acts
-        WHERE OwnerName IN {people}""", audit_cte)
-    out["qa_owner_mismatch"] = ("""SELECT adv1.owner_id AS owner_id_1, adv1.contactor_1 AS ownerID_c1,
-            us.name AS name2
-        FROM activity adv1 LEFT JOIN crm_user us ON adv1.owner_id = us.id
-        WHERE adv1.owner_id <> adv1.contactor_1""", [])
-    out["qa_multi_lead_self"] = ("""SELECT id AS Id, lead_solicitor_id AS Lead_Solicitor,
-            count(lead_solicitor_id) AS count_lead_sol
-        FROM opportunity GROUP BY id, lead_solicitor_id HAVING count(lead_solicitor_id) > 1""", [])
-    out["qa_known_leads"] = ("""SELECT DISTINCT opt.name, opp.lead_solicitor_id AS Lead_Solicitor
-        FROM opportunity opp LEFT JOIN opportunity_team opt ON opp.id = opt.opportunity_id
-        WHERE opp.lead_solicitor_id IN (SELECT do_id FROM name_key)""", [])
-    out["qa_multi_lead_named"] = (f"""SELECT opportunity_id, name, count(DISTINCT user_id) AS count_of_lead_sol
-        FROM opportunity_team WHERE role = {_q(p.lead_role)}
-        GROUP BY opportunity_id, name HAVING count(DISTINCT user_id) > 1""", [])
-    out["qa_lead_mismatch"] = (f"""SELECT opt.opportunity_id AS OpportunityId, opt.name AS team_name,
-            opp.name AS opp_name
-        FROM opportunity opp LEFT JOIN opportunity_team opt ON opp.id = opt.opportunity_id
-        WHERE opt.user_id <> opp.lead_solicitor_id AND opt.role = {_q(p.lead_role)}""", [])
-    out["qa_lead_mismatch_long"] = (f"""SELECT opt.opportunity_id AS OpportunityId, opt.name AS team_name,
-            opp.name AS opp_name, opt.user_id AS UserId, opp.lead_solicitor_id AS Lead_Solicitor
-        FROM opportunity opp LEFT JOIN opportunity_team opt ON opp.id = opt.opportunity_id
-        WHERE opt.user_id <> opp.lead_solicitor_id AND opt.role = {_q(p.lead_role)}""", [])
-    out["qa_officer_leads"] = (f"""SELECT DISTINCT opt.name, opp.lead_solicitor_id AS Lead_Solicitor, dk.do_id
-        FROM name_key dk LEFT JOIN opportunity opp ON dk.do_id = opp.lead_solicitor_id
-        LEFT JOIN opportunity_team opt ON opt.opportunity_id = opp.id
-        WHERE opt.role = {_q(p.lead_role)}""", [])
-    out["qa_lead_dollars_name"] = (_lead_dollars(p, p.wide_stages, f"AND u.name LIKE '%{FRAG}%'"), [])
-    out["qa_lead_dollars"] = (_lead_dollars(p, p.accepted_stages), [])
-    out["qa_reconcile"] = (f"""SELECT opps.Name, opps.lead_sol_dollars, actl.first_last,
-            actl.list_dollars,
-            CAST(opps.lead_sol_dollars - actl.list_dollars AS DECIMAL(18,2)) AS difference
-        FROM opportunity_source opps LEFT JOIN activity_list_comp actl ON opps.Name = actl.first_last""", [
-        ("opportunity_source", _lead_dollars(p, p.accepted_stages)),
-        ("activity_list_comp", f"""SELECT first_last, CAST(sum(gift_amt) AS DECIMAL(18,2)) AS list_dollars
-            FROM activity_list
-            WHERE gift_date >= {a} AND gift_date <= {b} AND StageName IN {accepted}
-              AND solicitor_level = {_q(p.lead_role)} AND source = 'all_asks'
-            GROUP BY first_last""")])
-    out["qa_visit_contacts"] = ("""SELECT ActivityType, Activity_Description, ActivityDate, AccountID,
-            ActivityStatus, Substantive_Activity, activity_id_rc, contact_id_rc, contactor_number, contactor
-        FROM (UNPIVOT (SELECT aa.type AS ActivityType, aa.description AS Activity_Description,
-                        aa.activity_date AS ActivityDate, aa.account_id AS AccountID,
-                        aa.status AS ActivityStatus, aa.substantive AS Substantive_Activity,
-                        rc.activity_id AS activity_id_rc, rc.contact_id AS contact_id_rc,
-                        aa.contactor_1, aa.contactor_2, aa.contactor_3
-                 FROM activity aa LEFT JOIN activity_contact rc ON aa.id = rc.activity_id
-                 WHERE aa.type IN """ + visit_types + """)
-              ON contactor_1, contactor_2, contactor_3 INTO NAME contactor_number VALUE contactor)""", [])
-    out["qa_accepted_sorted"] = (f"""SELECT ask_date, ask_amt, gift_date, gift_amt, solicitor
-        FROM activity_list WHERE StageName IN {accepted} ORDER BY ask_amt NULLS FIRST""", [])
-    out["qa_low_amount"] = ("""SELECT * FROM activity_list
-        WHERE StageName LIKE '%Accepted%' AND gift_amt < 1 AND source = 'all_asks'""", [])
-    out["qa_low_amount_opps"] = (_opp_cols("stage LIKE '%Accepted%' AND amount < 1"), [])
-    out["qa_future_asks"] = (f"""SELECT * FROM activity_list
-        WHERE ask_amt >= 1 AND ask_date >= {AS_OF} AND source = 'all_asks'""", [])
-    out["qa_future_asks_opps"] = (_opp_cols(f"ask_amount >= 1 AND ask_date > {AS_OF}"), [])
-    out["qa_account_rows"] = (f"""SELECT * FROM activity_list
-        WHERE source = 'all_asks' AND AccountID IN {ACCOUNTS}""", [])
-    out["qa_account_rows_opps"] = (_opp_cols(f"account_id IN {ACCOUNTS}"), [])
-    out["qa_multi_lead"] = (f"""SELECT opportunity_id, count(DISTINCT user_id) AS count_of_lead_sol
-        FROM opportunity_team WHERE role = {_q(p.lead_role)}
-        GROUP BY opportunity_id HAVING count(DISTINCT user_id) > 1""", [])
-    out["qa_unmatched_goals"] = ("SELECT last_first, goal_fy FROM goals WHERE do_id IS NULL", [])
-    out["qa_collapsed_dollars"] = ("""SELECT coalesce(a.solicitor_level, b.solicitor_level) AS solicitor_level,
-            a.rows_in, b.rows_out, coalesce(a.rows_in, 0) - coalesce(b.rows_out, 0) AS merged
-        FROM (SELECT solicitor_level, count(*) AS rows_in FROM opps
-              WHERE solicitor_level IN ({lead}, {co})
-                AND ((ask_date >= DATE '{ra}' AND ask_date <= DATE '{rb}')
-                  OR (gift_date >= DATE '{ra}' AND gift_date <= DATE '{rb}'))
-              GROUP BY solicitor_level) a
-        FULL JOIN (SELECT solicitor_level, count(*) AS rows_out FROM activity_list
-                   WHERE source = 'all_asks' GROUP BY solicitor_level) b
-          ON a.solicitor_level = b.solicitor_level""".format(
-        lead=_q(p.lead_role), co=_q(p.co_role), ra=ra, rb=rb), [])
-    return out
+    first, last = (f"DATE '{d}'" for d in p.report_bounds)
+    accepted, wide = _in(p.accepted_stages), _in(p.visit_types)
+    sc, gifts, tiers = _measures(p), _gifts(p), _tiers(p)
+    lead = _q(p.lead_role)
+    kept = f"owner NOT IN {_in(p.excluded_owners)}" if p.excluded_owners else "owner IS NOT NULL"
+    acts = [("named_acts", _named("activity")),
+            ("audit", f"SELECT {_as(AUDIT_COLUMNS)} FROM named_acts WHERE type IN {wide} AND {kept}")]
+    contacts = [("contact_rows", f"""SELECT o.*, l.activity_id AS activity_id_rc, l.contact_id AS contact_id_rc
+        FROM activity_contact l RIGHT JOIN (SELECT * FROM activity WHERE type IN {wide}) o ON o.id = l.activity_id""")]
+    filled = """unnest([{'n': 'contactor_1', 'who': contactor_1}, {'n': 'contactor_2', 'who': contactor_2},
+        {'n': 'contactor_3', 'who': contactor_3}]) AS u(place) WHERE place.who IS NOT NULL"""
+    branch = lambda s: (f"FROM activity_list WHERE source = '{s}'", [])
+
+    return {
+        # credited dollars
+        "credited_dollars": ("FROM sc_dol", sc),
+        "credited_dollars_total": ("FROM sc_dol_total", sc),
+        "role_dollars": (f"""SELECT do_id, person AS solicitor, do_team, do_level,
+                CAST(lead_sum * count(*) AS {M}) AS lead_dollars, CAST(co_sum * count(*) AS {M}) AS co_dollars
+            FROM by_name, known WHERE person = first_last AND all_sum > 0
+            GROUP BY do_id, person, do_team, do_level, lead_sum, co_sum""", sc),
+        # fiscal years and windows
+        "fiscal_year": (f"""SELECT id AS OpportunityID, close_date, ask_date, {_fy('close_date')} AS close_fy,
+            {_fy('ask_date')} AS ask_fy FROM opportunity""", []),
+        "fy_amount_columns": ("FROM opps", []),
+        "date_window": (f"""SELECT {_fy('gift_date')} AS comb_fy, StageName, count(*) AS n, CAST(sum(gift_amt) AS {M}) AS gift_amt
+            FROM opps WHERE ask_date BETWEEN {first} AND {last} OR gift_date BETWEEN {first} AND {last} GROUP BY ALL""", []),
+        # unpivots
+        "contactors_unpivot": (f"""SELECT owner_id AS do_id, activity_date AS actcompdat, type AS actcontvalue,
+                type AS actactivity, substantive AS Substantive_Activity, status AS actcategory, description AS actcomm,
+                w.name AS taskcontactor, sort_name AS taskcontactorsort, account_id AS Account_ID, id AS activity_id,
+                activity_id_rc, contact_id_rc, place.n AS contactor_number, place.who AS contactor
+            FROM contact_rows JOIN person w ON w.user_id = owner_id AND {kept.replace('owner', 'w.name')}, {filled}""", contacts),
+        "contact_links_unpivot": ("""SELECT owner_id AS OwnerID, owner_name AS OwnerName, type AS ActivityType,
+                description AS Activity_Description, activity_date AS ActivityDate, account_id AS AccountID,
+                status AS ActivityStatus, substantive AS Substantive_Activity, activity_id AS activity_id_rc,
+                subject AS Subject__c, contactor_number, contactor, contactor_name,
+                hit.n AS related_contact, hit.who AS contact
+            FROM places LEFT JOIN activity_contact ON activity_id = id,
+                unnest([{'n': 'WhoId__c', 'who': who_id}, {'n': 'contact_rc', 'who': contact_id}]) AS u(hit)
+            WHERE hit.who IS NOT NULL""", []),
+        # dimensions
+        "name_key": ("FROM name_key", []),
+        "name_forms": ("FROM person", []),
+        "team_flag": (f"""SELECT user_id, t.name AS do_team, level, if(t.name IN {_in(p.count_all_teams)}, 'Y', NULL) AS count_all_flag
+            FROM team t RIGHT JOIN officer ON team_id = t.id""", []),
+        "segment_code": ("SELECT account_id, record_type_id, segment, segment_code FROM rated", tiers),
+        "numeric_tier": (f"""SELECT id AS account_id, capacity, capacity_code, coalesce(label, {_q(P.NO_TIER_LABEL)}) AS capacity_label
+            FROM sized LEFT JOIN tier ON code = capacity_code""", tiers),
+        "capacity_tier": (f"""SELECT id AS Account_ID, coalesce(label, {_q(P.NO_TIER_LABEL)}) AS comb_capacity_range,
+                CASE WHEN capacity_code > 0 THEN {_q(P.SOURCE_RESEARCH)} WHEN best > 0 THEN {_q(P.SOURCE_VENDOR)} END AS comb_capacity_source
+            FROM (SELECT s.*, best, if(capacity_code > 0, capacity_code, coalesce(best, 0)) AS chosen
+                  FROM sized s LEFT JOIN vendor ON account_id = id
+                  WHERE status = 'Active' AND (account_id IS NULL OR counted > 0))
+            LEFT JOIN tier ON code = chosen""", tiers + [("vendor", f"""SELECT account_id,
+                count(*) FILTER (ok) AS counted, max(segment_code) FILTER (ok) AS best
+            FROM (SELECT *, coalesce((SELECT any_value(name) FROM record_type WHERE id = record_type_id), {_q(p.rating_record_types[0])})
+                         IN {_in(p.rating_record_types)} AS ok FROM rated) GROUP BY account_id""")]),
+        # flattened views
+        "proposals": ("""SELECT OwnerID AS do_id, lead_solicitor_ID AS Lead_Solicitor_ID, ask_date, ask_amt, gift_amt, gift_date,
+                optm_name AS solicitor, solicitor_level, gift_name, gift_unit, OpportunityID, StageName, Comment, AccountID,
+                (SELECT any_value(name) FROM account WHERE id = AccountID) AS AccountName FROM opps""", []),
+        "proposal_wide": ("""SELECT OpportunityID, StageName, OwnerID, opps.lead_solicitor_ID AS Lead_Solicitor_ID, AccountID,
+                gift_name AS Opportunity_name, opps.ask_date AS Ask_Date, ask_amt AS Ask_Amount, gift_date AS Close_Date,
+                gift_amt AS Amount, gift_unit AS Division, o.campaign_fund AS CampaignFund, opps.Comment,
+                o.fiscal_year AS Fiscal_Yr, o.fiscal_quarter AS Fiscal_Qtr, optm_name AS DO_name, solicitor_level AS TeamMemberRole
+            FROM opps JOIN opportunity o ON o.id = OpportunityID""", []),
+        "prospects": ("""SELECT a.id AS Account_Id, a.name AS Account_Name, c.id AS Contact_Id, c.name AS Contact_Name,
+                external_id AS Gambit_Id, status AS Account_Status, account_type AS Account_Type, district AS District,
+                region AS Region, total_gifts AS Total_Gifts, total_gifts_count AS Total_Gifts_Count,
+                billing_city AS Billing_City, billing_country AS Billing_Country, billing_state AS Billing_State,
+                billing_postal_code AS Billing_Postal_Code, capacity AS GU_Capacity, number_of_contacts AS Number_of_Contacts,
+                relationship_manager AS Relationship_Manager, age AS Age, degree AS Degree, degree_year AS Degree_Year,
+                school AS School, contact_type AS Category, birthdate AS Birthdate, email AS Contact_Email, label AS GUSY,
+                pasy AS PASY, gender AS Gender, affiliations AS Affilication, primary_affiliation AS Primary_Affiliation,
+                religion AS Religion
+            FROM account a LEFT JOIN account_totals t ON t.account_id = a.id RIGHT JOIN contact c ON c.account_id = a.id""", []),
+        "task_audit": (f"SELECT {_as(TASK_COLUMNS)} FROM named_tasks", [("named_tasks", _named("task"))]),
+        "audit_names": ("""SELECT id AS activity_id, creator AS CreatedByName, modifier AS LastModifiedByName,
+            owner AS OwnerName, kind AS RecordTypeName FROM named_acts""", acts),
+        "activity_audit": ("FROM audit", acts),
+        "activity_contacts_audit": (f"""SELECT owner_id AS OwnerID, owner AS OwnerName, type AS ActivityType,
+                description AS Activity_Description, activity_date AS ActivityDate, system_modstamp AS SystemModstamp,
+                account_id AS AccountID, record_type_id AS RecordTypeID, kind AS RecordTypeName, status AS ActivityStatus,
+                substantive AS Substantive_Activity, activity_id_rc, contact_id_rc
+            FROM named_rows WHERE {kept}""", contacts + [("named_rows", _named("contact_rows"))]),
+        # goals
+        "goals_import": ("FROM goals", []),
+        "goal_rejects": (_rejects(), []),
+        "effective_goal": ("FROM sc_gol", sc),
+        "goal_level": ("SELECT do_id, goal_dollars, goal_achieved FROM sc_dol", sc),
+        # the activity list
+        "visits_qualified": branch("visits"),
+        "asks_qualified": branch("qual_asks"),
+        "dollars_dedup": branch("all_asks"),
+        "activity_list": ("FROM activity_list", []),
+        # scorecard
+        "visits_rollup": ("FROM sc_vis", sc),
+        "visits_by_id": (f"""SELECT visitor, sum(times)::BIGINT AS visits, contactor AS do_id FROM visits_counted
+            WHERE visit_date BETWEEN {a} AND {b} AND times > 0 AND contactor IN (SELECT do_id FROM known)
+            GROUP BY visitor, contactor""", sc),
+        "visits_distinct": (f"""SELECT visitor, n AS visits, do_id
+            FROM (SELECT visitor, count(DISTINCT activity_id) AS n FROM visits_counted
+                  WHERE visit_date BETWEEN {a} AND {b} AND times > 0 GROUP BY visitor)
+            JOIN known ON first_last = visitor""",
+            [c for c in sc if c[0] == "known"]),
+        "asks_rollup": ("FROM sc_ask", sc),
+        "scorecard": (_scorecard(False), sc),
+        "scorecard_all_officers": (_scorecard(True), sc),
+        # top gifts
+        "top_gifts": ("FROM tg", gifts),
+        "top_gifts_labelled": ("FROM bs", gifts),
+        "top_gifts_merged": (_merged("bs"), gifts),
+        "top_gifts_by_opportunity": (_merged("bs_opp"), gifts),
+        "top_gifts_by_lead_name": (f"""SELECT DISTINCT AccountID, hh_name, gift_amt, gift_date, opportunity_ID,
+                if(total_sols > 1, {_q(P.MULTIPLE_LEADS)}, coalesce(nullif(lead_name, ''), {_q(P.NO_LEAD)})) AS solicitor
+            FROM account_leads RIGHT JOIN tg_old ON account_id = AccountID""", gifts),
+        # households: the first two contacts of an account side by side
+        "household_label": (f"""SELECT AccountID, concat_ws({_q(P.HOUSEHOLD_SEPARATOR)}, rtrim(one), rtrim(two)) AS comb_gusy
+            FROM (SELECT account_id AS AccountID, max(label) FILTER (nth = 1) AS one, max(label) FILTER (nth = 2) AS two
+                  FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY is_primary DESC, id) AS nth FROM contact)
+                  GROUP BY account_id)
+            WHERE one IS NOT NULL AND AccountID IN (SELECT id FROM account)""", []),
+        # checks
+        "qa_distinct_values": ("SELECT role FROM opportunity_team GROUP BY role", []),
+        "qa_distinct_substantive": ("SELECT Substantive_Activity FROM audit GROUP BY ALL", acts),
+        "qa_distinct_types": ("SELECT ActivityType FROM audit GROUP BY ALL", acts),
+        "qa_distinct_teams": ("SELECT do_team FROM name_key GROUP BY ALL", []),
+        "qa_distinct_status": ("SELECT status FROM activity GROUP BY ALL", []),
+        "qa_distinct_account_status": ("SELECT status FROM account GROUP BY ALL", []),
+        "qa_column_browse": ("FROM audit WHERE ActivityType = 'Visit'", acts),
+        "qa_name_search": (f"FROM name_key WHERE contains(first_last, '{FRAG}')", []),
+        "qa_status_counts": (f"SELECT status AS Status, count(*) AS n FROM activity WHERE type IN {wide} GROUP BY ALL", []),
+        "qa_null_status": ("""SELECT NULL::VARCHAR AS Status, activity_date AS ActivityDate, count(*) - count(status) AS n
+            FROM activity GROUP BY ActivityDate HAVING n > 0""", []),
+        "qa_counts_by_owner": (f"""SELECT OwnerName, ActivityType, count(*) AS n FROM audit
+            GROUP BY ALL HAVING contains(OwnerName, '{FRAG}')""", acts),
+        "qa_types_of_people": (f"SELECT ActivityType FROM audit WHERE OwnerName IN {_in(p.visit_people or ('',))} GROUP BY ALL", acts),
+        "qa_owner_mismatch": ("""SELECT owner_id AS owner_id_1, contactor_1 AS ownerID_c1, owner AS name2
+            FROM named_acts WHERE contactor_1 <> owner_id""", acts),
+        "qa_multi_lead_self": ("""SELECT id AS Id, lead_solicitor_id AS Lead_Solicitor, n AS count_lead_sol
+            FROM (SELECT id, lead_solicitor_id, count(lead_solicitor_id) AS n FROM opportunity GROUP BY ALL) WHERE n > 1""", []),
+        "qa_known_leads": ("""SELECT DISTINCT optm_name AS name, lead_solicitor_ID AS Lead_Solicitor
+            FROM opps SEMI JOIN name_key ON do_id = lead_solicitor_ID""", []),
+        "qa_multi_lead_named": (f"""SELECT opportunity_id, name, len(users) AS count_of_lead_sol
+            FROM (SELECT opportunity_id, name, list(DISTINCT user_id) AS users FROM opportunity_team WHERE role = {lead}
+                  GROUP BY ALL) WHERE len(users) > 1""", []),
+        "qa_lead_mismatch": (f"""SELECT OpportunityID AS OpportunityId, optm_name AS team_name, gift_name AS opp_name
+            FROM opps WHERE solicitor_level = {lead} AND optm_userID <> lead_solicitor_ID""", []),
+        "qa_lead_mismatch_long": (f"""SELECT OpportunityID AS OpportunityId, optm_name AS team_name, gift_name AS opp_name,
+                optm_userID AS UserId, lead_solicitor_ID AS Lead_Solicitor
+            FROM opps WHERE solicitor_level = {lead} AND optm_userID <> lead_solicitor_ID""", []),
+        "qa_officer_leads": (f"""SELECT DISTINCT optm_name AS name, lead_solicitor_ID AS Lead_Solicitor, do_id
+            FROM (SELECT * FROM opps WHERE solicitor_level = {lead}) JOIN name_key ON do_id = lead_solicitor_ID""", []),
+        "qa_lead_dollars_name": (f"FROM sums WHERE contains(Name, '{FRAG}')", [("sums", _lead_sums(p, p.wide_stages))]),
+        "qa_lead_dollars": ("FROM sums", [("sums", _lead_sums(p, p.accepted_stages))]),
+        "qa_reconcile": (f"""SELECT name AS Name, sum(amt) FILTER (side = 'crm') AS lead_sol_dollars,
+                if(bool_or(side = 'list'), name, NULL) AS first_last, sum(amt) FILTER (side = 'list') AS list_dollars,
+                CAST(sum(amt) FILTER (side = 'crm') - sum(amt) FILTER (side = 'list') AS {M}) AS difference
+            FROM (SELECT 'crm' AS side, Name AS name, lead_sol_dollars AS amt FROM sums
+                  UNION ALL SELECT 'list', first_last, CAST(sum(gift_amt) AS {M}) FROM activity_list
+                  WHERE source = 'all_asks' AND solicitor_level = {lead} AND StageName IN {accepted}
+                    AND gift_date BETWEEN {a} AND {b} AND first_last IS NOT NULL GROUP BY first_last)
+            GROUP BY name HAVING bool_or(side = 'crm')""", [("sums", _lead_sums(p, p.accepted_stages))]),
+        "qa_visit_contacts": (f"""SELECT type AS ActivityType, description AS Activity_Description, activity_date AS ActivityDate,
+                account_id AS AccountID, status AS ActivityStatus, substantive AS Substantive_Activity, activity_id_rc,
+                contact_id_rc, place.n AS contactor_number, place.who AS contactor FROM contact_rows, {filled}""", contacts),
+        "qa_accepted_sorted": (f"SELECT ask_date, ask_amt, gift_date, gift_amt, solicitor FROM activity_list WHERE StageName IN {accepted}", []),
+        "qa_low_amount": ("FROM dollars WHERE contains(StageName, 'Accepted') AND gift_amt < 1", []),
+        "qa_low_amount_opps": (_opportunities("contains(stage, 'Accepted') AND amount < 1"), []),
+        "qa_future_asks": (f"FROM dollars WHERE ask_date >= {AS_OF} AND ask_amt >= 1", []),
+        "qa_future_asks_opps": (_opportunities(f"ask_date > {AS_OF} AND ask_amount >= 1"), []),
+        "qa_account_rows": (f"FROM dollars WHERE AccountID IN {ACCOUNTS}", []),
+        "qa_account_rows_opps": (_opportunities(f"account_id IN {ACCOUNTS}"), []),
+        "qa_multi_lead": (f"""SELECT opportunity_id, len(users) AS count_of_lead_sol
+            FROM (SELECT opportunity_id, list(DISTINCT user_id) AS users FROM opportunity_team WHERE role = {lead}
+                  GROUP BY ALL) WHERE len(users) > 1""", []),
+        "qa_unmatched_goals": ("SELECT last_first, goal_fy FROM typed_goals g ANTI JOIN name_key k ON k.last_first_comma = g.last_first", []),
+        "qa_collapsed_dollars": ("""SELECT solicitor_level, sum(before)::BIGINT AS rows_in, sum(after)::BIGINT AS rows_out,
+                (coalesce(sum(before), 0) - coalesce(sum(after), 0))::BIGINT AS merged
+            FROM (SELECT solicitor_level, 1 AS before, NULL AS after FROM counted_rows
+                  UNION ALL SELECT solicitor_level, NULL, 1 FROM dollars) GROUP BY solicitor_level""", [
+            ("counted_rows", f"""FROM opps WHERE solicitor_level IN {_in((p.lead_role, p.co_role))}
+                AND (ask_date BETWEEN {first} AND {last} OR gift_date BETWEEN {first} AND {last})""")]),
+    }

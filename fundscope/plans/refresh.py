@@ -7,18 +7,21 @@ written first, partitioned by fiscal year, and the scorecard and checks
 read it back from there (one computation, partition pruning for the FY
 readers) instead of re-deriving it.
 
-    python -m fundscope.plans.refresh <crm_folder> <out_folder> [current_fy]
+    python -m fundscope.plans.refresh <crm_folder> <out_folder> [current_fy [goals_csv]]
 """
 
 from __future__ import annotations
 
 import sys
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..params import Params
-from ..sources.sinks import materialise
+from ..sources.goals import GOALS_SCHEMA, correct_names, rejected_cells
+from ..sources.sinks import materialise, publish_view
 from ..sources.standins import Crm
+from ..sources.tables import read_text_csv
 from . import activity as A
 from . import audit as AU
 from . import dimensions as D
@@ -32,8 +35,14 @@ def read_crm(spark: SparkSession, folder: str) -> Crm:
                   for n in Crm.__dataclass_fields__})
 
 
-def refresh(spark: SparkSession, crm: Crm, params: Params, out: str) -> dict[str, str]:
-    """Write every dataset under ``out``; returns dataset name -> path."""
+def refresh(spark: SparkSession, crm: Crm, params: Params, out: str,
+            goals_csv: str | None = None, corrections: DataFrame | None = None) -> dict[str, str]:
+    """Write every dataset under ``out`` and publish each as a view of its
+    name; returns dataset name -> path.
+
+    ``goals_csv`` is the spreadsheet export to use instead of an imported
+    table, ``corrections`` its manual renames (``old_name``, ``new_name``);
+    what was blank or did not parse is written as ``goal_rejects``."""
     out = out.rstrip("/")
     paths: dict[str, str] = {}
 
@@ -41,6 +50,15 @@ def refresh(spark: SparkSession, crm: Crm, params: Params, out: str) -> dict[str
         path = f"{out}/{name}"
         materialise(df, path, partition_by)
         paths[name] = path
+        publish_view(spark.read.parquet(path), name)
+
+    raw = crm.goals_import
+    if goals_csv is not None:
+        raw = read_text_csv(spark, goals_csv, [src for _, src, _ in GOALS_SCHEMA])
+    if corrections is not None:
+        raw = correct_names(raw, corrections)
+    crm = replace(crm, goals_import=raw)
+    save("goal_rejects", rejected_cells(raw))
 
     key = D.name_key(crm, params)
     save("do_name_key", key)
@@ -48,8 +66,7 @@ def refresh(spark: SparkSession, crm: Crm, params: Params, out: str) -> dict[str
     save("do_goals", D.goals(crm, key))
     goals = spark.read.parquet(paths["do_goals"])
 
-    A.write_activity_list(A.activity_list(crm, key, params), f"{out}/activity_list")
-    paths["activity_list"] = f"{out}/activity_list"
+    save("activity_list", A.activity_list(crm, key, params), ["comb_fy"])
     # every roll-up filters one FY on the date its branch's comb_fy is
     # derived from, so the scorecard reads that partition only
     al = A.read_activity_list(spark, paths["activity_list"], params, fy=params.current_fy)
@@ -60,6 +77,11 @@ def refresh(spark: SparkSession, crm: Crm, params: Params, out: str) -> dict[str
     save("comb_hh_gusy", D.household(crm))
     save("qry_contacts", A.contacts_visits(crm, params))
     save("qry_proposal", AU.proposals(crm))
+    save("task_audit", AU.tasks(crm))
+    save("activity_audit", AU.activity_audit(crm, params))
+    save("activity_contacts_audit", AU.activity_contacts_audit(crm, params))
+    save("proposal_wide", AU.proposal_wide(crm))
+    save("prospects", AU.prospects(crm))
     return paths
 
 
@@ -67,7 +89,8 @@ def main(argv: list[str]) -> None:
     crm_folder, out = argv[1], argv[2]
     params = Params(current_fy=int(argv[3])) if len(argv) > 3 else Params()
     spark = SparkSession.builder.appName("fundscope-refresh").getOrCreate()
-    for name, path in refresh(spark, read_crm(spark, crm_folder), params, out).items():
+    goals_csv = argv[4] if len(argv) > 4 else None
+    for name, path in refresh(spark, read_crm(spark, crm_folder), params, out, goals_csv).items():
         print(name, path)
 
 

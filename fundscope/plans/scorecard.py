@@ -23,25 +23,41 @@ GOAL_COLUMNS = ["visit_goal_lvl3", "visit_goal_lvl4", "visit_goal_lvl5", "visit_
 def _by_name(rollup: DataFrame, name_col: str, key: DataFrame) -> DataFrame:
     """Attach the officer id by display name; unmatched names drop out.  The
     roll-up is aggregated first, so only one row per name meets the key."""
-    nk = key.select("do_id", F.col("first_last").alias("__name"))
+    nk = key.where(F.col("do_id").isNotNull()).select("do_id", F.col("first_last").alias("__name"))
     return rollup.join(nk, rollup[name_col] == nk.__name, "inner").drop("__name")
 
 
 def visits_rollup(activity_list: DataFrame, key: DataFrame, params: Params,
-                  fy: int | None = None) -> DataFrame:
+                  fy: int | None = None, match: str = "name", count: str = "rows") -> DataFrame:
     """Visit rows per visitor in one FY (rows, not distinct activities:
-    each contactor x contact link counts), with the officer id."""
-    fy = fy or params.current_fy
+    each contactor x contact link counts), with the officer id.
+
+    Reads the stored list, or counted visits (``activity.counted_visits``),
+    whose row counts are added up without repeating rows.  ``match="id"``
+    attaches the officer by the contactor's id instead of the display name,
+    so that namesakes do not share visits; ``count="activities"`` (counted
+    visits only) counts distinct activities per visitor instead of rows."""
+    fy = params.current_fy if fy is None else fy
     v = (activity_list.where((F.col("source") == P.SOURCE_VISITS) & in_fy("visit_date", fy, params)
                              & F.col("contactor").isNotNull())
-         .groupBy("visitor").agg(F.count(F.lit(1)).alias("visits")))
-    return _by_name(v, "visitor", key).select("visitor", "visits", "do_id")
+         )
+    if count == "activities":
+        n = F.countDistinct("activity_id")
+    else:
+        n = F.sum("n_rows") if "n_rows" in v.columns else F.count(F.lit(1))
+    if match == "id":
+        per = v.groupBy("visitor", "contactor").agg(n.alias("visits"))
+        ids = key.where(F.col("do_id").isNotNull()).select("do_id").distinct()
+        return (per.join(ids, F.col("contactor") == F.col("do_id"), "inner")
+                .select("visitor", "visits", "do_id"))
+    return (_by_name(v.groupBy("visitor").agg(n.alias("visits")), "visitor", key)
+            .select("visitor", "visits", "do_id"))
 
 
 def asks_rollup(activity_list: DataFrame, key: DataFrame, params: Params,
                 fy: int | None = None) -> DataFrame:
     """Qualified asks per solicitor in one FY, with the officer id."""
-    fy = fy or params.current_fy
+    fy = params.current_fy if fy is None else fy
     a = (activity_list.where((F.col("source") == P.SOURCE_ASKS) & in_fy("ask_date", fy, params)
                              & F.col("solicitor").isNotNull())
          .groupBy("solicitor").agg(F.count(F.lit(1)).alias("asks")))
@@ -59,7 +75,7 @@ def dollars_rollup(activity_list: DataFrame, key: DataFrame, goal_rows: DataFram
     join.  Sums distribute over the join, so this equals summing the joined
     rows (a solicitor matching two officer rows counts for each, as in the
     row-wise form), while only solicitor-sized data reaches the join."""
-    fy = fy or params.current_fy
+    fy = params.current_fy if fy is None else fy
     g = goals_for_fy(goal_rows, fy).select(
         F.col("do_id").alias("__gdo"), "dollar_goal_lvl3", "dollar_goal_lvl4",
         "dollar_goal_lvl5", "dollar_goal_single")
@@ -69,7 +85,8 @@ def dollars_rollup(activity_list: DataFrame, key: DataFrame, goal_rows: DataFram
     per_solicitor = role_dollars(rows, ["solicitor"], "solicitor_level", "gift_amt", params.lead_role,
                                  params.co_role, "lead_dollars", "co_dollars", positive_only=False,
                                  total_name="total_dollars")
-    nk = key.select("do_id", F.col("first_last").alias("solicitor"), "do_team", "do_level")
+    nk = (key.where(F.col("do_id").isNotNull())
+          .select("do_id", F.col("first_last").alias("solicitor"), "do_team", "do_level"))
     # officer rows matched by name; goals hang on the officer id
     j = (per_solicitor.join(nk, "solicitor", "inner")
          .join(g, F.col("do_id") == F.col("__gdo"), "left"))
@@ -95,7 +112,7 @@ def dollars_rollup(activity_list: DataFrame, key: DataFrame, goal_rows: DataFram
 def effective_goals(goal_rows: DataFrame, params: Params, fy: int | None = None) -> DataFrame:
     """P6d: goals of one FY with the effective visit / ask / dollar goal
     (single goal when present, else level 3)."""
-    fy = fy or params.current_fy
+    fy = params.current_fy if fy is None else fy
     g = goals_for_fy(goal_rows, fy)
     return g.select("do_id", "goal_date", *GOAL_COLUMNS,
                     effective_goal("visit_goal_single", "visit_goal_lvl3").alias("visit_goal"),
@@ -104,18 +121,21 @@ def effective_goals(goal_rows: DataFrame, params: Params, fy: int | None = None)
 
 
 def scorecard(activity_list: DataFrame, key: DataFrame, goal_rows: DataFrame, params: Params,
-              fy: int | None = None, drive: str = "visits") -> DataFrame:
+              fy: int | None = None, drive: str = "visits",
+              visit_rows: DataFrame | None = None) -> DataFrame:
     """One row per officer with visits, asks, credited dollars and
     goals for one FY.
 
     ``drive="visits"`` keeps the dashboard's behaviour: the visit roll-up
     drives the left-join chain, so an officer with gifts but no visit is
     absent.  ``drive="all"`` starts from every officer with any of the
-    three.  Every input is officer-sized after its roll-up, so the chain
+    three (full outer joins: each roll-up is derived once).  ``visit_rows``
+    may bring counted visits in place of the list's visit rows.  Every input is officer-sized after its roll-up, so the chain
     joins small frames; the final de-duplication groups on all columns and
     tests ``sum(lead + co)`` over the group against the level-4 goal."""
-    fy = fy or params.current_fy
-    vis = visits_rollup(activity_list, key, params, fy).select("do_id", "visits")
+    fy = params.current_fy if fy is None else fy
+    rows = activity_list if visit_rows is None else visit_rows
+    vis = visits_rollup(rows, key, params, fy).select("do_id", "visits")
     ask = asks_rollup(activity_list, key, params, fy).select(F.col("do_id").alias("__a"), "asks")
     dol = dollars_rollup(activity_list, key, goal_rows, params, fy).select(
         F.col("do_id").alias("__d"), "goal_dollars", "lead_dollars", "co_dollars")
@@ -123,14 +143,12 @@ def scorecard(activity_list: DataFrame, key: DataFrame, goal_rows: DataFrame, pa
         F.col("do_id").alias("__g"), "goal_date", *GOAL_COLUMNS)
     k = key.select(F.col("do_id").alias("__k"), "last_first_comma", "last_first", "do_team",
                    "do_level", "count_all_flag")
-    if drive == "all":
-        ids = (vis.select("do_id")
-               .unionByName(ask.select(F.col("__a").alias("do_id")))
-               .unionByName(dol.select(F.col("__d").alias("do_id"))).distinct())
-        vis = ids.join(vis, "do_id", "left")
-    j = (vis.where(F.col("do_id").isNotNull())
-         .join(ask, F.col("do_id") == F.col("__a"), "left")
-         .join(dol, F.col("do_id") == F.col("__d"), "left")
+    how = "full_outer" if drive == "all" else "left"
+    both = vis.join(ask, F.col("do_id") == F.col("__a"), how)
+    both = both.withColumn("do_id", F.coalesce("do_id", "__a"))
+    j = both.join(dol, F.col("do_id") == F.col("__d"), how)
+    j = j.withColumn("do_id", F.coalesce("do_id", "__d"))
+    j = (j.where(F.col("do_id").isNotNull())
          .join(gol, F.col("do_id") == F.col("__g"), "left")
          .join(k, F.col("do_id") == F.col("__k"), "left"))
     keys = ["do_id", "last_first_comma", "last_first", "do_team", "do_level", "goal_date",

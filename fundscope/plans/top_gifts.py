@@ -33,8 +33,8 @@ def top_gifts(crm: Crm, params: Params, fy: int | None = None, n: int | None = N
     Accepted opportunities of the FY are aggregated per (account,
     opportunity) first and only then meet the account names; the top-n is
     a ``TakeOrderedAndProject`` (n rows per task reach the driver)."""
-    fy = fy or params.current_fy
-    n = n or params.top_n
+    fy = params.current_fy if fy is None else fy
+    n = params.top_n if n is None else n
     o = _accepted_in_fy(crm, params, fy, exclude_ids)
     per = (o.groupBy(F.col("account_id").alias("AccountID"), F.col("id").alias("opportunity_ID"))
            .agg(F.sum("amount").cast(MONEY).alias("gift_amt"),
@@ -58,8 +58,8 @@ def top_gifts_labelled(crm: Crm, params: Params, fy: int | None = None, n: int |
     per gift label and can push other rows off the list).  ``on="opportunity"``
     joins the gift's own opportunity only.  The n listed rows are broadcast
     back: their size is n, whatever the input."""
-    fy = fy or params.current_fy
-    n = n or params.top_n
+    fy = params.current_fy if fy is None else fy
+    n = params.top_n if n is None else n
     tg = top_gifts(crm, params, fy, n)
     o = _accepted_in_fy(crm, params, fy).select(
         F.col("account_id").alias("__acc"), F.col("id").alias("__opp"),
@@ -96,7 +96,7 @@ def top_gifts_by_lead_name(crm: Crm, params: Params, fy: int | None = None,
     """P14 (older form): the top n without id exclusions, one row per lead
     name found on the account's accepted FY gifts; label 'several' when the
     opportunity had several leads, 'none entered' for a blank name."""
-    fy = fy or params.current_fy
+    fy = params.current_fy if fy is None else fy
     tg = top_gifts(crm, params, fy, n, exclude_ids=False)
     o = _accepted_in_fy(crm, params, fy, exclude_ids=False).select(
         F.col("account_id").alias("__acc"), F.col("lead_solicitor_id").alias("__lead"))

@@ -16,9 +16,10 @@ opportunity_team     distinct (order, supplier, role by line number)
 activity             events (+ the order sharing the id, for the account)
 activity_contact     distinct (order, part) of lineitem
 contact              orders (one contact per order)
-rating               orders of one fiscal year (priority -> segment)
+rating               orders (priority -> segment)
 record_type          a five-row lookup
 task                 activity rows seen as tasks
+account_totals       sums and counts over an account's orders
 goals_import         supplier, every column as text, two goal years
 ===================  =========================================================
 
@@ -35,7 +36,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fiscal import in_fy
 from ..params import Params
 from .tables import read_table
 
@@ -67,7 +67,6 @@ SEGMENT_BY_PRIORITY = {
 RECORD_TYPES = (("F", "GGA"), ("O", "Gu Capacity"), ("P", "Wealth Screen"),
                 ("T", "Task"), ("V", "Visit Report"))
 ACTIVITY_MONTH_SHIFT = -312  # events are from 2024; move them 26 years back
-RATING_FY = 1998
 GOAL_FYS = (1998, 1997)
 
 
@@ -88,6 +87,7 @@ class Crm:
     record_type: DataFrame
     task: DataFrame
     goals_import: DataFrame
+    account_totals: DataFrame
 
 
 def _sql_case(col: str, mapping: dict, default: str | None = None) -> str:
@@ -115,7 +115,10 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
                            "r_name AS region",
                            "CASE WHEN c_acctbal < 0 THEN 'Inactive' ELSE 'Active' END AS status",
                            "c_mktsegment AS account_type",
-                           "CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 1100 AS DECIMAL(18,2)) AS capacity"))
+                           "CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 1100 AS DECIMAL(18,2)) AS capacity",
+                           "concat('A-', c_custkey) AS external_id", "concat('City ', c_nationkey) AS billing_city",
+                           "n_name AS billing_country", "r_name AS billing_state",
+                           "CAST(10000 + c_custkey AS STRING) AS billing_postal_code"))
 
     s = t["supplier"]
     user = s.selectExpr(
@@ -156,13 +159,21 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
                        f"date_sub({close}, 60) AS ask_date",
                        "CASE WHEN o_orderkey % 4 = 0 THEN CAST(NULL AS DECIMAL(18,2)) "
                        "ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 2 AS DECIMAL(18,2)) END AS ask_amount",
-                       "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
+                       # a few gifts below 1, which the low-amount check is for
+                       "CASE WHEN o_totalprice < 3000 THEN CAST(0.5 AS DECIMAL(18,2)) "
+                       "ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount",
                        f"{close} AS close_date",
                        "o_orderpriority AS name", "o_orderstatus AS division",
                        f"{_sql_case('o_orderstatus', STAGE_BY_STATUS)} AS stage",
                        "concat('order ', CAST(o_orderkey AS STRING)) AS comment",
                        f"year(add_months({close}, {fy_shift})) AS fiscal_year",
-                       f"quarter(add_months({close}, {fy_shift})) AS fiscal_quarter"))
+                       f"quarter(add_months({close}, {fy_shift})) AS fiscal_quarter",
+                       "concat('Fund ', o_orderstatus) AS campaign_fund"))
+    accepted_order = "CASE WHEN division = 'F' THEN"
+    account_totals = opportunity.groupBy("account_id").agg(
+        F.coalesce(F.expr(f"sum({accepted_order} amount END)"), F.lit(0)).cast(MONEY).alias("total_gifts"),
+        F.expr(f"count({accepted_order} 1 END)").alias("total_gifts_count"),
+        F.count(F.lit(1)).alias("number_of_contacts"), F.max("lead_solicitor_id").alias("relationship_manager"))
 
     activity = activity_from_events(t["events"], o)
 
@@ -173,11 +184,17 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
         "concat('Contact ', CAST(o_orderkey AS STRING)) AS name",
         "CASE WHEN o_orderkey % 5 = 0 THEN CAST(NULL AS STRING) ELSE concat(o_orderpriority, '  ') END AS label",
         "CASE WHEN startswith(o_orderpriority, '1') THEN 'Yes' ELSE 'No' END AS is_primary",
-        "o_orderstatus AS contact_type")
-
-    rating = (o.where(in_fy(F.col("o_orderdate"), RATING_FY, params))
-              .selectExpr("o_custkey AS account_id", "o_orderstatus AS record_type_id",
-                          f"{_sql_case('o_orderpriority', SEGMENT_BY_PRIORITY)} AS segment"))
+        "o_orderstatus AS contact_type",
+        "1998 - year(date_sub(to_date(o_orderdate), 12000)) AS age",
+        "CASE o_orderstatus WHEN 'F' THEN 'BA' WHEN 'O' THEN 'MA' ELSE 'PhD' END AS degree",
+        "year(o_orderdate) AS degree_year", "substr(o_orderpriority, 3) AS school",
+        "date_sub(to_date(o_orderdate), 12000) AS birthdate", "concat('c', o_orderkey, '@example.org') AS email",
+        "concat('P-', o_orderstatus) AS pasy", "CASE WHEN o_orderkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
+        "concat(o_orderstatus, ';', o_orderpriority) AS affiliations", "o_orderstatus AS primary_affiliation",
+        "CAST(NULL AS STRING) AS religion")
+
+    rating = o.selectExpr("o_custkey AS account_id", "o_orderstatus AS record_type_id",
+                          f"{_sql_case('o_orderpriority', SEGMENT_BY_PRIORITY)} AS segment")
 
     rt_rows = ", ".join(f"('{i}', '{n}')" for i, n in RECORD_TYPES)
     record_type = spark.sql(f"SELECT * FROM VALUES {rt_rows} AS t(id, name)")
@@ -185,14 +202,15 @@ def load(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Crm:
     task = activity.selectExpr("id", "account_id", "activity_date", "created_by", "created_date",
                                "modified_by", "modified_date", "owner_id", "record_type_id",
                                "type", "'Task' AS subtype", "system_modstamp", "account_id AS what_id",
-                               "who_id")
+                               "who_id", "gambit_key", "external_id")
 
     goals_import = _goals_import(s)
 
     return Crm(account=account, user=user, officer=officer, team=team,
                opportunity=opportunity, opportunity_team=opportunity_team,
                activity=activity, activity_contact=activity_contact, contact=contact,
-               rating=rating, record_type=record_type, task=task, goals_import=goals_import)
+               rating=rating, record_type=record_type, task=task, goals_import=goals_import,
+               account_totals=account_totals)
 
 
 def activity_from_events(events: DataFrame, orders: DataFrame) -> DataFrame:
@@ -215,7 +233,8 @@ def activity_from_events(events: DataFrame, orders: DataFrame) -> DataFrame:
                 "CASE WHEN event_id % 2 = 0 THEN event_id END AS who_id",
                 "CASE WHEN event_type IN ('view', 'click') THEN 'V' ELSE 'T' END AS record_type_id",
                 "user_id + 1 AS created_by", "ts AS created_date",
-                "user_id + 2 AS modified_by", "ts AS modified_date", "ts AS system_modstamp"))
+                "user_id + 2 AS modified_by", "ts AS modified_date", "ts AS system_modstamp",
+                "concat('G', event_id) AS gambit_key", "concat('X', event_id) AS external_id"))
 
 
 def _goals_import(s: DataFrame) -> DataFrame:
@@ -285,32 +304,3 @@ def standin_params(sf_dir: str | None = None) -> Params:
         multiple_lead_overrides=((736, "498622.84"),),
         override_officers=(manual_officer,),
     )
-
-
-STORE_CONF = "fundscope.standins.store"
-ROWS_PER_FILE = 100_000
-
-
-def store(spark: SparkSession, crm: Crm, folder: str) -> Crm:
-    """Write every stand-in table once as Parquet under ``folder`` and read
-    it back.  This is what a deployment has anyway (the CRM copy is a set of
-    stored tables): later queries read stored tables, with column pruning,
-    pushed filters and file-size statistics for the planner, instead of
-    re-deriving them from the test tables.  ``folder`` must be shared by
-    the cluster (a subfolder of ``spark.checkpoint.dir``); files are capped
-    at ``ROWS_PER_FILE`` rows so a table is never one unsplittable file.
-    The tables are independent jobs and are written concurrently (Spark
-    schedules jobs from several driver threads side by side)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    names = list(Crm.__dataclass_fields__)
-
-    def write(name: str) -> str:
-        path = f"{folder.rstrip('/')}/{name}"
-        (getattr(crm, name).write.mode("overwrite")
-         .option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path))
-        return path
-
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        paths = dict(zip(names, pool.map(write, names)))
-    return Crm(**{n: spark.read.parquet(paths[n]) for n in names})

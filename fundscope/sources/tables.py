@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -19,10 +20,16 @@ def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet")
 def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A spreadsheet export read with every column as text (no inference),
     as the import into the database did; typing happens in
-    :func:`fundscope.sources.goals.typed_import`."""
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .schema(schema).csv(path))
+    :func:`fundscope.sources.goals.typed_import`.
+
+    Columns are taken by their names in the file's header, in any order;
+    further columns are ignored, and a missing one is an error.  A row that
+    is too short has NULLs in the places it lacks."""
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    missing = [c for c in columns if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    return raw.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def literal_rows(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:

@@ -105,22 +105,11 @@ def test_bridge_left_join_matches_left_join(spark):
     got = sorted(repr(tuple(r)) for r in bridge_left_join(left, bridge, "id", "k").collect())
     want = sorted(repr(tuple(r)) for r in left.join(bridge, left.id == bridge.k, "left").collect())
     assert got == want and len(got) == 502
+    # split keys, also when equal bridge rows leave parts without any
+    for rows in ([(1, i) for i in range(500)] + [(3, 9)], [(1, 7)] * 60 + [(2, 8)]):
+        bridge = spark.createDataFrame(rows, "k long, v int")
+        split = bridge_left_join(left, bridge, "id", "k", hot_keys=2, part_rows=5)
+        want = sorted(repr(tuple(r)) for r in left.join(bridge, left.id == bridge.k, "left").collect())
+        assert sorted(repr(tuple(r)) for r in split.collect()) == want
 
 
-def test_broadcast_if_small(spark):
-    from fundscope.operators.relational import broadcast_if_small
-    dim = spark.range(10).withColumnRenamed("id", "k")
-    fact = spark.range(1000).select((F.col("id") % 10).alias("k"))
-    small, n = broadcast_if_small(dim, 100)
-    assert n == 10
-    plan = fact.join(small, "k")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    big, n = broadcast_if_small(dim, 5)          # over the bound: no hint
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = fact.join(big, "k")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" not in plan

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from fundscope.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -11,11 +11,11 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "
 
 
 def _plan(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cartesian_and_no_python(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan
@@ -29,14 +29,14 @@ def test_top_n_is_take_ordered(spark):
 
 
 def test_household_single_scan_rank_limit(spark):
-    df = E.queries()["household_label"](spark, SF_SMALL)
+    df = catalog.queries()["household_label"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("orders.parquet") == 1      # contacts read once, no self join
     assert "WindowGroupLimit" in plan
 
 
 def test_filters_reach_the_scan(spark):
-    df = E.queries()["top_gifts"](spark, SF_SMALL)
+    df = catalog.queries()["top_gifts"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     orders_scans = [line for line in plan.splitlines() if "orders.parquet" in line]
     assert any("PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in s
