@@ -21,7 +21,7 @@ MONEY = T.DecimalType(18, 2)
 
 def activity_list_schema(params: Params, id_type: T.DataType = T.LongType()) -> T.StructType:
     """The 31 aligned columns of the wide activity list."""
-    s = T.StringType()
+    s = T.StringType(params.collation) if params.collation else T.StringType()
     fields = [
         ("AccountID", id_type), ("hh_name", s), ("market", s), ("do_id", id_type),
         ("comb_fy", T.IntegerType()), ("visit_date", T.DateType()), ("visit_summ", s),

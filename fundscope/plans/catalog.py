@@ -47,7 +47,8 @@ class Ctx:
 
     @cached_property
     def crm(self) -> standins.Crm:
-        return standins.load(self.spark, self.sf_dir, self.params)
+        crm = standins.load(self.spark, self.sf_dir, self.params)
+        return standins.collated(crm, self.params.collation)
 
     @cached_property
     def key(self) -> DataFrame:
@@ -170,6 +171,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "segment_code": _segment_code,
     "numeric_tier": _numeric_tier,
     "capacity_tier": lambda c: D.capacity_tiers(c.crm, c.params),
+    "capacity_tier_best": lambda c: D.capacity_tiers(c.crm, c.params, prefer="best"),
     # step 6: flattened views
     "proposals": lambda c: AU.proposals(c.crm),
     "proposal_wide": lambda c: AU.proposal_wide(c.crm),

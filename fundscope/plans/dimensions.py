@@ -12,6 +12,7 @@ from ..operators.ranking import first_two, household_label
 from ..params import Params
 from ..sources.goals import typed_import
 from ..sources.standins import Crm
+from ..sources.tables import literal_rows
 
 NAME_KEY_COLUMNS = ["do_id", "first_last", "last_first", "do_team", "do_level",
                     "last_first_comma", "count_all_flag"]
@@ -40,13 +41,11 @@ def name_key(crm: Crm, params: Params) -> DataFrame:
     id_type = main.schema["do_id"].dataType
     schema = T.StructType([T.StructField("do_id", id_type)] +
                           [T.StructField(c, T.StringType()) for c in NAME_KEY_COLUMNS[1:]])
-    spark = main.sparkSession
-    extra = spark.createDataFrame(
-        [tuple(r.get(c) for c in NAME_KEY_COLUMNS) for r in params.override_officers], schema)
-    return main.unionByName(extra)
+    extra = literal_rows(main.sparkSession, list(params.override_officers), schema)
+    return main.unionByName(extra.select(*[F.col(f.name).cast(f.dataType) for f in main.schema.fields]))
 
 
-def capacity_tiers(crm: Crm, params: Params) -> DataFrame:
+def capacity_tiers(crm: Crm, params: Params, prefer: str = "lowest") -> DataFrame:
     """Capacity tier label per active account and which source it came from.
 
     Ratings are reduced to one row per account *before* meeting the
@@ -55,13 +54,19 @@ def capacity_tiers(crm: Crm, params: Params) -> DataFrame:
     account key and no account row is multiplied by its ratings.  An
     account whose ratings are all of other types drops out; an account with
     no rating keeps code 0 from the rating side.
+
+    Of several counted ratings ``prefer="lowest"`` takes the lowest tier (the
+    largest code), ``"best"`` the best tier that any of them names.
     """
+    if prefer not in ("lowest", "best"):
+        raise ValueError("prefer must be 'lowest' or 'best'")
     rt = crm.record_type.select(F.col("id").alias("record_type_id"), F.col("name").alias("rt_name"))
     counted = F.col("rt_name").isin(list(params.rating_record_types)) | F.col("rt_name").isNull()
+    code = segment_code("segment", params.segment_codes)
     per_account = (crm.rating.join(rt, "record_type_id", "left")
                    .groupBy("account_id")
-                   .agg(F.max(F.when(counted, segment_code("segment", params.segment_codes)))
-                         .alias("vendor_code"),
+                   .agg((F.max(F.when(counted, code)) if prefer == "lowest"
+                         else F.min(F.when(counted & (code > 0), code))).alias("vendor_code"),
                         F.max(counted).alias("any_counted")))
     acc = (crm.account.where(F.col("status") == params.active_status)
            .select(F.col("id").alias("account_id"),

@@ -158,6 +158,20 @@ def _tiers(p: Params) -> list[tuple[str, str]]:
     ]
 
 
+def _tier_of(p: Params, tiers: list, chosen: str) -> tuple[str, list]:
+    final = f"""SELECT id AS Account_ID, coalesce(label, {_q(P.NO_TIER_LABEL)}) AS comb_capacity_range,
+            CASE WHEN capacity_code > 0 THEN {_q(P.SOURCE_RESEARCH)} WHEN best > 0 THEN {_q(P.SOURCE_VENDOR)} END AS comb_capacity_source
+        FROM (SELECT s.*, best, if(capacity_code > 0, capacity_code, coalesce(best, 0)) AS chosen
+              FROM sized s LEFT JOIN vendor ON account_id = id
+              WHERE status = 'Active' AND (account_id IS NULL OR counted > 0))
+        LEFT JOIN tier ON code = chosen"""
+    vendor = f"""SELECT account_id, count(*) FILTER (ok) AS counted, {chosen} AS best
+        FROM (SELECT *, coalesce((SELECT any_value(name) FROM record_type WHERE id = record_type_id),
+                                 {_q(p.rating_record_types[0])}) IN {_in(p.rating_record_types)} AS ok FROM rated)
+        GROUP BY account_id"""
+    return final, [*tiers, ("vendor", vendor)]
+
+
 def _lead_sums(p: Params, stages) -> str:
     a, b = _bounds(p, p.current_fy)
     return f"""SELECT (SELECT any_value(name) FROM crm_user WHERE id = lead_solicitor_id) AS Name,
@@ -232,15 +246,8 @@ def finals(p: Params) -> dict[str, tuple[str, list]]:
         "segment_code": ("SELECT account_id, record_type_id, segment, segment_code FROM rated", tiers),
         "numeric_tier": (f"""SELECT id AS account_id, capacity, capacity_code, coalesce(label, {_q(P.NO_TIER_LABEL)}) AS capacity_label
             FROM sized LEFT JOIN tier ON code = capacity_code""", tiers),
-        "capacity_tier": (f"""SELECT id AS Account_ID, coalesce(label, {_q(P.NO_TIER_LABEL)}) AS comb_capacity_range,
-                CASE WHEN capacity_code > 0 THEN {_q(P.SOURCE_RESEARCH)} WHEN best > 0 THEN {_q(P.SOURCE_VENDOR)} END AS comb_capacity_source
-            FROM (SELECT s.*, best, if(capacity_code > 0, capacity_code, coalesce(best, 0)) AS chosen
-                  FROM sized s LEFT JOIN vendor ON account_id = id
-                  WHERE status = 'Active' AND (account_id IS NULL OR counted > 0))
-            LEFT JOIN tier ON code = chosen""", tiers + [("vendor", f"""SELECT account_id,
-                count(*) FILTER (ok) AS counted, max(segment_code) FILTER (ok) AS best
-            FROM (SELECT *, coalesce((SELECT any_value(name) FROM record_type WHERE id = record_type_id), {_q(p.rating_record_types[0])})
-                         IN {_in(p.rating_record_types)} AS ok FROM rated) GROUP BY account_id""")]),
+        "capacity_tier": _tier_of(p, tiers, "max(segment_code) FILTER (ok)"),
+        "capacity_tier_best": _tier_of(p, tiers, "min(segment_code) FILTER (ok AND segment_code > 0)"),
         # flattened views
         "proposals": ("""SELECT OwnerID AS do_id, lead_solicitor_ID AS Lead_Solicitor_ID, ask_date, ask_amt, gift_amt, gift_date,
                 optm_name AS solicitor, solicitor_level, gift_name, gift_unit, OpportunityID, StageName, Comment, AccountID,

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..params import Params
 from ..sources.goals import GOALS_SCHEMA, correct_names, rejected_cells
 from ..sources.sinks import materialise, publish_view
-from ..sources.standins import Crm
+from ..sources.standins import Crm, collated
 from ..sources.tables import read_text_csv
 from . import activity as A
 from . import audit as AU
@@ -52,6 +52,7 @@ def refresh(spark: SparkSession, crm: Crm, params: Params, out: str,
         paths[name] = path
         publish_view(spark.read.parquet(path), name)
 
+    crm = collated(crm, params.collation)
     raw = crm.goals_import
     if goals_csv is not None:
         raw = read_text_csv(spark, goals_csv, [src for _, src, _ in GOALS_SCHEMA])

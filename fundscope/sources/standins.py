@@ -90,6 +90,20 @@ class Crm:
     account_totals: DataFrame
 
 
+def collated(crm: Crm, collation: str | None) -> Crm:
+    """Every text column of every table under one collation (``None``: as
+    they are).  Comparisons, joins and groupings on these columns, and on
+    names built from them, then all follow it; literals take the column's."""
+    if not collation:
+        return crm
+
+    def cast(df: DataFrame) -> DataFrame:
+        return df.select(*[F.collate(F.col(f.name), collation).alias(f.name)
+                           if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
+
+    return Crm(**{n: cast(getattr(crm, n)) for n in Crm.__dataclass_fields__})
+
+
 def _sql_case(col: str, mapping: dict, default: str | None = None) -> str:
     whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items())
     return f"CASE {whens} ELSE {repr(default) if default is not None else 'NULL'} END"

@@ -56,14 +56,26 @@ def visit_counts(rows: DataFrame) -> DataFrame:
 
 
 def start_visit_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Publish the running counts as a Parquet table: each micro-batch
-    carries the complete counts (officer x year sized) and replaces the
-    table, so readers always see one consistent version and a restarted
-    query rewrites it from its checkpointed state.  Nothing passes through
-    the driver."""
+    """Publish the running counts under ``path``: each micro-batch carries
+    the complete counts (officer x year sized) and is written to a folder of
+    its own, ``path/counts/version=<batch>``, then marked in ``path/done``;
+    readers take the highest marked version (:func:`read_visit_counts`), so
+    they never see half of one.  A repeated batch replaces its own folder only.  Links that
+    arrive after their activity was read are not counted: the links are a
+    table read with each batch, and an activity is joined once."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        root = path.rstrip("/")
+        batch.write.mode("overwrite").parquet(f"{root}/counts/version={batch_id}")
+        batch.sparkSession.range(1).write.mode("overwrite").parquet(f"{root}/done/version={batch_id}")
 
     return (counts.writeStream.outputMode("complete").foreachBatch(publish)
             .option("checkpointLocation", checkpoint).start())
+
+
+def read_visit_counts(spark, path: str) -> DataFrame:
+    """The latest complete version of the published counts."""
+    from pyspark.sql import functions as F
+    root = path.rstrip("/")
+    latest = spark.read.parquet(f"{root}/done").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{root}/counts/version={latest}")

@@ -53,3 +53,46 @@ def test_column_pruning(spark):
     plan = _plan(spark, "qa_distinct_values")
     scan = [line for line in plan.splitlines() if "lineitem.parquet" in line][0]
     assert "l_extendedprice" not in scan and "l_shipdate" not in scan
+
+
+UNHINTED = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+
+
+@pytest.mark.parametrize("name,table,most", [
+    ("contactors_unpivot", "events", 1), ("contact_links_unpivot", "events", 1), ("visits_qualified", "events", 1),
+    ("visits_rollup", "events", 1), ("qa_visit_contacts", "events", 1), ("activity_contacts_audit", "events", 1),
+    ("proposals", "orders", 1), ("scorecard_all_officers", "events", 1), ("scorecard", "events", 1)])
+def test_large_inputs_are_read_once(spark, name, table, most):
+    """Also where nothing is small enough to be broadcast; other tables derived from
+    orders have scans of their own and are told apart by what they read."""
+    for k, v in UNHINTED.items():
+        spark.conf.set(k, v)
+    try:
+        plan = _plan(spark, name)
+    finally:
+        for k in UNHINTED:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    mark = {"events": "events.parquet", "orders": "o_totalprice"}[table]
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x and mark in x]
+    assert len(scans) <= most, scans
+
+
+def test_nothing_is_joined_above_the_visit_counts(spark):
+    plan = _plan(spark, "visits_qualified").splitlines()
+    expansion = next(i for i, x in enumerate(plan) if "explode(sequence" in x)
+    assert not any("Join" in x for x in plan[:expansion])
+
+
+def test_building_a_query_runs_no_job(spark):
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    sc.setJobGroup("building", "no jobs here")
+    try:
+        for name, build in catalog.queries().items():
+            build(spark, SF_SMALL)
+        jobs = tracker.getJobIdsForGroup("building")
+    finally:
+        sc.setJobGroup("after", "")
+    # reading a Parquet schema is the only thing that may run
+    assert len(jobs) <= 8 * len(catalog.queries())

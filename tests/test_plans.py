@@ -188,3 +188,69 @@ def test_dollars_rollup_duplicate_officer_row_counts_twice(spark):
     # 'Last, First'): every activity row counts 2 x 2 times
     assert len(out) == 1
     assert out[0].lead_dollars == Decimal("20.00") and out[0].co_dollars == Decimal("28.00")
+
+
+def test_more_than_one_lead_on_itself(spark):
+    """QA9 finds an opportunity id that carries two rows with one lead."""
+    from fundscope.plans import checks
+
+    tables = crm(spark, opportunity=[{"id": 1, "lead_solicitor_id": 5}, {"id": 1, "lead_solicitor_id": 5},
+                                             {"id": 2, "lead_solicitor_id": 5}, {"id": 3}, {"id": 3}])
+    rows = checks.multi_lead_self(tables).collect()
+    assert [(r["Id"], r["Lead_Solicitor"], r["count_lead_sol"]) for r in rows] == [(1, 5, 2)]
+
+
+def test_best_tier_of_several_ratings(spark):
+    from fundscope.params import Params
+    from fundscope.plans.dimensions import capacity_tiers
+
+    p = Params()
+    texts = sorted(p.segment_codes, key=lambda t: p.segment_codes[t])
+    tables = crm(
+        spark, account=[{"id": 1, "status": p.active_status}], record_type=[{"id": "G", "name": p.rating_record_types[0]}],
+        rating=[{"account_id": 1, "record_type_id": "G", "segment": t} for t in (texts[0], texts[-1], "unknown")])
+    label = lambda prefer: capacity_tiers(tables, p, prefer).first()["comb_capacity_range"]
+    from fundscope import params as P
+    assert label("best") == P.TIER_LABELS[p.segment_codes[texts[0]]]
+    assert label("lowest") == P.TIER_LABELS[p.segment_codes[texts[-1]]]
+
+
+def test_collation_reaches_every_comparison(spark):
+    """Mixed case and trailing blanks: nothing matches byte by byte, all of it under the collation."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from fundscope import params as P
+    from fundscope.params import Params
+    from fundscope.plans import activity as A
+    from fundscope.plans import dimensions as D
+    from fundscope.plans import scorecard as SC
+    from fundscope.plans import top_gifts as TG
+    from fundscope.sources.standins import collated
+
+    p = Params(current_fy=2018, collation="UTF8_LCASE_RTRIM")
+    day = dt.date(2018, 1, 1)
+    seg = next(iter(p.segment_codes))
+    raw = crm(
+        spark,
+        account=[{"id": 1, "name": "Acme", "status": p.active_status.upper() + " "}],
+        user=[{"id": 5, "name": "ann lee ", "first_name": "Ann", "last_name": "Lee"}],
+        officer=[{"user_id": 5, "team_id": 1, "level": "x"}], team=[{"id": 1, "name": p.count_all_teams[0].lower() + " "}],
+        opportunity=[{"id": 9, "account_id": 1, "lead_solicitor_id": 5, "owner_id": 5, "amount": Decimal("50.00"),
+                      "ask_amount": Decimal("60.00"), "ask_date": day, "close_date": day, "stage": "accepted "}],
+        opportunity_team=[{"opportunity_id": 9, "user_id": 5, "name": "Ann Lee", "role": p.lead_role.lower() + " "}],
+        record_type=[{"id": "G", "name": p.rating_record_types[0].upper()}],
+        rating=[{"account_id": 1, "record_type_id": "g ", "segment": seg.upper() + " "}],
+        goals_import=[{"last_first": "LEE, ANN ", "goal_fy": "2018", "dollar_goal_lvl3": "5"}])
+    found = []
+    for tables, params in ((raw, Params(current_fy=2018)), (collated(raw, p.collation), p)):
+        key = D.name_key(tables, params)
+        goals = D.goals(tables, key)
+        dollars = A.activity_list(tables, key, params).where("source = 'all_asks'")
+        paid = A.opportunities(tables, params).first()["fy_18_gift_amount"]
+        roll = SC.dollars_rollup(A.activity_list(tables, key, params), key, goals, params).collect()
+        found.append((key.first()["count_all_flag"], goals.first()["do_id"], paid, dollars.count(),
+                      [r["lead_dollars"] for r in roll], TG.top_gifts(tables, params).count(),
+                      [r["comb_capacity_source"] for r in D.capacity_tiers(tables, params).collect()]))
+    assert found[0][:6] == (None, None, None, 0, [], 0) and found[0][6] == []
+    assert found[1] == ("Y", 5, Decimal("50.00"), 1, [Decimal("50.00")], 1, [P.SOURCE_VENDOR])

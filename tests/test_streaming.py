@@ -36,7 +36,7 @@ def test_stream_equals_batch(spark, scratch):
 
 def test_stream_visit_counts_equal_batch_rollup(spark, scratch):
     from pyspark.sql import functions as F
-    from fundscope.streaming import start_visit_counts, visit_counts
+    from fundscope.streaming import read_visit_counts, start_visit_counts, visit_counts
     src = os.path.join(scratch, "events_in_counts")
     os.makedirs(src, exist_ok=True)
     shutil.copy(os.path.join(SF_SMALL, "events.parquet"), os.path.join(src, "part-0.parquet"))
@@ -51,7 +51,7 @@ def test_stream_visit_counts_equal_batch_rollup(spark, scratch):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = {(r.visitor, r.comb_fy): r.visits for r in spark.read.parquet(out).collect()}
+    got = {(r.visitor, r.comb_fy): r.visits for r in read_visit_counts(spark, out).collect()}
     batch = (c.activity_list.where("source = 'visits' AND contactor IS NOT NULL")
              .groupBy("visitor", "comb_fy").agg(F.count(F.lit(1)).alias("visits")))
     want = {(r.visitor, r.comb_fy): r.visits for r in batch.collect()}
