@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from fundscope.plans import catalog  # noqa: E402
 from fundscope.session import local_session  # noqa: E402
 
 REVIEW = """# Plan review at 100 TB
@@ -23,20 +23,21 @@ not assumed small by the code.
 
 | Query | Exchanges (key: what moves) | Broadcast (bound) | Hot key |
 |---|---|---|---|
-| activity list, visits branch | activities by id for the link join (inner half) and once more reused by the anti half; bridge keys by id after partial distinct; rows by owner / account / contactor for the dimension joins unless AQE broadcasts them | none by hint | a hot activity in the links: inner half split by AQE skew join; hot owner / account / contactor on the preserved side: AQE splits the left side |
-| activity list, asks / dollars | opportunities by id for the team join; rows by lead or team member for the officer join; dollars de-duplication by all 27 output columns after partial aggregation | none by hint | hot opportunity in the team rows: inner half split; duplicate gifts merged map-side |
+| activity list, visits branch | activities by owner and account; link counts by activity after partial aggregation, joined 1:1; contactor rows by contactor for the names; repeated by their counts after every join | none by hint | a hot activity is one count; hot owner / account / contactor on the preserved side: AQE splits the left side |
+| bridge joins (link or team rows asked for) | the left side once by (key, part), bridge rows by (key, part), bridge keys after partial counts | at most 1,000 hot keys | bridge rows of a hot key are dealt to parts by hash |
+| activity list, asks / dollars | opportunities by id and part for the team join; rows by lead or team member for the officer join; dollars de-duplication by all 27 output columns after partial aggregation | none by hint | hot opportunity in the team rows: dealt to parts; duplicate gifts merged map-side |
 | scorecard / roll-ups | one partial-aggregated exchange per roll-up (visitor, solicitor, solicitor x goals), then officer-sized joins | none by hint; AQE broadcasts the officer-sized sides at run time when under the threshold | a hot visitor / solicitor is one partial row per task |
 | credited dollars | activity-list dollars rows reduced to (solicitor, role, amount), partial sums per task | as above | as above |
 | top gifts | accepted FY opportunities by (account, opportunity) after partial aggregation; top-n per task, n x tasks rows to the driver | the n listed rows (bound n = 32) for the re-join | a hot account only grows the re-join output, which stays distributed |
 | households | contacts by account after a per-task `WindowGroupLimit` (at most 2 rows per account per task) | none | a hot account sends two rows per task |
-| capacity tiers | ratings by account after partial max; accounts 1:1 | record types (fixed code list) | partial max per task |
-| audit views | facts by user id / record type for the role-played joins unless AQE broadcasts | record types (fixed list) | AQE splits the fact side |
+| capacity tiers | ratings by account after partial max; accounts 1:1 | none by hint | partial max per task |
+| audit views | facts by user id / record type for the role-played joins unless AQE broadcasts | none by hint | AQE splits the fact side |
 
 Checks: filters on dates, stages and id lists reach the Parquet scans (below); only the
 needed columns are read; no cartesian product, nested-loop join or Python operator in any
 registered query (`tests/test_plan_shape.py`); the hot-key split is demonstrated in
 `tests/test_skew.py`. Shuffle partitions should be sized for the largest exchange (the
-activity x contactor x link rows of the visits branch, and the team-row joins): about input
+bridge joins): about input
 bytes / 128 MB, with AQE coalescing the rest.
 
 """
@@ -54,7 +55,7 @@ def _clean(line: str) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(conf={"spark.sql.maxMetadataStringLength": "2000"})
-    qs = E.queries()
+    qs = catalog.queries()
     out = [REVIEW, "# Physical plans of the headline queries", "",
            f"Generated by `scripts/show_plans.py` on `{sf_dir}` (tables derived per query, "
            "before adaptive re-planning; AQE then turns small sort-merge joins into "
