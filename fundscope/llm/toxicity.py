@@ -3,8 +3,9 @@
 A text's features are the words it contains and their first 4 to 8 letters.
 Learning, from labelled rows only:
 
-1. Of the labelled texts with equal label and equal four smallest word hashes
-   (copies, and most near copies) one teaches, so that a copied text has one vote.
+1. Of the labelled texts with equal label and equal words in equal order (copies,
+   up to capitals and punctuation) one teaches, so that a copied text has one
+   vote; texts that differ in any word all teach.
 2. Document counts of all features by label, over all teaching texts, are
    added up in the tasks and then by a shuffle; the ``FEATURES`` most telling
    ones (log-likelihood ratio, more frequent in toxic texts) are kept, and the
@@ -75,21 +76,23 @@ def feature_set(text_words: set[str]) -> set[str]:
 
 
 def word_set(text: bytes | None) -> set[str]:
-    return set(b" ".join(words(text)).decode().split(" ")) - {""}
+    return _set_of(b" ".join(words(text)))
 
 
-def _copy_key(text_words: set[str]) -> int:
-    """A signed 64-bit name of the four smallest word hashes."""
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in text_words], np.uint64)
-    least = np.sort(np.partition(hashes, 3)[:4] if len(hashes) > 4 else hashes)
-    return xxhash.xxh64_intdigest(least.tobytes()) - (1 << 63)
+def _set_of(joined: bytes) -> set[str]:
+    return set(joined.decode().split(" ")) - {""}
+
+
+def _copy_key(joined: bytes) -> int:
+    """A signed 64-bit name of all words of a text, in order."""
+    return xxhash.xxh64_intdigest(joined) - (1 << 63)
 
 
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [word_set(t) for t in binary_list(batch.column(1))]
-        keys = [_copy_key(s) for s in sets]
-        text = pa.array([" ".join(s) for s in sets], pa.string())
+        joined = [b" ".join(words(t)) for t in binary_list(batch.column(1))]
+        keys = [_copy_key(j) for j in joined]
+        text = pa.array([" ".join(_set_of(j)) for j in joined], pa.string())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), text], names=["doc_id", "key", "words"])
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+import xxhash
 
 from fundscope.llm import toxicity
 from fundscope.llm.common import id_crc
@@ -82,6 +83,20 @@ def test_copies_teach_once(spark, docs_of):
     assert sorted(r["toxic"] for r in taught) == [0, 0, 1]
 
 
+def test_texts_that_differ_in_one_word_all_teach(spark, docs_of):
+    """Templates whose other words have the smallest hashes, with different insults; copies and labels as before."""
+    small = sorted((f"word{i}" for i in range(400)), key=lambda w: xxhash.xxh64_intdigest(w))
+    template, insults = " ".join(small[:6]), small[-20:]
+    docs = [(i, f"{template} {w}") for i, w in enumerate(insults)] + [(50, f"{template.upper()}, {insults[0]}!")]
+    docs += [(100 + i, f"{template} {w}") for i, w in enumerate(small[200:230])]
+    labels = [(i, 1, int(i < 100)) for i, _ in docs]
+    taught = toxicity.teaching_rows(docs_of(docs), labels_of(spark, labels))
+    assert sorted(r["toxic"] for r in taught.collect()) == [0] * 30 + [1] * 20
+    counted = {f: (n1, n0) for batch in taught.select("toxic", "words").mapInArrow(
+        toxicity._count_batches, "feature string, n1 long, n0 long").groupBy("feature").sum("n1", "n0").collect() for f, n1, n0 in [batch]}
+    assert counted[small[0]] == (20, 30) and all(counted[w] == (1, 0) for w in insults)
+
+
 def test_defined_cases(spark, docs_of):
     docs = docs_of([(1, None), (2, ""), (3, "x"), (3, "x"), (None, "y"), (4, "word " * 200_000)])
     none = toxicity.report(docs, labels_of(spark, []))
