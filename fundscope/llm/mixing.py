@@ -16,7 +16,8 @@ every source in full at least once, so nothing is left out.
 Sizes: per source, per document and per block sums are combined map-side; the
 driver gets one row per source (``MAX_SOURCES`` at most, else an error) and per
 source and step of the permutation.  No window or group
-holds a source's documents, however hot the source is.
+holds a source's documents, however hot the source is.  ``mix`` shuffles its
+rows once, into ranges of the mix's order.
 
 Defined cases: a null source is a source of its own; null and empty texts have
 no tokens and go with their block; a source without tokens gets one epoch; an
@@ -186,14 +187,21 @@ class Schedule:
         return limits
 
     def repeated(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with (__source, __key), repeated to the mix; adds (__epoch, __block, __place)."""
+        """``rows`` with (__source, __key), repeated to the mix; adds (__epoch, __block, __place, __progress).
+
+        __progress: how much of all its source's epochs lies before the block, 0 to 1.
+        """
         known = self.spark.createDataFrame(self.upto, "__l string, __upto long").coalesce(1)
         placed = self._placed(rows).join(F.broadcast(known), F.col("__source").eqNullSafe(F.col("__l")), "left")
         partial = (F.col("__part") > 0) & (F.col("__last") < F.col("__upto"))
         times = F.col("__full") + F.when(partial, 1).otherwise(0)
         epochs = placed.withColumn("__times", times).where("__times > 0")
         epochs = epochs.withColumn("__epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__times") - 1)))
-        return epochs.withColumn("__place", _permuted("__source", "__epoch", "__block"))
+        epochs = epochs.withColumn("__place", _permuted("__source", "__epoch", "__block"))
+        whole = F.lit(float(1 << 62))
+        # the partial epoch ends at its limit
+        length = F.col("__full") + F.when(F.col("__part") > 0, F.coalesce("__upto", F.lit(0)) / whole).otherwise(0.0)
+        return epochs.withColumn("__progress", (F.col("__epoch") + F.col("__place") / whole) / length)
 
 
 def _rows(docs: DataFrame, source_col: str) -> DataFrame:
@@ -223,8 +231,15 @@ def mix(
     budget: float | None = None,
     source_col: str = "source",
 ) -> DataFrame:
-    """``docs`` repeated to the mix, with the same columns."""
+    """``docs`` repeated to the mix, with the same columns and in the mix's order.
+
+    Every source is spread evenly over the whole: its epochs follow one another,
+    each with its blocks in the epoch's permuted order.  The partitions are
+    ranges of that order, so files written from them carry it.
+    """
     rows = _rows(docs, source_col)
     schedule = Schedule(rows.select("source", "key", "n_tokens"), target_entropy, max_repeats, budget)
     keyed = docs.withColumn("__source", F.col(source_col).cast("string")).withColumn("__key", _key())
-    return schedule.repeated(keyed).select(*docs.columns)
+    # the key divides blocks whose rows would not fit one range
+    order = ["__progress", "__source", "__epoch", "__key"]
+    return schedule.repeated(keyed).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

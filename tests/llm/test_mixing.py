@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fundscope.llm import mixing
 
@@ -70,6 +72,29 @@ def test_given_budget_cuts_the_large_source(spark, docs_of, monkeypatch):
     assert len({r["doc_id"] for r in rows if r["source"] == "big"}) < 300
 
 
+def test_written_mix_carries_the_permuted_blocks(spark, docs_of, monkeypatch, scratch):
+    """Each source's rows lie in the order of (epoch, place), and the sources are interleaved."""
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 20)
+    docs = corpus(docs_of).where("doc_id <> 1")  # the repeated row: its two rows lie side by side
+    place = {(r["doc_id"], r["epoch"]): r["place"] for r in mixing.report(docs).collect()}
+    path = f"{scratch}/mixed-order"
+    mixing.mix(docs).write.parquet(path)
+    files = sorted(r["f"] for r in spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().collect())
+    found = [r for f in files for r in spark.read.parquet(f).collect()]
+    assert len(found) == len(place)
+    met, order = Counter(), {}
+    for r in found:
+        order.setdefault(r["source"], []).append((met[r["doc_id"]], place[r["doc_id"], met[r["doc_id"]]]))
+        met[r["doc_id"]] += 1
+    assert max(met.values()) >= 2
+    for source, own in order.items():
+        assert own == sorted(own), source
+    assert not any(a == b for a, b in zip(found, found[1:]))
+    part = len(found) // 8
+    for k in range(8):  # blocks lie at hashed places, so shares vary, but no stretch lacks a source
+        assert {"big", "small"} <= {r["source"] for r in found[k * part : (k + 1) * part]}
+
+
 def test_columns_nulls_and_empty(spark, docs_of):
     from pyspark.sql import functions as F
 
