@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontam, langid, linededup, lm, merkle, mixing, packing, simhash, tokenfiles, toxicity
+from fundscope.llm import decontam, langid, linededup, lm, merkle, mixing, packing, simhash, substring, tokenfiles, toxicity
 from fundscope.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
+        "op11_substring_dedup": op11_substring_dedup,
         "pipeline": pipeline,
     }
 
@@ -78,4 +83,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": decontam.ORACLE_SQL,
         "op8_line_dedup": linededup.ORACLE_SQL,
+        "op11_substring_dedup": substring.ORACLE_SQL,
     }
