@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontam, langid, linededup, lm, merkle, mixing, packing, simhash, substring, tokenfiles, toxicity
+from fundscope.llm import collocation, decontam, langid, lexical, linededup, lm, merkle, mixing, packing, simhash, substring, tokenfiles, toxicity
 from fundscope.llm.common import table
 
 
@@ -56,6 +56,14 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,6 +83,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
         "op11_substring_dedup": op11_substring_dedup,
+        "op12_collocations": op12_collocations,
+        "op13_lexical_search": op13_lexical_search,
         "pipeline": pipeline,
     }
 
@@ -84,4 +94,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_decontamination": decontam.ORACLE_SQL,
         "op8_line_dedup": linededup.ORACLE_SQL,
         "op11_substring_dedup": substring.ORACLE_SQL,
+        "op12_collocations": collocation.ORACLE_SQL,
+        "op13_lexical_search": lexical.ORACLE_SQL,
     }
