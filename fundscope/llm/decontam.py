@@ -7,9 +7,11 @@ a window is hit.  The automaton holds every window as ``" w1 w2 ... "`` and
 reads each normalised text once; spans are mapped back to the original text.
 
 The benchmark is the stated query set.  Windows are dealt to blocks of at most
-``BLOCK_CHARS`` characters and each block has its own automaton, so what a task
-holds is bounded however large the benchmark is; the number of passes over a
-text is the number of blocks (one, for common benchmark sizes).
+``BLOCK_CHARS`` characters and each block has its own automaton, named by a
+digest of its content and built once per worker.  One pass searches at most
+``PASS_BLOCKS`` blocks, which is what a worker keeps, so what a task holds is
+bounded however large the benchmark is; a benchmark beyond that takes further
+passes, each written before the next (one pass, for common benchmark sizes).
 
 Defined cases: null and empty texts have no words and are clean; items with
 null or wordless text have no windows; items without an id are ignored; equal
@@ -19,7 +21,9 @@ without an id are checked like any other.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundscope.llm.common import LOWER, UPPER, binary_list
+from fundscope.llm.common import LOWER, UPPER, binary_list, stored
 
 WINDOW_WORDS = 10
-#: Characters of windows per automaton (a node is some 50 bytes, so about 400 MB at most).
-BLOCK_CHARS = 8_000_000
+#: Characters of windows per automaton (a node is some 50 bytes, so about 100 MB at most).
+BLOCK_CHARS = 2_000_000
+#: Automata that one pass uses and a worker keeps.
+PASS_BLOCKS = 4
 
 #: A-Z to a-z; ASCII that is no word character to a space; the rest stays.
 _TABLE = bytes(
@@ -77,20 +83,30 @@ def window_blocks(items: DataFrame, size: int = WINDOW_WORDS, chars: int = BLOCK
         yield {w: sorted(x) for w, x in block.items()}
 
 
-_AUTOMATA: dict[int, ahocorasick.Automaton] = {}
+def block_digest(block: dict[str, list[str]]) -> str:
+    """Names a block by its windows and items."""
+    of = hashlib.sha256()
+    for window in sorted(block):
+        of.update(repr((window, block[window])).encode())
+    return of.hexdigest()
 
 
-def _automaton(block) -> ahocorasick.Automaton:
-    """The worker's automaton of a broadcast block, built once per worker."""
-    key = block.id if hasattr(block, "id") else id(block)
-    if key not in _AUTOMATA:
-        _AUTOMATA.clear()
+#: The worker's automata by digest, the least recently used first.
+_AUTOMATA: OrderedDict[str, ahocorasick.Automaton] = OrderedDict()
+
+
+def _automaton(digest: str, block) -> ahocorasick.Automaton:
+    """The worker's automaton of a broadcast block; ``PASS_BLOCKS`` of them are kept."""
+    if digest not in _AUTOMATA:
+        while len(_AUTOMATA) >= PASS_BLOCKS:
+            _AUTOMATA.popitem(last=False)
         made = ahocorasick.Automaton()
         for window, ids in block.value.items():
             made.add_word(window, (len(window), window.count(" ") - 1, ids))
         made.make_automaton()
-        _AUTOMATA[key] = made
-    return _AUTOMATA[key]
+        _AUTOMATA[digest] = made
+    _AUTOMATA.move_to_end(digest)
+    return _AUTOMATA[digest]
 
 
 def scan(text: bytes | None, automaton) -> tuple[int, int, list[str], list[list[int]]]:
@@ -118,11 +134,11 @@ def scan(text: bytes | None, automaton) -> tuple[int, int, list[str], list[list[
 
 
 def _scanner(spark, block: dict[str, list[str]]):
-    held = spark.sparkContext.broadcast(block)
+    held, digest = spark.sparkContext.broadcast(block), block_digest(block)
 
     @F.arrow_udf(FOUND)
     def found(texts: pa.Array) -> pa.Array:
-        automaton = _automaton(held)
+        automaton = _automaton(digest, held)
         rows = [scan(t, automaton) for t in binary_list(texts)]
         columns = list(zip(*rows)) if rows else [[], [], [], []]
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64()))]
@@ -138,11 +154,17 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", as_
     second Arrow step over the blocks' spans.
     """
     spark = docs.sparkSession
+    searched, names = docs, []
     # a block leaves the driver with its broadcast: the driver holds one at a time
-    scanners = [_scanner(spark, block) for block in window_blocks(items)] or [_scanner(spark, {})]
-    parts = [scanner(F.col(text_col)) for scanner in scanners]
-    if len(parts) == 1:
-        return docs.withColumn(as_col, parts[0])
+    for i, block in enumerate(window_blocks(items)):
+        if i and i % PASS_BLOCKS == 0:
+            searched = stored(searched, "decontam-pass")
+        names.append(f"__{as_col}_block_{i}")
+        searched = searched.withColumn(names[-1], _scanner(spark, block)(F.col(text_col)))
+    if not names:
+        return docs.withColumn(as_col, _scanner(spark, {})(F.col(text_col)))
+    if len(names) == 1:
+        return searched.select(*docs.columns, F.col(names[0]).alias(as_col))
 
     @F.arrow_udf(FOUND)
     def merged(texts: pa.Array, parts: pa.Array) -> pa.Array:
@@ -165,7 +187,7 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", as_
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64()))]
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], FOUND.names)
 
-    return docs.withColumn(as_col, merged(F.col(text_col), F.array(*parts)))
+    return searched.withColumn(as_col, merged(F.col(text_col), F.array(*names))).drop(*names)
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -85,3 +85,52 @@ def test_empty_tables(spark, docs_of):
     assert decontam.report(docs_of([]), items).count() == 0
     row = decontam.report(docs_of([(1, "a b")]), items).first()
     assert (row["n_words"], row["n_hit"], row["contaminated"]) == (2, 0, False)
+
+
+def test_many_benchmarks_in_one_session(spark, docs_of):
+    """Each is searched with its own automaton, whatever became of the last one's memory."""
+    import gc
+
+    words = [[f"b{i}w{k}" for k in range(12)] for i in range(40)]
+    docs = docs_of([(i, f"x {' '.join(own)} y") for i, own in enumerate(words)]).coalesce(1).cache()
+    for i, own in enumerate(words):
+        found = decontam.report(docs, items_of(spark, [(i, " ".join(own))])).where("contaminated").collect()
+        assert [(r["doc_id"], r["n_hit"]) for r in found] == [(i, 12)]
+        gc.collect()
+    docs.unpersist()
+
+
+def test_blocks_are_named_by_content_and_built_once(monkeypatch):
+    built = []
+
+    class Held:
+        def __init__(self, block):
+            self.block = block
+
+        @property
+        def value(self):
+            built.append(self.block)
+            return self.block
+
+    blocks = [{f" w{i} ": [str(i)]} for i in range(decontam.PASS_BLOCKS)]
+    digests = [decontam.block_digest(b) for b in blocks]
+    assert len(set(digests)) == len(digests) and decontam.block_digest(dict(blocks[0])) == digests[0]
+    assert decontam.block_digest({" w0 ": ["1"]}) != digests[0]
+    decontam._AUTOMATA.clear()
+    for _ in range(20):
+        for block, digest in zip(blocks, digests):
+            assert decontam.scan(next(iter(block)).encode(), decontam._automaton(digest, Held(block)))[1] == 1
+    assert built == blocks
+    decontam._automaton("one more", Held({" z ": ["9"]}))
+    assert len(decontam._AUTOMATA) == decontam.PASS_BLOCKS and digests[0] not in decontam._AUTOMATA
+    decontam._AUTOMATA.clear()
+
+
+def test_more_blocks_than_a_pass_takes(spark, docs_of, monkeypatch):
+    docs, items = random_case()
+    cut = decontam.window_blocks
+    monkeypatch.setattr(decontam, "window_blocks", lambda items: cut(items, chars=1))
+    assert sum(1 for _ in decontam.window_blocks(items_of(spark, items))) > 2 * decontam.PASS_BLOCKS
+    got = decontam.report(docs_of(docs), items_of(spark, items)).collect()
+    own = lambda r: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])
+    assert sorted((r["doc_id"], *own(r)) for r in got) == sorted((i, *brute(t, items)) for i, t in docs)
