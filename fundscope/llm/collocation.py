@@ -11,13 +11,14 @@ descending, a descending, phrase ascending (UTF-8 byte order).
 
 Pruning.  One pass hashes words and word pairs to 2^``SLOT_BITS`` slots and
 sums them up; the slots that reach ``LEAST`` form a bitmap of fixed size (32
-MB), which is broadcast.  A phrase can only reach ``LEAST`` if its words and
-pairs do, so a slot below rules it out; slots that several pairs share only
-let more through.
+MB), which is broadcast.  A second pass does the same for the longer phrases
+that consist of such pairs, and marks the words of such pairs.  A phrase can
+only reach ``LEAST`` if all its parts do, so a slot below rules it out; slots
+that several phrases share only let more through.
 
-Suffixes.  A second pass truncates the suffix at each frequent word to at most
-``WORDS`` words and to its run of frequent pairs, and counts equal ones (the
-leaves) within a task, then over the cluster.
+Suffixes.  A third pass truncates the suffix at each marked word to its longest
+phrase that no slot rules out (at most ``WORDS`` words), and counts equal ones
+(the leaves) within a task, then over the cluster.
 
 Vertical partitioning.  Leaves are grouped by their word prefix: a prefix with
 more than ``GROUP_LEAVES`` leaves is lengthened by a word, as often as needed;
@@ -97,43 +98,103 @@ class Langs:
         return np.repeat(self.code[words.first : words.first + words.texts], np.diff(words.bounds))
 
 
-def slots(hashes: np.ndarray, seed: np.ndarray, slot_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of each word, and of each word with the next (the last has none)."""
-    shift = np.uint64(64 - slot_bits)
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+_MARK = np.uint64(0xD1342543DE82EF95)
+
+
+def first_grams(hashes: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word in its lang, and of each word with the next (the last has none)."""
     word = mixed(hashes ^ seed)
-    pair = mixed(word[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
-    return word >> shift, pair >> shift
+    return word, mixed(word[:-1] * _GOLD + hashes[1:])
+
+
+def longer_grams(hashes: np.ndarray, pair: np.ndarray, ok: np.ndarray, most: int = WORDS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, starts, hashes) of the phrases of 3 to ``most`` words whose pairs are all ``ok``.
+
+    The receiver may send back which of them to lengthen."""
+    at = np.flatnonzero(ok)
+    gram = pair[at]
+    for d in range(3, most + 1):
+        on = at + d - 2
+        kept = on < len(ok)
+        kept[kept] = ok[on[kept]]
+        at = at[kept]
+        gram = mixed(gram[kept] * _GOLD + hashes[at + d - 1])
+        wanted = yield d, at, gram
+        if wanted is not None:
+            at, gram = at[wanted], gram[wanted]
+
+
+class Bitmap:
+    """The slots that reach the threshold."""
 
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+        self.shift = np.uint64(64 - (len(bits) * 8).bit_length() + 1)
 
-def _slot_batches(least: int, slot_bits: int, slot_words: int = SLOT_WORDS):
+    def has(self, grams: np.ndarray) -> np.ndarray:
+        slot = grams >> self.shift
+        return (self.bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def pairs(self, word: np.ndarray, pair: np.ndarray, linked: np.ndarray) -> np.ndarray:
+        """Whether each word makes a frequent pair with the next."""
+        ok = np.zeros(len(word), bool)
+        some = np.flatnonzero(linked)
+        some = some[self.has(pair[some])]
+        ok[some] = self.has(word[some]) & self.has(word[some + 1])
+        return ok
+
+
+def _slot_batches(least: int, slot_bits: int, held=None, slot_words: int = SLOT_WORDS):
+    """Slot counts by range: of words and pairs, or with the bitmap of those of longer phrases and marked words."""
     kind = np.uint8 if least < 256 else np.uint32
     low = (1 << RANGE_BITS) - 1
+    shift = np.uint64(64 - slot_bits)
 
-    def sent(held: list[np.ndarray]) -> pa.RecordBatch:
-        slot, n = np.unique(np.concatenate(held), return_counts=True)
+    def sent(found: list[np.ndarray], marked: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        slot, n = np.unique(np.concatenate(found or [np.zeros(0, np.uint32)]), return_counts=True)
+        if marked:
+            # a marked word counts as frequent
+            marks = np.unique(np.concatenate(marked))
+            slot, place = np.unique(np.concatenate((slot, marks)), return_inverse=True)
+            full = np.zeros(len(slot), np.int64)
+            full[place[: len(n)]] = n
+            full[place[len(n) :]] = least
+            n = full
+        if not len(slot):
+            return
         n = np.minimum(n, least).astype(kind)  # beyond that a slot is frequent anyhow
         part = slot >> RANGE_BITS
         cuts = np.flatnonzero(np.diff(part)) + 1
         rows = [(int(p[0]), (s & low).astype(np.uint32).tobytes(), c.tobytes())
                 for p, s, c in zip(np.split(part, cuts), np.split(slot, cuts), np.split(n, cuts))]
         parts, *binary = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *map(pa.array, binary)], names=["part", "slots", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *map(pa.array, binary)], names=["part", "slots", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        frequent = Bitmap(held.value) if held else None
+        found, marked, n = [], [], 0
         for batch in batches:
             langs = Langs(batch.column(0))
             for words in portions(batch.column(1), _TABLE):
                 if not len(words.starts):
                     continue
-                word, pair = slots(words.hashes(), langs.seed[langs.of(words)], slot_bits)
-                held += [word.astype(np.uint32), pair[paired(words)[:-1]].astype(np.uint32)]
+                hashes = words.hashes()
+                word, pair = first_grams(hashes, langs.seed[langs.of(words)])
+                linked = paired(words)
+                if frequent is None:
+                    found += [(word >> shift).astype(np.uint32), (pair[linked[:-1]] >> shift).astype(np.uint32)]
+                else:
+                    ok = frequent.pairs(word, pair, linked)
+                    found += [(gram >> shift).astype(np.uint32) for _, _, gram in longer_grams(hashes, pair, ok)]
+                    ok[1:] |= ok[:-1]
+                    marked.append(np.unique((word[ok] ^ _MARK) >> shift).astype(np.uint32))
                 n += len(word)
                 if n >= slot_words:
-                    yield sent(held)
-                    held, n = [], 0
-        if held:
-            yield sent(held)
+                    yield from sent(found, marked)
+                    found, marked, n = [], [], 0
+        if n:
+            yield from sent(found, marked)
 
     return run
 
@@ -157,28 +218,38 @@ def _frequent_batches(least: int):
     return run
 
 
-def frequent_slots(rows: DataFrame, least: int, slot_bits: int = SLOT_BITS) -> np.ndarray:
+def frequent_slots(rows: DataFrame, least: int, slot_bits: int = SLOT_BITS, held=None) -> np.ndarray:
     """The bitmap of slots that reach ``least``: 2^slot_bits bits, however large the input."""
     ranges = 1 << (slot_bits - RANGE_BITS)
-    sent = rows.mapInArrow(_slot_batches(least, slot_bits), "part int, slots binary, counts binary").repartition(ranges, "part")
+    sent = rows.mapInArrow(_slot_batches(least, slot_bits, held), "part int, slots binary, counts binary")
     bits = np.zeros(1 << (slot_bits - 3), np.uint8)
     size = 1 << (RANGE_BITS - 3)
-    for r in sent.mapInArrow(_frequent_batches(least), "part int, bits binary").collect():  # the bitmap, no more
+    frequent = sent.repartition(ranges, "part").mapInArrow(_frequent_batches(least), "part int, bits binary")
+    for r in frequent.collect():  # the bitmap, no more
         bits[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return bits
 
 
-def _is_set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def suffixes(hashes: np.ndarray, start: np.ndarray, pair: np.ndarray, most: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word numbers, depths, paths) of the truncated suffixes at frequent words; paths end in zeros."""
-    run = pair.astype(np.int64)
-    for d in range(1, most - 1):
-        run[:-d] += (run[:-d] == d) & pair[d:]
+def suffixes(
+    hashes: np.ndarray, start: np.ndarray, pair: np.ndarray, ok: np.ndarray, longer, most: int = WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word numbers, depths, paths) of the truncated suffixes at the ``start`` words; paths end in zeros.
+
+    ``ok``: words that make a frequent pair with the next; ``longer``: tells which hashes of longer phrases are frequent.
+    """
+    deep = 1 + ok.astype(np.int64)
+    grams = longer_grams(hashes, pair, ok, most)
+    step = next(grams, None)
+    while step:
+        d, at, gram = step
+        wanted = longer(gram)
+        deep[at[wanted]] = d
+        try:
+            step = grams.send(wanted)
+        except StopIteration:
+            break
     at = np.flatnonzero(start)
-    depth = 1 + run[at]
+    depth = deep[at]
     path = np.zeros((len(at), most), np.uint64)
     for d in range(most):
         there = np.flatnonzero(depth > d)
@@ -192,7 +263,7 @@ def _combined(table: pa.Table) -> pa.Table:
     return out.select([*keys, "n_sum"]).rename_columns([*keys, "n"])
 
 
-def _leaf_batches(bits, slot_bits: int):
+def _leaf_batches(held_bits):
     schema = pa.schema([("kind", pa.string()), ("lang", pa.string()), ("depth", pa.int32()),
                         *((w, pa.int64()) for w in _PATH), ("n", pa.int64()), ("word", pa.string())])
     leaf_names = ["lang", "depth", *_PATH, "n"]
@@ -203,7 +274,7 @@ def _leaf_batches(bits, slot_bits: int):
         yield from full.cast(schema).to_batches(max_chunksize=50_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = bits.value
+        frequent, longer = (Bitmap(x) for x in held_bits.value)
         totals: dict[str, int] = {}
         known: dict[int, bytes] = {}
         told: set[int] = set()
@@ -218,11 +289,11 @@ def _leaf_batches(bits, slot_bits: int):
                 for code, n in enumerate(np.bincount(lang, minlength=len(langs.names)).tolist()):
                     name = langs.names[code].as_py()
                     totals[name] = totals.get(name, 0) + n
-                word, pair = slots(hashes, langs.seed[lang], slot_bits)
-                start = _is_set(bitmap, word)
-                pairs = np.append(_is_set(bitmap, pair), False) & paired(words) & start
-                pairs[:-1] &= start[1:]
-                at, depth, path = suffixes(hashes, start, pairs)
+                word, pair = first_grams(hashes, langs.seed[lang])
+                ok = frequent.pairs(word, pair, paired(words))
+                used = ok.copy()
+                used[1:] |= ok[:-1]
+                at, depth, path = suffixes(hashes, longer.has(word ^ _MARK), pair, ok, longer.has)
                 for single in (True, False):
                     mine = (depth == 1) == single
                     if not mine.any():
@@ -242,8 +313,6 @@ def _leaf_batches(bits, slot_bits: int):
                     held.append(pa.table(columns | {"n": table["n"]}))
                     size += full
                 # the words of frequent pairs, once a task
-                used = pairs.copy()
-                used[1:] |= pairs[:-1]
                 there = np.flatnonzero(used)
                 unique, place = np.unique(hashes[there], return_index=True)
                 for h, i in zip(unique.tolist(), there[place].tolist()):
@@ -350,8 +419,10 @@ def collocations(
     """Each lang's best phrases: lang, rank, phrase, a, l, r, n, score."""
     spark = docs.sparkSession
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "text")
-    bits = spark.sparkContext.broadcast(frequent_slots(rows, least, slot_bits))
-    found = stored(rows.mapInArrow(_leaf_batches(bits, slot_bits), _FOUND), "collocation-found")
+    pairs = frequent_slots(rows, least, slot_bits)
+    longer = frequent_slots(rows, least, slot_bits, spark.sparkContext.broadcast(pairs))
+    bits = spark.sparkContext.broadcast((pairs, longer))
+    found = stored(rows.mapInArrow(_leaf_batches(bits), _FOUND), "collocation-found")
     common = stored(phrases(found, least, budget), "collocation-phrases")
     words = found.where("kind = 'word'").groupBy(F.col("w1").alias("h"))
     words = words.agg(F.min("word").alias("word"), F.max("word").alias("other"))

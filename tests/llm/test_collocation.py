@@ -76,7 +76,7 @@ def test_slot_sums_do_not_depend_on_the_steps():
     batch = pa.RecordBatch.from_pydict({"lang": [r[2] for r in rows], "text": [r[1] for r in rows]})
     whole, cut = Counter(), Counter()
     for most, sums in ((4_000_000, whole), (5, cut)):
-        for out in collocation._slot_batches(9, 22, most)(iter([batch])):
+        for out in collocation._slot_batches(9, 22, None, most)(iter([batch])):
             for r in out.to_pylist():
                 for s, c in zip(np.frombuffer(r["slots"], np.uint32), np.frombuffer(r["counts"], np.uint8)):
                     sums[r["part"], int(s)] = min(9, sums[r["part"], int(s)] + int(c))
@@ -87,14 +87,21 @@ def test_slot_sums_do_not_depend_on_the_steps():
     assert sum(np.unpackbits(np.frombuffer(r["bits"], np.uint8)).sum() for r in seen) == sum(v == 9 for v in whole.values())
 
 
-def test_suffixes_end_with_their_run_of_pairs():
+def test_suffixes_are_the_longest_phrases_left():
     h = np.arange(1, 9, dtype=np.uint64)
     start = np.array([1, 1, 1, 1, 1, 1, 0, 1], bool)
-    pair = np.array([1, 1, 1, 1, 1, 0, 0, 0], bool)
-    at, depth, path = collocation.suffixes(h, start, pair)
+    ok = np.array([1, 1, 1, 1, 1, 0, 0, 0], bool)
+    _, pair = collocation.first_grams(h, np.zeros(8, np.uint64))
+    at, depth, path = collocation.suffixes(h, start, pair, ok, lambda grams: np.ones(len(grams), bool))
     assert at.tolist() == [0, 1, 2, 3, 4, 5, 7]
     assert depth.tolist() == [5, 5, 4, 3, 2, 1, 1]
     assert path[2].tolist() == [3, 4, 5, 6, 0] and path[6].tolist() == [8, 0, 0, 0, 0]
+    three = {d: dict(zip(at.tolist(), g.tolist())) for d, at, g in collocation.longer_grams(h, pair, ok)}
+    assert {d: sorted(x) for d, x in three.items()} == {3: [0, 1, 2, 3], 4: [0, 1, 2], 5: [0, 1]}
+    gone = {three[3][1], three[4][0]}
+    at, depth, _ = collocation.suffixes(h, start, pair, ok, lambda grams: ~np.isin(grams, list(gone)))
+    # a phrase that is ruled out is not lengthened
+    assert depth.tolist() == [3, 2, 4, 3, 2, 1, 1]
 
 
 def test_groups_stay_within_the_budget():
