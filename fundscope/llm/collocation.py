@@ -18,7 +18,8 @@ that several phrases share only let more through.
 
 Suffixes.  A third pass truncates the suffix at each marked word to its longest
 phrase that no slot rules out (at most ``WORDS`` words), and counts equal ones
-(the leaves) within a task, then over the cluster.
+(the leaves) within a task.  A task sends its leaves as one row per bucket of
+their first word; the leaves of a bucket meet in one task and are added up.
 
 Vertical partitioning.  Leaves are grouped by their word prefix: a prefix with
 more than ``GROUP_LEAVES`` leaves is lengthened by a word, as often as needed;
@@ -71,7 +72,14 @@ _PIECES = b".,;:!?\n\x0b\x0c\r"
 _TABLE = byte_table(b" \t" + _PIECES, lower=True)
 _IS_PIECE = np.isin(np.arange(256), list(_PIECES))
 _PATH = [f"w{i}" for i in range(1, WORDS + 1)]
-_FOUND = "kind string, lang string, depth int, " + ", ".join(f"{w} long" for w in _PATH) + ", n long, word string"
+#: Buckets of first words: a task sends one row per bucket, with all its leaves there.
+LEAF_BUCKETS = 4096
+_LEAVES = ["langs", "depths", *_PATH, "counts"]
+_FOUND = (
+    "kind string, bucket int, langs array<string>, depths array<int>, "
+    + ", ".join(f"{w} array<long>" for w in _PATH)
+    + ", counts array<long>, names array<string>, hashes array<long>, name string, n long"
+)
 
 
 def paired(words: Words) -> np.ndarray:
@@ -263,16 +271,58 @@ def _combined(table: pa.Table) -> pa.Table:
     return out.select([*keys, "n_sum"]).rename_columns([*keys, "n"])
 
 
-def _leaf_batches(held_bits):
-    schema = pa.schema([("kind", pa.string()), ("lang", pa.string()), ("depth", pa.int32()),
-                        *((w, pa.int64()) for w in _PATH), ("n", pa.int64()), ("word", pa.string())])
-    leaf_names = ["lang", "depth", *_PATH, "n"]
+_SCHEMA = pa.schema([
+    ("kind", pa.string()), ("bucket", pa.int32()), ("langs", pa.list_(pa.string())), ("depths", pa.list_(pa.int32())),
+    *((w, pa.list_(pa.int64())) for w in _PATH), ("counts", pa.list_(pa.int64())),
+    ("names", pa.list_(pa.string())), ("hashes", pa.list_(pa.int64())), ("name", pa.string()), ("n", pa.int64()),
+])
+
+
+def _rows(kind: str, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """Rows of one kind; columns that are not given are null."""
+    rows = len(next(iter(columns.values())))
+    given = {"kind": pa.array([kind] * rows, pa.string())} | columns
+    return pa.RecordBatch.from_arrays([given[f.name].cast(f.type) if f.name in given else pa.nulls(rows, f.type) for f in _SCHEMA], schema=_SCHEMA)
+
+
+def _by_bucket(kind: str, bucket: np.ndarray, columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    """One row per bucket, with lists of its values."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    head = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    offsets = pa.array(np.append(head, len(bucket)), pa.int32())
+    lists = {c: pa.ListArray.from_arrays(offsets, x.take(pa.array(order))) for c, x in columns.items()}
+    whole = _rows(kind, {"bucket": pa.array(bucket[head])} | lists)
+    for i in range(0, len(head), 512):
+        yield whole.slice(i, 512)
 
-    def leaves(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        extra = {"kind": pa.array(["leaf"] * len(table)), "word": pa.nulls(len(table), pa.string())}
-        full = pa.table({f.name: extra.get(f.name, table[f.name] if f.name in leaf_names else None) for f in schema})
-        yield from full.cast(schema).to_batches(max_chunksize=50_000)
 
+def packed_leaves(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The leaves (lang, depth, w1 to w5, n) by the bucket of their first word."""
+    lang = table["lang"].combine_chunks().dictionary_encode()
+    seeds = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in lang.dictionary.to_pylist()], np.uint64)
+    first = table["w1"].to_numpy().view(np.uint64)
+    bucket = (mixed(first ^ seeds[lang.indices.to_numpy()]) % np.uint64(LEAF_BUCKETS)).astype(np.int64)
+    columns = {to: table[c].combine_chunks() for to, c in zip(_LEAVES, ["lang", "depth", *_PATH, "n"])}
+    yield from _by_bucket("leaf", bucket, columns)
+
+
+def _merged_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct leaves of whole buckets, with their counts added up."""
+    held: list[pa.Table] = []
+    size = 0
+    for batch in batches:
+        flat = {c: batch.column(to).flatten() for to, c in zip(_LEAVES, ["lang", "depth", *_PATH, "n"])}
+        held.append(pa.table(flat))
+        size += len(held[-1])
+        if size > 2 * len(held[0]) + COMBINE_ROWS:
+            held = [_combined(pa.concat_tables(held))]
+            size = len(held[0])
+    if held:
+        yield from _combined(pa.concat_tables(held)).to_batches(max_chunksize=50_000)
+
+
+def _leaf_batches(held_bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, longer = (Bitmap(x) for x in held_bits.value)
         totals: dict[str, int] = {}
@@ -323,25 +373,33 @@ def _leaf_batches(held_bits):
                     whole = _combined(pa.concat_tables(held))
                     held, size = ([whole], len(whole)) if len(whole) < COMBINE_ROWS // 2 else ([], 0)
                     if not held:
-                        yield from leaves(whole)
+                        yield from packed_leaves(whole)
                 if len(known) >= 50_000:
-                    yield from _word_rows(known, schema)
+                    yield from _word_rows(known)
                     known = {}
         if held:
-            yield from leaves(_combined(pa.concat_tables(held)))
-        yield from _word_rows(known, schema)
-        rows = [{"kind": "total", "lang": k, "n": v} for k, v in totals.items()]
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            yield from packed_leaves(_combined(pa.concat_tables(held)))
+        yield from _word_rows(known)
+        yield _rows("total", {"name": pa.array(list(totals), pa.string()), "n": pa.array(list(totals.values()), pa.int64())})
 
     return run
 
 
-def _word_rows(known: dict[int, bytes], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    if known:
-        h = np.array(list(known), np.uint64).view(np.int64)
-        words = pa.array(list(known.values()), pa.binary()).cast(pa.string())
-        given = {"kind": pa.array(["word"] * len(h)), "w1": pa.array(h), "word": words}
-        yield pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(len(h), f.type)) for f in schema], schema=schema)
+def _word_rows(known: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+    """Words and their hashes by bucket of the hash."""
+    h = np.fromiter(known, np.uint64, len(known))
+    names = pa.array(list(known.values()), pa.binary()).cast(pa.string())
+    yield from _by_bucket("word", (mixed(h) % np.uint64(LEAF_BUCKETS)).astype(np.int64), {"names": names, "hashes": pa.array(h.view(np.int64))})
+
+
+def _merged_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of whole buckets."""
+    known: dict[int, str] = {}
+    for batch in batches:
+        for h, word in zip(batch.column("hashes").flatten().to_pylist(), batch.column("names").flatten().to_pylist()):
+            if known.setdefault(h, word) != word:
+                raise ValueError(f"two words share a hash: {known[h]!r}, {word!r}")
+    yield pa.RecordBatch.from_arrays([pa.array(list(known), pa.int64()), pa.array(list(known.values()), pa.string())], names=["h", "word"])
 
 
 def packed(sizes: dict[int, int], budget: int) -> dict[int, int]:
@@ -406,7 +464,9 @@ def subtree(table: pa.Table) -> pa.Table:
 
 def phrases(found: DataFrame, least: int, budget: int = GROUP_LEAVES) -> DataFrame:
     """(lang, path, f): words and phrases with f >= least."""
-    leaves = found.where("kind = 'leaf'").groupBy("lang", "depth", *_PATH).agg(F.sum("n").alias("n"))
+    leaves = found.where("kind = 'leaf'").select("bucket", *_LEAVES).repartition("bucket").select(*_LEAVES)
+    kinds = "lang string, depth int, " + ", ".join(f"{w} long" for w in _PATH) + ", n long"
+    leaves = leaves.mapInArrow(_merged_batches, kinds)
     grouped = grouped_leaves(stored(leaves, "collocation-leaves"), budget)
     nodes = grouped.groupBy("group").applyInArrow(subtree, "lang string, path array<long>, f long")
     # nodes above a lengthened prefix come from several groups
@@ -424,11 +484,9 @@ def collocations(
     bits = spark.sparkContext.broadcast((pairs, longer))
     found = stored(rows.mapInArrow(_leaf_batches(bits), _FOUND), "collocation-found")
     common = stored(phrases(found, least, budget), "collocation-phrases")
-    words = found.where("kind = 'word'").groupBy(F.col("w1").alias("h"))
-    words = words.agg(F.min("word").alias("word"), F.max("word").alias("other"))
-    clash = F.raise_error(F.concat(F.lit("two words share a hash: "), "word", F.lit(", "), "other"))
-    words = words.select("h", F.when(F.col("word") == F.col("other"), F.col("word")).otherwise(clash).alias("word"))
-    totals = found.where("kind = 'total'").groupBy("lang").agg(F.sum("n").alias("n"))
+    words = found.where("kind = 'word'").select("bucket", "names", "hashes").repartition("bucket")
+    words = words.mapInArrow(_merged_words, "h long, word string")
+    totals = found.where("kind = 'total'").groupBy(F.col("name").alias("lang")).agg(F.sum("n").alias("n"))
 
     size = F.size("path")
     asked = common.where(size > 1).withColumnRenamed("f", "a")
