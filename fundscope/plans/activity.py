@@ -14,6 +14,7 @@ from ..functions.names import kept_owner, sort_name
 from ..functions.rules import threshold_ladder, visit_candidate, visit_qualifies
 from ..operators.relational import align_union, bridge_left_join, unpivot_non_null
 from ..params import Params
+from ..sources.crm_store import hot_keys
 from ..sources.standins import Crm
 
 MONEY = T.DecimalType(18, 2)
@@ -53,7 +54,7 @@ def contacts_visits(crm: Crm, params: Params) -> DataFrame:
     act = _owner_filtered(crm, params, visit_types_only=True)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_id_rc"))
-    joined = bridge_left_join(act, links, "id", "activity_id_rc")
+    joined = bridge_left_join(act, links, "id", "activity_id_rc", known_hot=hot_keys(crm, "activity_contact"))
     base = joined.select(
         F.col("owner_id").alias("do_id"),
         F.col("activity_date").alias("actcompdat"),
@@ -78,7 +79,7 @@ def visit_contacts(crm: Crm, params: Params) -> DataFrame:
     act = crm.activity.where(F.col("type").isin(list(params.visit_types)))
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_id_rc"))
-    base = (bridge_left_join(act, links, "id", "activity_id_rc")
+    base = (bridge_left_join(act, links, "id", "activity_id_rc", known_hot=hot_keys(crm, "activity_contact"))
             .select(F.col("type").alias("ActivityType"),
                     F.col("description").alias("Activity_Description"),
                     F.col("activity_date").alias("ActivityDate"),
@@ -126,7 +127,7 @@ def activities(crm: Crm, params: Params) -> DataFrame:
     act = _by_contactor(_activity_columns(_owner_filtered(crm, params, visit_types_only=False)), crm)
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_rc"))
-    linked = bridge_left_join(act, links, "__id", "activity_id_rc").drop("__id")
+    linked = bridge_left_join(act, links, "__id", "activity_id_rc", known_hot=hot_keys(crm, "activity_contact")).drop("__id")
     keep = [c for c in linked.columns if c not in ("WhoId__c", "contact_rc")]
     return unpivot_non_null(linked, keep, ["WhoId__c", "contact_rc"], "related_contact", "contact")
 
@@ -144,7 +145,7 @@ def opportunities(crm: Crm, params: Params) -> DataFrame:
     team = crm.opportunity_team.select(F.col("opportunity_id"), F.col("user_id").alias("optm_userID"),
                                        F.col("name").alias("optm_name"),
                                        F.col("role").alias("solicitor_level"))
-    j = bridge_left_join(opp, team, "id", "opportunity_id")
+    j = bridge_left_join(opp, team, "id", "opportunity_id", known_hot=hot_keys(crm, "opportunity_team"))
     return j.select(
         F.col("owner_id").alias("OwnerID"),
         "ask_date",
@@ -241,15 +242,23 @@ def dollar_candidates(crm: Crm, params: Params) -> DataFrame:
 def dollars(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
     """P5e: lead and secondary rows asked or closed in the reporting range,
     credited to the team member, de-duplicated on every output column (two
-    equal gifts with the same name, date and account count once)."""
+    equal gifts with the same name, date and account count once).
+
+    Most output columns follow from others: the household from the account,
+    the names and the flag from the officer, the amounts per FY from the gift.
+    So the rows are de-duplicated on the eleven columns that nothing else
+    determines, and the distinct account and officer rows are joined to what is
+    left.  A team member who is no officer has no ``do_id``, as before, so
+    several such members of a gift stay one row."""
     o = dollar_candidates(crm, params)
-    j = (o.join(_accounts(crm), o.AccountID == F.col("__acc"), "left")
-         .join(_officers(key), o.optm_userID == F.col("__do"), "left"))
-    fy_cols = [fy_column_name(fy) for fy in params.report_fys]
-    keys = ["AccountID", "hh_name", "market", "do_id", "ask_amt", "ask_date", "gift_amt",
-            "gift_date", "first_last", "solicitor_level", "gift_name", "gift_unit", "StageName",
-            "lead_solicitor_ID", "last_first", "last_first_comma", "count_all_flag", *fy_cols]
-    d = j.select(*keys).distinct()
+    ids = key.select(F.col("do_id").alias("__do")).where("__do IS NOT NULL").distinct()
+    base = (o.join(ids, o.optm_userID == F.col("__do"), "left").withColumnRenamed("__do", "do_id")
+            .select("AccountID", "do_id", "ask_amt", "ask_date", "gift_amt", "gift_date", "solicitor_level",
+                    "gift_name", "gift_unit", "StageName", "lead_solicitor_ID").distinct())
+    names = (_officers(key).where("__do IS NOT NULL")
+             .select("__do", "first_last", "last_first", "last_first_comma", "count_all_flag").distinct())
+    d = (base.join(_accounts(crm).distinct(), F.col("AccountID") == F.col("__acc"), "left")
+         .join(names, F.col("do_id") == F.col("__do"), "left"))
     return d.select(
         "AccountID", "hh_name", "market", "do_id",
         fiscal_year("gift_date", params.fy_start_month).alias("comb_fy"),
@@ -258,7 +267,7 @@ def dollars(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
         "solicitor_level", "gift_name", "gift_unit",
         F.lit(P.SOURCE_DOLLARS).alias("source"),
         "StageName", "lead_solicitor_ID", "first_last", "last_first", "last_first_comma",
-        *fy_cols)
+        *fy_amount_columns("gift_amt", "gift_date", "StageName", "solicitor_level", params))
 
 
 def activity_list(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
@@ -271,19 +280,31 @@ def activity_list(crm: Crm, key: DataFrame, params: Params) -> DataFrame:
                         dollars(crm, key, params)], schema)
 
 
+#: The order of the stored list within a fiscal year: an account's rows stand
+#: together, and the dates spread a hot account over files.
+CLUSTER = ("AccountID", "gift_date", "visit_date", "ask_date", "visitor", "solicitor")
+
+
 def write_activity_list(activity_list_df: DataFrame, path: str) -> None:
-    """Store the activity list once, partitioned by fiscal year.  Readers of
-    one FY (every scorecard roll-up) then read that partition only
-    (``PartitionFilters`` on ``comb_fy``) instead of re-deriving the list.
+    """Store the activity list once, partitioned by fiscal year and ordered by
+    account within it.  Readers of one FY (every scorecard roll-up) read that
+    partition only (``PartitionFilters`` on ``comb_fy``) instead of re-deriving
+    the list; readers of some accounts (:func:`fundscope.plans.checks.account_rows_list`)
+    skip the row groups whose range or Bloom filter rules the accounts out.
     Rows whose FY is unknown land in the NULL partition."""
-    from ..sources.sinks import materialise
-    materialise(activity_list_df, path, partition_by=["comb_fy"])
+    from ..sources.versions import bloom
+    rows = activity_list_df.repartitionByRange("comb_fy", *CLUSTER).sortWithinPartitions("comb_fy", *CLUSTER)
+    rows.write.mode("overwrite").partitionBy("comb_fy").options(**bloom(CLUSTER[:1])).parquet(path)
 
 
 def read_activity_list(spark, path: str, params: Params, fy: int | None = None) -> DataFrame:
     """The stored activity list, optionally cut to one fiscal year by
     partition pruning (the FY filters of the roll-ups stay as they are)."""
-    df = spark.read.parquet(path)
+    return stored_list(spark.read.parquet(path), params, fy)
+
+
+def stored_list(df: DataFrame, params: Params, fy: int | None = None) -> DataFrame:
+    """A stored activity list in its schema's order, optionally cut to one fiscal year."""
     if fy is not None:
         df = df.where(F.col("comb_fy") == fy)
     id_type = df.schema["AccountID"].dataType

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.names import kept_owner
 from ..operators.relational import bridge_left_join, role_join, star_flatten
 from ..params import Params
+from ..sources.crm_store import hot_keys
 from ..sources.standins import Crm
 
 
@@ -18,7 +19,7 @@ def proposals(crm: Crm) -> DataFrame:
     team = crm.opportunity_team.select(F.col("opportunity_id"), F.col("name").alias("solicitor"),
                                        F.col("role").alias("solicitor_level"))
     acc = crm.account.select(F.col("id").alias("__acc"), F.col("name").alias("AccountName"))
-    j = (bridge_left_join(opp, team, "id", "opportunity_id")
+    j = (bridge_left_join(opp, team, "id", "opportunity_id", known_hot=hot_keys(crm, "opportunity_team"))
          .join(acc, F.col("account_id") == acc.__acc, "left"))
     return j.select(F.col("owner_id").alias("do_id"),
                     F.col("lead_solicitor_id").alias("Lead_Solicitor_ID"),
@@ -36,7 +37,7 @@ def proposal_wide(crm: Crm) -> DataFrame:
     opp = crm.opportunity
     team = crm.opportunity_team.select(F.col("opportunity_id"), F.col("name").alias("DO_name"),
                                        F.col("role").alias("TeamMemberRole"))
-    j = bridge_left_join(opp, team, "id", "opportunity_id")
+    j = bridge_left_join(opp, team, "id", "opportunity_id", known_hot=hot_keys(crm, "opportunity_team"))
     return j.select(F.col("id").alias("OpportunityID"), F.col("stage").alias("StageName"),
                     F.col("owner_id").alias("OwnerID"),
                     F.col("lead_solicitor_id").alias("Lead_Solicitor_ID"),
@@ -145,7 +146,7 @@ def activity_contacts_audit(crm: Crm, params: Params) -> DataFrame:
     a = role_join(a, crm.record_type, "record_type_id", "id", {"name": "RecordTypeName"})
     links = crm.activity_contact.select(F.col("activity_id").alias("activity_id_rc"),
                                         F.col("contact_id").alias("contact_id_rc"))
-    j = bridge_left_join(a, links, "id", "activity_id_rc")
+    j = bridge_left_join(a, links, "id", "activity_id_rc", known_hot=hot_keys(crm, "activity_contact"))
     return j.select(F.col("owner_id").alias("OwnerID"), "OwnerName",
                     F.col("type").alias("ActivityType"),
                     F.col("description").alias("Activity_Description"),

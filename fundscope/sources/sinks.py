@@ -1,4 +1,5 @@
-"""Sinks: publish a view, materialise a table, cut lineage safely."""
+"""Session-level sinks: a view of this session, the checkpoint folder.  Datasets
+that others read are written and published by :mod:`fundscope.sources.versions`."""
 
 from __future__ import annotations
 
@@ -14,17 +15,6 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
-    """``SELECT ... INTO``: write Parquet, optionally partitioned (the wide
-    activity list by fiscal year, so every reader of one FY prunes the
-    rest).  ``overwrite`` replaces an earlier copy (drop-if-exists)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """The shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``.  A fallback (tests only) is set solely when the
@@ -38,11 +28,3 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         spark.sparkContext.setCheckpointDir(fallback)
         return fallback
     return None
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss;
-    never ``localCheckpoint``).  Requires :func:`checkpoint_dir`."""
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder first")
-    return df.checkpoint(eager=True)

@@ -32,6 +32,35 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     return raw.select(*[F.col(f"`{c}`") for c in columns])
 
 
+CORRUPT = "_corrupt_record"
+
+
+def checked_text_csv(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A spreadsheet export as (rows, rejected rows), every column as text.
+
+    Columns are taken by their header names, in any order.  Cells may hold line
+    breaks within quotes.  A row with more or fewer cells than the header is
+    rejected whole: its text stands in ``row_text`` beside ``reason``, and it is
+    not among the rows.  A row without any value is no row.  A quote that is
+    never closed takes the rest of its file into one cell, so its row is
+    rejected unless that was the last one.  A missing column is an error."""
+    header = spark.read.option("header", True).option("multiLine", True).csv(path).columns
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    read = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("escape", '"'))
+    raw = read.csv(path)
+    whole = [F.col(f"`{c}`") for c in header]
+    # a rejected row is told by its text; all columns are asked for, so none is pruned before the cells are counted
+    filled = sum((c.isNotNull().cast("int") for c in whole), F.lit(0))
+    rows = raw.where(F.col(CORRUPT).isNull() & (filled > 0)).select(*[F.col(f"`{c}`") for c in columns])
+    reason = F.when(filled < len(header), "too few cells").otherwise("too many cells")
+    rejected = raw.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("row_text"), reason.alias("reason"))
+    return rows, rejected
+
+
 def literal_rows(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:
     """A small literal relation (``SELECT 'a' AS x, ...`` without FROM)."""
     if isinstance(schema, str):

@@ -254,3 +254,38 @@ def test_collation_reaches_every_comparison(spark):
                       [r["comb_capacity_source"] for r in D.capacity_tiers(tables, params).collect()]))
     assert found[0][:6] == (None, None, None, 0, [], 0) and found[0][6] == []
     assert found[1] == ("Y", 5, Decimal("50.00"), 1, [Decimal("50.00")], 1, [P.SOURCE_VENDOR])
+
+
+def _namesakes(spark):
+    """Two officers called Ann Lee (1 and 5) and one Bob Kay (2)."""
+    w = _officer_world(spark)
+    w["user"] = w["user"] + [{"id": 5, "name": "Ann Lee", "first_name": "Ann", "last_name": "Lee"}]
+    w["officer"] = w["officer"] + [{"user_id": 5, "team_id": 1, "level": "DOD"}]
+    gifts = [{"id": 100 + i, "owner_id": who, "account_id": 7, "lead_solicitor_id": who, "ask_date": dt.date(2018, 1, 5),
+              "ask_amount": Decimal("900000.00"), "amount": Decimal(f"{amount}.00"), "close_date": dt.date(2018, 2, 5),
+              "name": f"g{i}", "stage": P.accepted_stages[0]} for i, (who, amount) in enumerate([(1, 10), (5, 200), (2, 3000)])]
+    team = [{"opportunity_id": g["id"], "user_id": g["lead_solicitor_id"], "name": "x", "role": P.lead_role} for g in gifts]
+    acts = [{"id": 200 + i, "owner_id": who, "contactor_1": who, "type": "Visit", "activity_date": dt.date(2018, 3, 1),
+             "substantive": "Yes", "account_id": 7, "who_id": 1} for i, who in enumerate([1, 5, 5, 2])]
+    return crm(spark, **w, account=[_acc(7)], opportunity=gifts, opportunity_team=team, activity=acts)
+
+
+def test_officers_of_one_name_are_told_apart_by_id(spark):
+    c = _namesakes(spark)
+    key = D.name_key(c, P)
+    al = A.activity_list(c, key, P)
+    goals = D.goals(c, key)
+    dollars = lambda match: {r.do_id: r.lead_dollars for r in SC.dollars_rollup(al, key, goals, P, match=match).collect()}
+    # by name each of the two gets everything under the name, as the dashboard does
+    assert dollars("name") == {1: Decimal(210), 5: Decimal(210), 2: Decimal(3000)}
+    assert dollars("resolved") == {1: Decimal(10), 5: Decimal(200), 2: Decimal(3000)}
+    visits = lambda match: {r.do_id: r.visits for r in SC.visits_rollup(al, key, P, match=match).collect()}
+    assert visits("name") == {1: 3, 5: 3, 2: 1}
+    assert visits("resolved") == {1: 1, 5: 2, 2: 1}
+    assert visits("resolved") == {r.do_id: r.visits for r in SC.visits_rollup(A.counted_visits(c, key, P), key, P, match="resolved").collect()}
+    asks = {r.do_id: r.asks for r in SC.asks_rollup(al, key, P, match="resolved").collect()}
+    assert asks == {1: 1, 5: 1, 2: 1}
+    card = SC.scorecard(al, key, goals, P, match="resolved").collect()
+    assert {(r.do_id, r.visits, r.asks, r.lead_dollars) for r in card} == {
+        (1, 1, 1, Decimal(10)), (5, 2, 1, Decimal(200)), (2, 1, 1, Decimal(3000))}
+    assert sum(r.lead_dollars for r in card) == Decimal(3210)

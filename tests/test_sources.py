@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fundscope.plans import activity as A
 from fundscope.plans import catalog
 from fundscope.plans import scorecard as SC
-from fundscope.sources import (GOALS_SCHEMA, checkpoint_dir, cut_lineage, publish_view,
+from fundscope.sources import (GOALS_SCHEMA, checkpoint_dir, publish_view,
                                read_text_csv, rejected_cells, typed_import)
 
 from .conftest import SF_SMALL
@@ -63,12 +63,9 @@ def test_partitioned_activity_list_prunes(spark, scratch):
     assert live.exceptAll(again.select(live.columns)).count() == 0
 
 
-def test_checkpoint_dir_and_cut(spark, scratch):
+def test_checkpoint_dir_of_the_session_is_kept(spark, scratch):
     d = checkpoint_dir(spark, fallback=os.path.join(scratch, "ckpt2"))
-    assert d  # the session fixture already named one; it is kept
-    df = spark.range(10).withColumn("x", F.col("id") * 2)
-    cut = cut_lineage(df)
-    assert cut.count() == 10
+    assert d and not d.endswith("ckpt2")
 
 
 def test_correct_names(spark):
@@ -83,3 +80,57 @@ def test_literal_rows(spark):
     from fundscope.sources import literal_rows
     df = literal_rows(spark, [{"a": 1, "b": "x"}, {"b": "y"}], "a long, b string")
     assert [tuple(r) for r in df.collect()] == [(1, "x"), (None, "y")]
+
+
+def test_malformed_csv_rows_stand_beside_the_good_ones(spark, scratch):
+    import pytest
+
+    from fundscope.sources.tables import checked_text_csv
+
+    path = os.path.join(scratch, "malformed.csv")
+    with open(path, "w") as f:
+        f.write('goal_fy,remark,last_first\n2018,"two\nlines","Lee, Ann"\n2017\n2016,x,"Ray, Bo",9,9\n,,\n\n'
+                '2015,"says ""hi""","O\'Neil, C"\n2014,x,"never closed\n')
+    rows, rejected = checked_text_csv(spark, path, ["last_first", "goal_fy", "remark"])
+    assert {*map(tuple, rows.collect())} == {
+        ("Lee, Ann", "2018", "two\nlines"), ("O'Neil, C", "2015", 'says "hi"'), ("never closed\n", "2014", "x")}
+    bad = {r["row_text"].strip(): r["reason"] for r in rejected.collect()}
+    assert bad.pop("2017").startswith("too few") and bad.pop("2016,x,\"Ray, Bo\",9,9") == "too many cells"
+    assert not bad
+    with open(path, "a") as f:
+        f.write("2013,x,y\n")   # the open quote takes this line in
+    assert checked_text_csv(spark, path, ["goal_fy"])[0].count() == 3
+    # asking for one column counts the cells all the same
+    assert checked_text_csv(spark, path, ["remark"])[0].count() == 3
+    with pytest.raises(ValueError, match="goal_date"):
+        checked_text_csv(spark, path, ["goal_date"])
+    empty = os.path.join(scratch, "header_only.csv")
+    with open(empty, "w") as f:
+        f.write("a,b\n")
+    rows, rejected = checked_text_csv(spark, empty, ["b"])
+    assert rows.count() == rejected.count() == 0
+
+
+def test_materialise_replaces_one_dataset_of_a_set(spark, scratch):
+    from fundscope.sources import Versions, materialise, register
+
+    out = os.path.join(scratch, "one_by_one")
+    years = spark.range(30).select("id", (F.col("id") % 3 + 1996).cast("int").alias("fy"))
+    assert materialise(spark.range(5), out, "small") == 1
+    assert materialise(years, out, "years", "fy", ("id",)) == 2
+    v = Versions(spark, out)
+    assert v.read("small").count() == 5 and v.read("years").count() == 30
+    assert "PartitionFilters: [isnotnull(fy" in v.read("years").where("fy = 1997")._jdf.queryExecution().executedPlan().toString()
+    with_unknown = years.unionByName(spark.range(2).select("id", F.lit(None).cast("int").alias("fy")))
+    assert materialise(with_unknown, out, "years", "fy") == 3
+    assert {p.path.split("/version=")[1][0] for p in v.parts() if p.dataset == "years" and p.partition_value} == {"2"}
+    assert v.read("years").where("fy IS NULL").count() == 2 and v.read("years", 2).count() == 30
+    # a session that reads by name follows, also to the rows of no year and to another schema
+    register(spark, out, "one_by_one")
+    reader = spark.newSession()
+    assert reader.table("one_by_one.years").where("fy IS NULL").count() == 2 and reader.table("one_by_one.small").count() == 5
+    materialise(years.limit(0), out, "years", "fy")
+    materialise(spark.range(3).select("id", F.lit("it's").alias("new")), out, "small")
+    register(spark, out, "one_by_one")
+    assert reader.table("one_by_one.years").count() == 0 and reader.table("one_by_one.years").columns == ["id", "fy"]
+    assert [r["new"] for r in reader.table("one_by_one.small").collect()] == ["it's"] * 3
