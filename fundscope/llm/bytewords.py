@@ -86,10 +86,10 @@ class Words:
 
 
 def portions(texts: pa.Array, table: tuple[np.ndarray, np.ndarray], most: int = PORTION_BYTES) -> Iterator[Words]:
-    """The words of a column of strings, portion by portion; a null has none."""
+    """The words of a column of strings or UTF-8 bytes, portion by portion; a null has none."""
     if not len(texts):
         return
-    column = texts.cast(pa.large_string()).fill_null("")
+    column = texts.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     mapped, is_word = table
@@ -115,6 +115,68 @@ def portions(texts: pa.Array, table: tuple[np.ndarray, np.ndarray], most: int =
         at = end
 
 
+def binary_of(words: Words, at: np.ndarray) -> pa.Array:
+    """The words with numbers ``at`` as a binary column."""
+    k = words.lengths[at]
+    ends = np.cumsum(k)
+    data = words.data[np.repeat(words.starts[at] - ends + k, k) + np.arange(k.sum())]
+    offsets = np.concatenate((np.zeros(1, np.int64), ends))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each value, place of each number's first one), numbered as they are met."""
+    which = pa.array(values).dictionary_encode().indices.to_numpy()
+    first = np.zeros(int(which.max(initial=-1)) + 1, np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
+    return which, first
+
+
+class Lookup:
+    """Finds given words (distinct, as the table maps them) among the words of a portion, exactly.
+
+    Hashes are sorted and reached by their first bits; words of more than eight
+    bytes are compared, shorter ones are told apart by hash and length.
+    """
+
+    def __init__(self, given: list[bytes], table: tuple[np.ndarray, np.ndarray]):
+        self.words = next(portions(pa.array([b" ".join(given)], pa.large_binary()), table, 1 << 62))
+        self.seed = 0
+        while len(np.unique(h := self.words.hashes(self.seed))) < len(h):  # two of them share a hash
+            self.seed += 1
+        order = np.argsort(h)
+        self.hashes, self.order = h[order], order.astype(np.int64)
+        bits = min(22, len(h).bit_length() + 2)
+        self.shift = np.uint64(64 - bits)
+        own = np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.concatenate((np.zeros(1, np.int64), np.cumsum(own)))
+
+    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(the number of the given word or -1, the hash) of each word."""
+        h = words.hashes(self.seed)
+        out = np.full(len(h), -1, np.int64)
+        first = (h >> self.shift).astype(np.int64)
+        at, end = self.first[first], self.first[first + 1]
+        live = np.flatnonzero(at < end)
+        while len(live):
+            same = self.hashes[at[live]] == h[live]
+            out[live[same]] = self.order[at[live[same]]]
+            live = live[~same]
+            at[live] += 1
+            live = live[at[live] < end[live]]
+        found = np.flatnonzero(out >= 0)
+        number = out[found]
+        same = words.lengths[found] == self.words.lengths[number]
+        longer = np.flatnonzero(same & (words.lengths[found] > 8))
+        k = words.lengths[found[longer]]
+        owner = np.repeat(longer, k)
+        step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        mine = words.data[words.starts[found[owner]] + step]
+        same[owner[mine != self.words.data[self.words.starts[number[owner]] + step]]] = False
+        out[found[~same]] = -1
+        return out, h
+
+
 class Rolling:
     """Hashes of any run of words of a portion, from one running sum.
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundscope.llm.bytewords import Words, byte_table, portions
+from fundscope.llm.bytewords import Lookup, byte_table, portions
 from fundscope.llm.common import LOWER, UPPER, stored
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -91,45 +91,15 @@ def blocks(items: DataFrame, most_items: int = BLOCK_ITEMS, most_terms: int = BL
         yield done()
 
 
-class Vocabulary:
-    """Finds the terms of a block among the words of a portion, exactly."""
-
-    def __init__(self, terms: list[bytes]):
-        column = pa.array([b" ".join(terms)], pa.binary()).cast(pa.string())
-        self.words = next(portions(column, _TABLE, 1 << 62))
-        self.seed = 0
-        while len(np.unique(h := self.words.hashes(self.seed))) < len(h):  # two terms share a hash
-            self.seed += 1
-        self.order = np.argsort(h)
-        self.hashes = h[self.order]
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[h & np.uint64(0xFFFF)] = True
-
-    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(word numbers, term numbers) of all occurrences."""
-        h = words.hashes(self.seed)
-        at = np.flatnonzero(self.maybe[h & np.uint64(0xFFFF)])
-        place = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
-        same = self.hashes[place] == h[at]
-        at, term = at[same], self.order[place[same]]
-        same = words.lengths[at] == self.words.lengths[term]
-        # words of up to eight bytes are told apart by hash and length, longer ones are compared
-        longer = np.flatnonzero(same & (words.lengths[at] > 8))
-        k = words.lengths[at[longer]]
-        owner = np.repeat(longer, k)
-        step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        mine, theirs = words.data[words.starts[at[owner]] + step], self.words.data[self.words.starts[term[owner]] + step]
-        same[owner[mine != theirs]] = False
-        return at[same], term[same]
-
-
 def _count_batches(block: Block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(block.terms)
+        known = Lookup(block.terms, _TABLE)
         size = len(block.terms)
         for batch in batches:
             for words in portions(batch.column(1), _TABLE):
-                at, term = known.find(words)
+                number, _ = known.find(words)
+                at = np.flatnonzero(number >= 0)
+                term = number[at]
                 text = np.searchsorted(words.bounds, at, side="right") - 1
                 pairs, tf = np.unique(text * size + term, return_counts=True)
                 offsets = pa.array(np.searchsorted(pairs, np.arange(words.texts + 1) * size), pa.int32())

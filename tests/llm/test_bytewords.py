@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from fundscope.llm.bytewords import Rolling, byte_table, portions
+from fundscope.llm.bytewords import Lookup, Rolling, binary_of, byte_table, portions
 
 BLANKS = byte_table(b" \t\n\x0b\f\r", lower=True)
 
@@ -36,3 +36,30 @@ def test_runs_hash_by_content():
     assert run.of(np.array([3]), 20) == run.of(np.array([103]), 20)
     assert run.of(np.array([3]), 20) != run.of(np.array([53]), 20)
     assert run.of(np.array([3]), 20) != run.of(np.array([3]), 21)
+
+
+def test_lookup_is_exact(monkeypatch):
+    given = [b"abcdefghijkl", b"abcdefghijkm", b"ab", "é".encode()]
+    text = next(portions(pa.array(["abcdefghijkl ABCDEFGHIJKX ab ac abcdefghijkm é"]), BLANKS))
+    known = Lookup(given, BLANKS)
+    assert known.find(text)[0].tolist() == [0, -1, 2, -1, 1, 3]
+    # a word that shares another's hash is not taken for it
+    wrong = text.hashes(known.seed)
+    wrong[1] = wrong[0]
+    wrong[3] = wrong[0]
+    monkeypatch.setattr(text, "hashes", lambda seed: wrong, raising=False)
+    assert known.find(text)[0].tolist() == [0, -1, 2, -1, 1, 3]
+    assert Lookup([], BLANKS).find(text)[0].tolist() == [-1] * 6
+    assert binary_of(text, np.array([4, 0, 4, 5])).to_pylist() == [b"abcdefghijkm", b"abcdefghijkl", b"abcdefghijkm", "é".encode()]
+    assert binary_of(text, np.zeros(0, np.int64)).to_pylist() == []
+
+
+def test_lookup_among_many():
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choices("abcdef", k=rng.randrange(1, 14))).encode() for _ in range(5000)})
+    given = words[::2]
+    rng.shuffle(given)
+    asked = rng.choices(words, k=20_000)
+    text = next(portions(pa.array([b" ".join(asked)], pa.binary()), BLANKS, 1 << 40))
+    number = {w: i for i, w in enumerate(given)}
+    assert Lookup(given, BLANKS).find(text)[0].tolist() == [number.get(w, -1) for w in asked]

@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundscope.llm import lexical
-from fundscope.llm.bytewords import portions
 
 TERM = re.compile(lexical.TERM)
 
@@ -87,16 +86,6 @@ def test_small_tiles_give_the_same_scores(monkeypatch):
     assert len(want) == 28
 
 
-def test_words_that_share_a_hash_are_compared(monkeypatch):
-    known = lexical.Vocabulary([b"abcdefghijkl", b"abcdefghijkm", b"ab"])
-    text = next(portions(pa.array(["abcdefghijkl abcdefghijkx ab ac abcdefghijkm"]), lexical._TABLE))
-    assert [x.tolist() for x in known.find(text)] == [[0, 2, 4], [0, 2, 1]]
-    wrong = text.hashes(known.seed)
-    wrong[1] = wrong[0]
-    monkeypatch.setattr(text, "hashes", lambda seed: wrong, raising=False)
-    assert [x.tolist() for x in known.find(text)] == [[0, 2, 4], [0, 2, 1]]
-
-
 def test_best_and_bounds():
     item, doc, score = np.array([0, 0, 0, 1, 0]), np.array([9, 2, 5, 1, 3]), np.array([7, 7, 8, 1, 7])
     assert lexical.best(item, doc, score, 3).tolist() == [2, 1, 4, 3]
