@@ -145,11 +145,11 @@ class Lookup:
         while len(np.unique(h := self.words.hashes(self.seed))) < len(h):  # two of them share a hash
             self.seed += 1
         order = np.argsort(h)
-        self.hashes, self.order = h[order], order.astype(np.int64)
-        bits = min(22, len(h).bit_length() + 2)
+        self.hashes, self.order = h[order], order.astype(np.int32)
+        bits = min(22, len(h).bit_length() + 1)
         self.shift = np.uint64(64 - bits)
         own = np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << bits)
-        self.first = np.concatenate((np.zeros(1, np.int64), np.cumsum(own)))
+        self.first = np.concatenate((np.zeros(1, np.int32), np.cumsum(own).astype(np.int32)))
 
     def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """(the number of the given word or -1, the hash) of each word."""

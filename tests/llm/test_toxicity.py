@@ -35,11 +35,20 @@ def labels_of(spark, rows):
 def learned(spark, docs_of):
     docs, labels = corpus()
     rows, marks = docs_of(docs), labels_of(spark, labels)
-    return [toxicity.learn(rows, marks, counterfactual=c) for c in (0.0, 30.0)]
+    return [toxicity.learn(rows, marks, counterfactual=c) for c in (0.0, toxicity.COUNTERFACTUAL, 30.0)]
+
+
+def test_the_shipped_penalty_lowers_neutral_mentions(learned):
+    without, shipped, _ = learned
+    neutral = b"a muslim neighbour came by"
+    gap = lambda m: abs(m.score(neutral) - m.score(neutral.replace(b"muslim", b"christian")))
+    assert shipped.score(neutral) < without.score(neutral)
+    assert gap(shipped) < 0.9 * gap(without)
+    assert shipped.score(neutral) < toxicity.THRESHOLD
 
 
 def test_counterfactual_penalty_frees_identity_terms(learned):
-    without, with_penalty = learned
+    without, _, with_penalty = learned
     neutral = b"a muslim neighbour came by"
     own = lambda m: sum(w for f, w in m.weights.items() if "muslim".startswith(f.rstrip("*")))
     assert own(without) > 0.5
