@@ -53,7 +53,8 @@ def _entry(spark: SparkSession, database: str, name: str, schema: T.StructType,
 
 def store(crm: Crm, folder: str, database: str = "crm", buckets: int = 200, hot_rows: int = 1_000_000,
           most_hot: int = 1000) -> StoredCrm:
-    """Write every table under ``folder`` and read them back as catalog tables.
+    """Write every table under ``folder`` and read them back as catalog tables;
+    each copy has a folder and a database of its own.
 
     ``buckets`` is the largest table's bytes over some 128 MB, so that a bucket
     is one task's work.  A bridge key with more than ``hot_rows`` rows is hot;

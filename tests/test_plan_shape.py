@@ -99,3 +99,10 @@ def test_building_a_query_runs_no_job(spark):
     finally:
         sc.setJobGroup("after", "")
     assert not {n: s for n, s in ran.items() if s}
+
+
+def test_dollars_are_deduplicated_on_what_decides(spark):
+    keys = [x.split("hashpartitioning(")[1].split(", ") for x in _plan(spark, "dollars_dedup").splitlines() if "hashpartitioning(" in x]
+    # eleven columns, the number of partitions, the exchange's reason and plan id
+    assert max(len(k) for k in keys) <= 11 + 3
+    assert not [k for k in keys if any("hh_name" in c for c in k) and any("gift_name" in c for c in k)]
