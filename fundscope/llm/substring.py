@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundscope.llm.bytewords import Rolling, Words, byte_table, mixed, portions
@@ -183,11 +183,12 @@ def repeats(docs: DataFrame, size: int = MIN_WORDS, gram: int = ANCHOR_WORDS) ->
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("rid"), "text")
     found = rows.mapInArrow(_occurrence_batches(size, gram), _OCCURRENCE)
     combined = found.mapInArrow(_combined, "anchor long, extent long, doc_id long, rid long, start int, n long")
-    # one exchange by anchor serves both groupings
+    # one exchange by anchor serves both the extents and what they say of their anchor
     by_anchor = combined.repartition("anchor")
     extents = by_anchor.groupBy("anchor", "extent").agg(F.min(F.struct(*_PLACE)).alias("first"), F.sum("n").alias("n"))
-    anchors = by_anchor.groupBy("anchor").agg((F.min("extent") != F.max("extent")).alias("differs"), F.sum("n").alias("all"))
-    known = extents.join(anchors.where("all > 1"), "anchor").where("n > 1 OR differs")
+    anchor = Window.partitionBy("anchor")
+    differs = F.min("extent").over(anchor) != F.max("extent").over(anchor)
+    known = extents.withColumn("differs", differs).where("n > 1 OR differs")
     known = stored(known.select("anchor", "extent", "first", "differs"), "substring-extents")
 
     place = F.struct(*_PLACE)

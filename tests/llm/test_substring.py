@@ -98,3 +98,17 @@ def test_defined_cases(docs_of):
     ]
     assert substring.report(docs_of([])).count() == 0
     assert [tuple(r) for r in substring.report(docs_of([(5, None)])).select("n_words", "n_removed").collect()] == [(0, 0)]
+
+
+def test_extents_and_their_anchors_share_one_exchange(docs_of, monkeypatch):
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(substring, "stored", kept)
+    substring.repeats(docs_of([(1, "a b"), (2, "a b")]), 4, 2)
+    plan = plans["substring-extents"].split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 2  # occurrences, and their rows combined in the task
+    assert plan.count("Exchange") == 1
