@@ -63,3 +63,15 @@ def test_lookup_among_many():
     text = next(portions(pa.array([b" ".join(asked)], pa.binary()), BLANKS, 1 << 40))
     number = {w: i for i, w in enumerate(given)}
     assert Lookup(given, BLANKS).find(text)[0].tolist() == [number.get(w, -1) for w in asked]
+
+
+def test_long_words_are_found_exactly(monkeypatch):
+    """Under one hash for all, the bytes alone tell words of more than eight bytes apart."""
+    long = b"x" * 600
+    given = [b"abcdefghij", b"abcdefghijklmnopq", long]
+    known = Lookup(given, BLANKS)
+    asked = [b"abcdefghix", b"abcdefghijklmnopq", b"abcdefghijklmnopx", long, long[:-1] + b"y", b"abcdefghij"]
+    text = next(portions(pa.array([b" ".join(asked)]), BLANKS))
+    by_length = {len(w): h for w, h in zip(given, known.words.hashes())}
+    monkeypatch.setattr(type(text), "hashes", lambda self, seed=0: np.array([by_length[n] for n in self.lengths.tolist()], np.uint64))
+    assert known.find(text)[0].tolist() == [-1, 1, -1, 2, -1, 0]
