@@ -57,7 +57,7 @@ def checked_text_csv(spark: SparkSession, path: str, columns: list[str]) -> tupl
     filled = sum((c.isNotNull().cast("int") for c in whole), F.lit(0))
     rows = raw.where(F.col(CORRUPT).isNull() & (filled > 0)).select(*[F.col(f"`{c}`") for c in columns])
     reason = F.when(filled < len(header), "too few cells").otherwise("too many cells")
-    rejected = raw.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("row_text"), reason.alias("reason"))
+    rejected = raw.where(F.col(CORRUPT).isNotNull() & (filled >= 0)).select(F.col(CORRUPT).alias("row_text"), reason.alias("reason"))
     return rows, rejected
 
 
