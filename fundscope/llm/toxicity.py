@@ -97,16 +97,32 @@ def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def teaching_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, key, words): one text per label and copy key."""
+    """(toxic, key, words): one text per label and copy key.
+
+    Labels and copies meet as ids and keys; the words cross one exchange, copies within a task once.
+    """
     rows = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _word_batches, "doc_id long, key long, words string"), "toxicity-words")
+        _word_batches, "doc_id long, key long, words string"), "toxicity-words", "zstd")
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
     known = known.agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    pairs = rows.select("doc_id", "key").join(known, F.col("doc_id") == F.col("id"))
-    chosen = pairs.groupBy("toxic", F.col("key").alias("k")).agg(F.min("doc_id").alias("id"))
-    taught = rows.join(chosen, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("k")))
-    # rows that repeat an id and a text are told apart by nothing: one of them teaches
-    return stored(taught.groupBy("toxic", "key").agg(F.min("words").alias("words")), "toxicity-taught")
+    pairs = rows.select("doc_id", F.col("key").alias("k")).join(known, F.col("doc_id") == F.col("id"))
+    marks = pairs.groupBy("k").agg(F.collect_set("toxic").alias("marks"))
+    # equal keys have equal words, whichever text they are read from
+    texts = rows.groupBy("key").agg(F.min("words").alias("words"))
+    taught = texts.join(marks, F.col("key") == F.col("k"))
+    return stored(taught.select(F.explode("marks").alias("toxic"), "key", "words"), "toxicity-taught", "zstd")
+
+
+def fit_rows(taught: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows of each label with the lowest (h, key); bounds are found on keys, so no words are moved."""
+    rows = taught.withColumn("h", F.xxhash64("key"))
+    h, key, wanted = F.col("h"), F.col("key"), F.lit(False)
+    for y in (0, 1):
+        lowest = rows.where(F.col("toxic") == y).select("h", "key").orderBy("h", "key").limit(most)
+        last = lowest.agg(F.max(F.struct("h", "key")).alias("last")).first()["last"]
+        if last:
+            wanted |= (F.col("toxic") == y) & ((h < last["h"]) | ((h == last["h"]) & (key <= last["key"])))
+    return rows.where(wanted)
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,12 +247,8 @@ def learn(docs: DataFrame, labels: DataFrame, counterfactual: float = COUNTERFAC
         rows = [sorted(known[f] for f in feature_set(set(t.split(" "))) if f in known) for t in texts.to_pylist()]
         return pa.array(rows, pa.list_(pa.int32()))
 
-    chosen = [
-        (r["toxic"], r["x"])
-        for y in (0, 1)
-        for r in taught.where(F.col("toxic") == y).orderBy(F.xxhash64("key"), "key").limit(FIT_ROWS)
-        .select("toxic", numbers("words").alias("x")).collect()
-    ]
+    rows = fit_rows(taught, FIT_ROWS).select("toxic", "h", "key", numbers("words").alias("x")).collect()
+    chosen = [(r["toxic"], r["x"]) for r in sorted(rows, key=lambda r: (r["toxic"], r["h"], r["key"]))]
     weights, base = fit(chosen, len(names), totals, groups, counterfactual)
     return Model({names[i]: float(weights[i]) for i in np.flatnonzero(weights > 1e-6).tolist()}, float(base))
 

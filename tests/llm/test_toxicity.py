@@ -4,6 +4,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fundscope.llm import toxicity
 from fundscope.llm.common import id_crc
@@ -122,3 +123,42 @@ def test_extra_columns_stay(spark, docs_of):
     docs = docs_of([(1, "a")]).withColumn("words", F.lit(1)).withColumn("key", F.lit(2))
     found = toxicity.scored(docs, toxicity.Model({"a": 3.0}, -1.0))
     assert found.columns == [*docs.columns, "score"] and found.first()["score"] == pytest.approx(0.8807970, abs=1e-6)
+
+
+def test_words_cross_one_exchange(spark, docs_of, monkeypatch):
+    """Labels, copies and the choice of rows to fit move ids and keys."""
+    docs, labels = corpus(60)
+    stored = []
+    monkeypatch.setattr(toxicity, "stored", lambda df, name, *_: stored.append(df) or df)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        toxicity.teaching_rows(docs_of(docs), labels_of(spark, labels))
+        assert len(strings_exchanged(stored[-1])) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def strings_exchanged(df):
+    """The exchanges of a plan that carry a string column."""
+    found, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            left.append(node.initialPlan())
+            continue
+        if "Exchange" in node.nodeName() and "STRING" in node.schema().toDDL():
+            found.append(node.nodeName())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_rows_to_fit_are_the_lowest_of_each_label(spark):
+    rows = [(y, k, f"w{k}") for y in (0, 1) for k in range(-40, 40 if y else -37)]
+    taught = spark.createDataFrame(rows, "toxic int, key long, words string")
+    found = [(r["toxic"], r["h"], r["key"]) for r in toxicity.fit_rows(taught, 7).collect()]
+    every = [tuple(r) for r in taught.select("toxic", F.xxhash64("key"), "key").collect()]
+    assert sorted(found) == [x for y in (0, 1) for x in sorted(r for r in every if r[0] == y)[:7]]
+    assert toxicity.fit_rows(taught.where("toxic = 1"), 3).count() == 3
+    assert toxicity.fit_rows(taught.where("toxic = 2"), 3).count() == 0
