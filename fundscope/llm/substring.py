@@ -48,6 +48,10 @@ MIN_WORDS = 20
 ANCHOR_WORDS = 5
 #: Rows that a task combines before it sends them.
 COMBINE_ROWS = 1_000_000
+#: Bytes of texts whose words a worker holds as numbers, some twenty times their bytes; and rows that it cuts together.
+#: A task has two workers at a time, and an executor two for each of its cores.
+HELD_BYTES = 400_000
+CUT_ROWS = 500
 
 _TABLE = byte_table(b" \t\n\x0b\f\r", lower=False)
 _GRAM, _RUN = 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
@@ -92,7 +96,7 @@ def _occurrence_batches(size: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words in portions(batch.column(2), _TABLE):
+            for words in portions(batch.column(2), _TABLE, HELD_BYTES):
                 anchor, extent, text, start, m = occurrences(words, size, gram)
                 if not len(anchor):
                     continue
@@ -129,9 +133,10 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = np.ones(len(a), bool)
             new[1:] = (a[1:] != a[:-1]) | (e[1:] != e[:-1])
             pick[count > 1] = ranked.column("row").to_numpy()[new]
-        done = table.select(["anchor", "extent", *_PLACE]).take(pa.array(pick)).append_column("n", pa.array(count))
         held.clear()
-        yield from done.to_batches(max_chunksize=50_000)
+        for i in range(0, len(pick), 50_000):  # taken as they are sent
+            some = table.select(["anchor", "extent", *_PLACE]).take(pa.array(pick[i : i + 50_000]))
+            yield from some.append_column("n", pa.array(count[i : i + 50_000])).combine_chunks().to_batches()
 
     n = 0
     for batch in batches:
@@ -155,7 +160,7 @@ def _window_batches(size: int):
             lengths = np.diff(np.frombuffer(spans.buffers()[1], np.int32)[spans.offset : spans.offset + len(spans) + 1])
             owner = np.repeat(np.arange(len(spans)), lengths)
             anchor, start, m = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            for words in portions(batch.column(2), _TABLE):
+            for words in portions(batch.column(2), _TABLE, HELD_BYTES):
                 mine = (owner >= words.first) & (owner < words.first + words.texts)
                 if not mine.any():
                     continue
@@ -228,8 +233,7 @@ def without_repeats(docs: DataFrame, size: int = MIN_WORDS, gram: int = ANCHOR_W
     A null text stays null there.
     """
 
-    @F.arrow_udf(CUT)
-    def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
+    def cut_rows(texts: pa.Array, runs: pa.Array) -> pa.Array:
         kept_texts, counts, removed, all_spans = [], [], [], []
         for text, own in zip(binary_list(texts), runs.to_pylist()):
             words = text.split() if text is not None else []
@@ -247,6 +251,12 @@ def without_repeats(docs: DataFrame, size: int = MIN_WORDS, gram: int = ANCHOR_W
         columns += [pa.array(removed, pa.int64()), pa.array(all_spans, pa.list_(pa.list_(pa.int64())))]
         return pa.StructArray.from_arrays(columns, ["text", "n_words", "n_removed", "spans"])
 
+    @F.arrow_udf(CUT)
+    def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
+        # Python's words and runs are held for some rows of a batch at a time
+        some = [slice(i, i + CUT_ROWS) for i in range(0, max(1, len(texts)), CUT_ROWS)]
+        return pa.concat_arrays([cut_rows(texts[s], runs[s]) for s in some])
+
     found = repeats(docs, size, gram).groupBy("doc_id", "rid").agg(F.collect_list(F.struct("start", "m")).alias("__runs"))
     found = found.withColumnsRenamed({"doc_id": "__id", "rid": "__of"})
     # the caller's columns travel in one struct, so their names meet none of ours

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -112,3 +113,30 @@ def test_extents_and_their_anchors_share_one_exchange(docs_of, monkeypatch):
     plan = plans["substring-extents"].split("Initial Plan")[0]
     assert plan.count("MapInArrow") == 2  # occurrences, and their rows combined in the task
     assert plan.count("Exchange") == 1
+
+
+def test_a_worker_holds_a_bounded_part_of_a_batch(docs_of):
+    """Of 8 MB of texts in one batch, words are held as numbers a portion at a time."""
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=150)) for _ in range(8_000)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["doc_id", "rid", "text"])
+    assert batch.column(2).nbytes > 8_000_000
+    tracemalloc.start()
+    try:
+        found = sum(b.num_rows for b in substring._occurrence_batches(20, 5)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found > 8_000 * 10 and peak < 25_000_000
+
+
+@pytest.mark.parametrize("rows", [1, 3, 100])
+def test_rows_cut_together_do_not_change_the_result(docs_of, monkeypatch, rows):
+    passage = " ".join(f"word{i}" for i in range(25))
+    texts = [(i, f"a{i} {passage} b{i}" if i % 3 else None if i % 2 else "") for i in range(11)]
+    monkeypatch.setattr(substring, "CUT_ROWS", rows)
+    assert got(docs_of(texts).coalesce(1), 20, 5) == {
+        i: (0, 0, t) if not t else (27, 0, t) if i == 1 else (27, 25, f"a{i} b{i}") for i, t in texts
+    }
